@@ -1,0 +1,198 @@
+"""HTML reading with the standard parser: page facts, links and Markdown text."""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+from urllib.parse import urljoin, urlsplit
+
+_SKIPPED = {"script", "style", "head", "title", "noscript", "template"}
+_HEADINGS = {f"h{i}": i for i in range(1, 7)}
+# a paragraph ends where one of these starts
+_BLOCKS = {
+    "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "header", "hr", "main",
+    "nav", "ol", "p", "pre", "section", "table", "ul", *_HEADINGS,
+}
+
+
+class PageReader(HTMLParser):
+    """Collects the title, the descriptions, the paragraphs and the anchors of a page."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.title: str | None = None
+        self.meta: dict[str, str] = {}
+        self.paragraphs: list[str] = []
+        self.hrefs: list[str] = []
+        self._in_title = False
+        self._raw: str | None = None
+        self._open: list[str] | None = None
+
+    def handle_starttag(self, tag, attrs):
+        values = dict(attrs)
+        if tag == "title" and self.title is None:
+            self._in_title, self.title = True, ""
+        elif tag in ("script", "style"):
+            self._raw = tag
+        elif tag == "meta":
+            name = values.get("name") or values.get("property")
+            if name and name not in self.meta:
+                self.meta[name] = values.get("content") or ""
+        elif tag == "a" and values.get("href") is not None:
+            self.hrefs.append(values["href"])
+        if tag in _BLOCKS:
+            self._close()
+            if tag == "p":
+                self._open = []
+
+    def handle_endtag(self, tag):
+        if tag == "title":
+            self._in_title = False
+        elif tag == self._raw:
+            self._raw = None
+        elif tag in _BLOCKS:
+            self._close()
+
+    def handle_data(self, data):
+        if self._in_title:
+            self.title += data
+        elif self._open is not None and self._raw is None:
+            self._open.append(data)
+
+    def _close(self):
+        if self._open is not None:
+            self.paragraphs.append("".join(self._open))
+            self._open = None
+
+    def close(self):
+        super().close()
+        self._close()
+
+
+def read_page(html: str | None) -> PageReader:
+    reader = PageReader()
+    reader.feed(html or "")
+    reader.close()
+    return reader
+
+
+def resolve(base: str, href: str) -> str | None:
+    """Absolute form of a link, None when it is not a valid address."""
+    try:
+        full = urljoin(base, href.strip())
+        parts = urlsplit(full)
+        _ = parts.port
+    except ValueError:
+        return None
+    if not parts.scheme:
+        return None
+    if parts.scheme in ("http", "https"):
+        if not parts.hostname:
+            return None
+        if not parts.path:
+            full = parts._replace(path="/").geturl()
+    return full
+
+
+def page_facts(url: str, html: str | None) -> dict:
+    reader = read_page(html)
+    description = next(
+        (reader.meta[k] for k in ("description", "og:description", "twitter:description") if reader.meta.get(k)),
+        "No description found",
+    )
+    body = re.sub(r"\s\s+", " ", " ".join(p.strip() for p in reader.paragraphs if p)).strip()
+    links = (resolve(url, h) for h in reader.hrefs if h)
+    return {
+        "title": (reader.title or "No title found").strip(),
+        "description": description.strip(),
+        "body_text": body,
+        "links": list(dict.fromkeys(x for x in links if x and x.startswith("http") and "#" not in x)),
+    }
+
+
+class MarkdownWriter(HTMLParser):
+    """Writes a page as Markdown: headings, lists, links, emphasis and code."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.out: list[str] = []
+        self._skip = 0
+        self._pre = 0
+        self._lists: list[int | None] = []
+        self._links: list[str] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in _SKIPPED:
+            self._skip += tag != "head"
+            return
+        if self._skip:
+            return
+        if tag in _HEADINGS:
+            self.out.append("\n\n" + "#" * _HEADINGS[tag] + " ")
+        elif tag in ("ul", "ol"):
+            self._lists.append(0 if tag == "ol" else None)
+            self.out.append("\n")
+        elif tag == "li":
+            depth = max(len(self._lists) - 1, 0)
+            mark = "*   "
+            if self._lists and self._lists[-1] is not None:
+                self._lists[-1] += 1
+                mark = f"{self._lists[-1]}.  "
+            self.out.append("\n" + "    " * depth + mark)
+        elif tag == "br":
+            self.out.append("  \n")
+        elif tag == "hr":
+            self.out.append("\n\n* * *\n\n")
+        elif tag in ("strong", "b"):
+            self.out.append("**")
+        elif tag in ("em", "i"):
+            self.out.append("_")
+        elif tag == "pre":
+            self._pre += 1
+            self.out.append("\n\n```\n")
+        elif tag == "code" and not self._pre:
+            self.out.append("`")
+        elif tag == "a":
+            self._links.append(dict(attrs).get("href") or "")
+            self.out.append("[")
+        elif tag == "img":
+            values = dict(attrs)
+            self.out.append(f"![{values.get('alt') or ''}]({values.get('src') or ''})")
+        elif tag in _BLOCKS:
+            self.out.append("\n\n")
+
+    def handle_endtag(self, tag):
+        if tag in _SKIPPED:
+            self._skip = max(self._skip - (tag != "head"), 0)
+            return
+        if self._skip:
+            return
+        if tag in ("ul", "ol"):
+            if self._lists:
+                self._lists.pop()
+            self.out.append("\n")
+        elif tag in ("strong", "b"):
+            self.out.append("**")
+        elif tag in ("em", "i"):
+            self.out.append("_")
+        elif tag == "pre":
+            self._pre = max(self._pre - 1, 0)
+            self.out.append("\n```\n\n")
+        elif tag == "code" and not self._pre:
+            self.out.append("`")
+        elif tag == "a" and self._links:
+            self.out.append(f"]({self._links.pop()})")
+        elif tag in _BLOCKS:
+            self.out.append("\n\n")
+
+    def handle_data(self, data):
+        if not self._skip:
+            self.out.append(data if self._pre else re.sub(r"\s+", " ", data))
+
+
+def to_markdown(html: str | None) -> str:
+    writer = MarkdownWriter()
+    writer.feed(html or "")
+    writer.close()
+    text = re.sub(r"[ \t]+\n", "\n", "".join(writer.out))
+    return re.sub(r"\n{3,}", "\n\n", text).strip()
