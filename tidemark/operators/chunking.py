@@ -97,9 +97,9 @@ def chunk_tokens(
 
 def preview_chunks(chunks: DataFrame, n: int) -> DataFrame:
     """First `n` chunks of the whole list (all when -1), each with the total."""
-    total = chunks.agg(F.count(F.lit(1)).alias("total"))
     first = chunks.orderBy("doc_id", "chunk_no")
-    return (first if n == -1 else first.limit(n)).join(F.broadcast(total))  # the total is one row
+    shown = first if n == -1 else first.limit(n)
+    return shown.withColumn("total", chunks.agg(F.count(F.lit(1))).scalar())
 
 
 def chunk_id(source: Column, index: Column, content: Column) -> Column:
@@ -150,11 +150,11 @@ def page_chunks(
     chosen = chunks.where(F.col("store_id") == store_id)
     if doc_id != "all":
         chosen = chosen.where(F.col("doc_id") == doc_id)
-    totals = chosen.agg(
-        F.count(F.lit(1)).alias("total"), F.sum(F.length("page_content")).cast("bigint").alias("characters")
-    )
     shown = chosen.orderBy("chunk_no", "doc_id").offset((page - 1) * size).limit(size)
-    return shown.join(F.broadcast(totals))  # the totals are one row
+    return shown.withColumns({
+        "total": chosen.agg(F.count(F.lit(1))).scalar(),
+        "characters": chosen.agg(F.sum(F.length("page_content")).cast("bigint")).scalar(),
+    })
 
 
 def knowledge_digest(
