@@ -102,10 +102,10 @@ def stored(spark, d):
 
 
 def store_inputs(spark, d):
-    """Old chunks of four fifths of the documents, new ones of every third, cut smaller."""
-    old = stored(spark, d).where("doc_id % 5 <> 0")
+    """Old chunks of all but the German documents, new ones of the English, cut smaller."""
+    old = stored(spark, d).where("get_json_object(metadata, '$.lang') <> 'de'")
     new = (
-        C.chunk_fixed(docs(spark, d).where("doc_id % 3 = 0"), 600, 60)
+        C.chunk_fixed(docs(spark, d).where("lang = 'en'"), 600, 60)
         .withColumn("store_id", F.concat(F.lit("store"), F.col("doc_id") % 3))
     )
     loaders = table(spark, d, "documents").select(
@@ -119,9 +119,9 @@ def store_inputs(spark, d):
 SMALL = """small AS (
   SELECT doc_id, i + 1 AS chunk_no, substr(t, CAST(i * 540 + 1 AS BIGINT), 600) AS page_content, metadata
   FROM (SELECT doc_id, metadata, t, unnest(range(CAST(greatest(1, ceil((length(t) - 60) / 540.0)) AS BIGINT))) AS i
-        FROM body WHERE t <> '' AND doc_id % 3 = 0)),
+        FROM body WHERE t <> '' AND json_extract_string(metadata, '$.lang') = 'en')),
 kept AS (
-  SELECT * FROM chunks WHERE doc_id % 5 <> 0 AND doc_id % 3 <> 0
+  SELECT * FROM chunks WHERE json_extract_string(metadata, '$.lang') NOT IN ('de', 'en')
   UNION ALL SELECT * FROM small)"""
 
 

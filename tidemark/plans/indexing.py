@@ -51,12 +51,12 @@ def dedup_in_batches(spark, d):
 
 
 def ledger(spark, d):
-    """The ledger as an earlier run left it, keyed by content; one key of a second namespace per tenth document."""
-    old = hashed(spark, d).where("doc_id % 5 <> 0").groupBy("content_hash").agg(F.min_by(F.struct("source", "doc_id"), "pos").alias("f"))
+    """The ledger as an earlier run left it, keyed by content; the Spanish documents also in a second namespace."""
+    old = hashed(spark, d).where("lang <> 'de'").groupBy("content_hash").agg(F.min_by(F.struct("source", "doc_id"), "pos").alias("f"))
     own = old.select(
         F.col("content_hash").alias("key"), F.lit("ns").alias("namespace"), F.lit(100.0).alias("updated_at"),
         F.col("f.source").alias("group_id"), F.col("f.doc_id").cast("string").alias("doc_id"))
-    other = hashed(spark, d).where("doc_id % 10 = 0").select(
+    other = hashed(spark, d).where("lang = 'es'").select(
         F.col("hash").alias("key"), F.lit("other").alias("namespace"), F.lit(50.0).alias("updated_at"),
         F.col("source").alias("group_id"), F.col("doc_id").cast("string").alias("doc_id")).dropDuplicates(["key"])
     return own, other
@@ -64,16 +64,16 @@ def ledger(spark, d):
 
 LEDGER = """own AS (
   SELECT content_hash AS key, 'ns' AS namespace, 100.0::DOUBLE AS updated_at, source AS group_id, CAST(doc_id AS VARCHAR) AS doc_id
-  FROM hashed WHERE doc_id % 5 <> 0
+  FROM hashed WHERE lang <> 'de'
   QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY pos) = 1)"""
 
 INCOMING = """inc AS (
-  SELECT content_hash AS uid, source, doc_id, pos FROM hashed WHERE doc_id % 7 <> 0
+  SELECT content_hash AS uid, source, doc_id, pos FROM hashed WHERE source <> 'src7'
   QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY pos) = 1)"""
 
 
 def incoming(spark, d):
-    return hashed(spark, d).where("doc_id % 7 <> 0").withColumn("uid", F.col("content_hash"))
+    return hashed(spark, d).where("source <> 'src7'").withColumn("uid", F.col("content_hash"))
 
 
 def upserted(spark, d, **options):
@@ -100,7 +100,7 @@ def index_upsert_added(spark, d):
 
 
 @query("index_upsert_counters", f"""{UPSERT}, per AS (
-  SELECT DISTINCT content_hash AS uid, (pos - 1) // 100 AS b FROM hashed WHERE doc_id % 7 <> 0)
+  SELECT DISTINCT content_hash AS uid, (pos - 1) // 100 AS b FROM hashed WHERE source <> 'src7')
 SELECT (SELECT count(*) FROM inc WHERE uid NOT IN (SELECT key FROM own)) AS num_added,
   CAST(0 AS BIGINT) AS num_updated,
   (SELECT count(*) FROM per) - (SELECT count(*) FROM inc WHERE uid NOT IN (SELECT key FROM own)) AS num_skipped,
@@ -117,13 +117,13 @@ def index_upsert_force(spark, d):
     return upserted(spark, d, force=True).counters
 
 
-RUN = "FROM hashed WHERE doc_id % 7 <> 0 AND doc_id % 3 = 0 AND source <> 'src1'"
+RUN = "FROM hashed WHERE source <> 'src7' AND lang = 'en' AND source <> 'src1'"
 
 
 @query("index_cleanup_incremental", f"""WITH {HASHED}, {LEDGER}
 SELECT * FROM own WHERE NOT (key NOT IN (SELECT content_hash {RUN}) AND group_id IN (SELECT source {RUN}))""")
 def index_cleanup_incremental(spark, d):
-    run = incoming(spark, d).where("doc_id % 3 = 0 AND source <> 'src1'")
+    run = incoming(spark, d).where("lang = 'en' AND source <> 'src1'")
     return X.index_cleanup_incremental(run, ledger(spark, d)[0], 200.0, "source")
 
 
@@ -134,7 +134,7 @@ def index_cleanup_full(spark, d):
 
 @query("ledger_upsert", f"""WITH {HASHED}, {LEDGER}, {INCOMING}, new AS (
   SELECT content_hash AS key, min('moved-' || source) AS g, min(CAST(doc_id AS VARCHAR)) AS d
-  FROM hashed WHERE doc_id % 7 <> 0 GROUP BY 1)
+  FROM hashed WHERE source <> 'src7' GROUP BY 1)
 SELECT coalesce(own.key, new.key) AS key, 'ns' AS namespace,
   CASE WHEN new.key IS NOT NULL THEN 300.0 ELSE updated_at END::DOUBLE AS updated_at,
   CASE WHEN own.key IS NOT NULL THEN group_id ELSE g END AS group_id,
@@ -155,12 +155,12 @@ def ledger_list_keys(spark, d):
 
 
 @query("ledger_delete", f"""WITH {HASHED}, {LEDGER}, other AS (
-  SELECT DISTINCT hash AS key, 'other' AS namespace FROM hashed WHERE doc_id % 10 = 0)
-SELECT key, namespace FROM own WHERE key NOT IN (SELECT content_hash FROM hashed WHERE doc_id % 7 = 0)
+  SELECT DISTINCT hash AS key, 'other' AS namespace FROM hashed WHERE lang = 'es')
+SELECT key, namespace FROM own WHERE key NOT IN (SELECT content_hash FROM hashed WHERE source = 'src7')
 UNION ALL SELECT key, namespace FROM other""")
 def ledger_delete(spark, d):
     own, other = ledger(spark, d)
-    gone = hashed(spark, d).where("doc_id % 7 = 0").select(F.col("content_hash").alias("key"))
+    gone = hashed(spark, d).where("source = 'src7'").select(F.col("content_hash").alias("key"))
     return X.ledger_delete(own.unionByName(other), "ns", keys=gone).select("key", "namespace")
 
 
