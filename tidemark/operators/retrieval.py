@@ -272,10 +272,11 @@ def multi_query_union(ranked: DataFrame) -> DataFrame:
 
 def _bm25(queries: pa.Table, docs: pa.RecordBatch) -> np.ndarray:
     """BM25 of every query against every document of a batch; k1 1.2, b 0.75."""
-    vocabulary: dict[str, list[tuple[int, float]]] = {}
+    listed: dict[str, list[tuple[int, float]]] = {}
     for i, weights in enumerate(queries.column("_idf").to_pylist()):
         for token, idf in dict(weights or []).items():
-            vocabulary.setdefault(token, []).append((i, idf))
+            listed.setdefault(token, []).append((i, idf))
+    vocabulary = {t: tuple(map(np.array, zip(*pairs))) for t, pairs in listed.items()}
     mean = queries.column("_avgdl")[0].as_py()
     scores = np.zeros((queries.num_rows, docs.num_rows))
     for j, tokens in enumerate(docs.column("_tokens").to_pylist()):
@@ -285,9 +286,8 @@ def _bm25(queries: pa.Table, docs: pa.RecordBatch) -> np.ndarray:
                 counts[token] = counts.get(token, 0) + 1
         norm = 1.2 * (0.25 + 0.75 * len(tokens) / mean) if mean else 1.2
         for token, tf in counts.items():
-            gain = tf * 2.2 / (tf + norm)
-            for i, idf in vocabulary[token]:
-                scores[i, j] += idf * gain
+            at, idf = vocabulary[token]
+            scores[at, j] += idf * (tf * 2.2 / (tf + norm))
     return scores
 
 

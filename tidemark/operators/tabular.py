@@ -87,20 +87,30 @@ def browse_items(df: DataFrame, limit: int = 500) -> DataFrame:
 _NAME_CANDIDATES = 20
 
 
+def _like_test(text: str):
+    """Test for LIKE '%text%'; `%` and `_` in the text stay wildcards."""
+    if "%" not in text and "_" not in text:
+        return lambda s: text in s
+    pattern = re.compile(re.escape(text).replace("%", ".*").replace("_", "."), re.S)
+    return lambda s: pattern.search(s) is not None
+
+
 def _name_scorer(queries: pa.Table, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per request the items of this partition that match by name, largest impact first, at most 20."""
     asked = queries.to_pandas()
-    tests = [
-        re.compile(re.escape(t.strip().lower()).replace("%", ".*").replace("_", "."), re.S) for t in asked["insumo"]
-    ]
+    wanted = [t.strip().lower() for t in asked["insumo"]]
+    tests = [_like_test(t) for t in wanted]
     best: list[pd.DataFrame | None] = [None] * len(asked)
     for batch in batches:
         items = batch.to_pandas()
+        impact = items["_impact"].to_numpy()
         for i, test in enumerate(tests):
-            hit = items[items["_search"].map(lambda s, t=test: t.search(s) is not None)]
+            full = best[i] is not None and len(best[i]) == _NAME_CANDIDATES
+            pool = items[impact >= best[i]["_impact"].iloc[-1]] if full else items
+            hit = pool[[test(s) for s in pool["_search"]]]
             if len(hit):
-                pool = hit if best[i] is None else pd.concat([best[i], hit])
-                best[i] = pool.sort_values(["_impact", "id_insumo"], ascending=[False, True]).head(_NAME_CANDIDATES)
+                both = hit if best[i] is None else pd.concat([best[i], hit])
+                best[i] = both.sort_values(["_impact", "id_insumo"], ascending=[False, True]).head(_NAME_CANDIDATES)
     for i, found in enumerate(best):
         if found is not None:
             yield pa.RecordBatch.from_pydict({

@@ -32,6 +32,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load_all() -> None:
     """Import every module that registers queries."""
     from tidemark.plans import (  # noqa: F401
-        chunking, conversations, indexing, joins, metadata, retrieval, tabular, windows,
+        chunking, conversations, indexing, joins, metadata, retrieval, safety, tabular, windows,
 
     )
