@@ -103,11 +103,15 @@ def _contains(value: Column, wanted) -> Column:
         items = F.try_variant_get(value, "$", "array<variant>")
         cond = F.to_json(value).startswith("[")
         for inner in wanted:
-            cond = cond & F.exists(items, lambda item, inner=inner: _contains(item, inner))
+            cond = cond & _holds(items, inner)
         return F.coalesce(cond, F.lit(False))
     return F.coalesce(_leaf_equals(value, wanted), F.lit(False))
 
 
+def _holds(items: Column, wanted) -> Column:
+    return F.exists(items, lambda item: _contains(item, wanted))
+
+
 def metadata_contains(js: Column, flt: dict) -> Column:
     """The JSON object holds every key and value of `flt`, at any depth."""
     return F.lit(True) if not flt else _contains(F.try_parse_json(js), flt)
