@@ -65,7 +65,7 @@ def _directed(order: Sequence[str], descending: bool) -> list[Column]:
 def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> tuple[DataFrame, list[str]]:
     keys = list(keys)
     if not keys:
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
+        df, keys = df.withColumn("_whole", F.lit(0)), ["_whole"]
     return slice_rows(df, keys, order, hot_rows), keys
 
 
@@ -111,7 +111,7 @@ def running_sum(
     result = F.col("_t") + F.coalesce(F.col("_before"), F.lit(0))
     if as_type:
         result = result.cast(as_type)
-    return numbered.withColumn(out, result).drop("_v", "_t", "_before", "_slice", "_hot", "_all")
+    return numbered.withColumn(out, result).drop("_v", "_t", "_before", "_slice", "_hot", "_whole")
 
 
 def next_value(
@@ -134,7 +134,7 @@ def next_value(
     stepped = _match(sliced.withColumn("_lead", F.lead(F.struct(value)).over(inside)), heads, part, "left")
     return (
         stepped.withColumn(out, F.coalesce("_lead", "_next")[value])
-        .drop("_lead", "_next", "_slice", "_hot", "_all")
+        .drop("_lead", "_next", "_slice", "_hot", "_whole")
     )
 
 

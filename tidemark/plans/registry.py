@@ -32,6 +32,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load_all() -> None:
     """Import every module that registers queries."""
     from tidemark.plans import (  # noqa: F401
-        chunking, conversations, evaluation, indexing, joins, metadata, retrieval, routing, safety, tabular, windows,
+        chunking, conversations, evaluation, indexing, joins, metadata, ml, retrieval, routing, safety,
+        sources, streaming, tabular, windows,
 
     )
