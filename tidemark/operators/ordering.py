@@ -33,28 +33,28 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) ->
 
 
 def slice_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add `_slice` (0 for ordinary groups) and `_hot`; slices follow the ascending order."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    wanted = F.least(F.lit(4 * MAX_SLICES), 8 * F.ceil(F.col("_n") / hot_rows))
+    """Add `_ord_slice` (0 for ordinary groups) and `_ord_hot`; slices follow the ascending order."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ord_n")).where(F.col("_ord_n") > hot_rows)
+    wanted = F.least(F.lit(4 * MAX_SLICES), 8 * F.ceil(F.col("_ord_n") / hot_rows))
     sample = (
         _match(df.select(*dict.fromkeys([*keys, *order])), sizes, keys, "inner")
-        .where(F.pmod(F.xxhash64(*order), F.lit(_SAMPLE_SPACE)) < wanted / F.col("_n") * _SAMPLE_SPACE)
+        .where(F.pmod(F.xxhash64(*order), F.lit(_SAMPLE_SPACE)) < wanted / F.col("_ord_n") * _SAMPLE_SPACE)
     )
     cuts = sample.groupBy(*keys).agg(
         F.filter(
             F.sort_array(F.collect_list(F.struct(*order))),
             lambda _, i: i % 4 == 3,
-        ).alias("_cuts")
+        ).alias("_ord_cuts")
     )
     here = F.struct(*order)
     return (
         _match(df, cuts, keys, "left")
-        .withColumn("_hot", F.col("_cuts").isNotNull())
+        .withColumn("_ord_hot", F.col("_ord_cuts").isNotNull())
         .withColumn(
-            "_slice",
-            F.when(F.col("_hot"), F.size(F.filter("_cuts", lambda cut: cut <= here))).otherwise(F.lit(0)),
+            "_ord_slice",
+            F.when(F.col("_ord_hot"), F.size(F.filter("_ord_cuts", lambda cut: cut <= here))).otherwise(F.lit(0)),
         )
-        .drop("_cuts")
+        .drop("_ord_cuts")
     )
 
 
@@ -65,7 +65,7 @@ def _directed(order: Sequence[str], descending: bool) -> list[Column]:
 def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> tuple[DataFrame, list[str]]:
     keys = list(keys)
     if not keys:
-        df, keys = df.withColumn("_whole", F.lit(0)), ["_whole"]
+        df, keys = df.withColumn("_ord_all", F.lit(0)), ["_ord_all"]
     return slice_rows(df, keys, order, hot_rows), keys
 
 
@@ -92,26 +92,26 @@ def running_sum(
     as_type: str | None = None,
 ) -> DataFrame:
     """Exact running sum of `value` up to and including each row; `order` must be unique in a group."""
-    sliced, keys = _sliced(df.withColumn("_v", value), keys, order, hot_rows)
-    part = [*keys, "_slice"]
-    by_slice = F.col("_slice").desc() if descending else F.col("_slice").asc()
+    sliced, keys = _sliced(df.withColumn("_ord_value", value), keys, order, hot_rows)
+    part = [*keys, "_ord_slice"]
+    by_slice = F.col("_ord_slice").desc() if descending else F.col("_ord_slice").asc()
     before = (
-        sliced.where("_hot").groupBy(*part).agg(F.sum("_v").alias("_v"))
+        sliced.where("_ord_hot").groupBy(*part).agg(F.sum("_ord_value").alias("_ord_value"))
         .withColumn(
-            "_before",
-            F.sum("_v").over(
+            "_ord_before",
+            F.sum("_ord_value").over(
                 Window.partitionBy(*keys).orderBy(by_slice).rowsBetween(Window.unboundedPreceding, -1)
             ),
         )
-        .drop("_v")
+        .drop("_ord_value")
     )
     inside = Window.partitionBy(*part).orderBy(*_directed(order, descending)).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("_v").over(inside)
-    numbered = _match(sliced.withColumn("_t", total), before, part, "left")
-    result = F.col("_t") + F.coalesce(F.col("_before"), F.lit(0))
+    total = F.sum("_ord_value").over(inside)
+    numbered = _match(sliced.withColumn("_ord_sum", total), before, part, "left")
+    result = F.col("_ord_sum") + F.coalesce(F.col("_ord_before"), F.lit(0))
     if as_type:
         result = result.cast(as_type)
-    return numbered.withColumn(out, result).drop("_v", "_t", "_before", "_slice", "_hot", "_whole")
+    return numbered.withColumn(out, result).drop("_ord_value", "_ord_sum", "_ord_before", "_ord_slice", "_ord_hot", "_ord_all")
 
 
 def next_value(
@@ -124,17 +124,17 @@ def next_value(
 ) -> DataFrame:
     """Value of the following row of the group, null for the last one."""
     sliced, keys = _sliced(df, keys, order, hot_rows)
-    part = [*keys, "_slice"]
+    part = [*keys, "_ord_slice"]
     heads = (
-        sliced.where("_hot").groupBy(*part).agg(F.min_by(F.struct(value), F.struct(*order)).alias("_head"))
-        .withColumn("_next", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_slice")))
-        .select(*part, "_next")
+        sliced.where("_ord_hot").groupBy(*part).agg(F.min_by(F.struct(value), F.struct(*order)).alias("_ord_head"))
+        .withColumn("_ord_next", F.lead("_ord_head").over(Window.partitionBy(*keys).orderBy("_ord_slice")))
+        .select(*part, "_ord_next")
     )
     inside = Window.partitionBy(*part).orderBy(*order)
-    stepped = _match(sliced.withColumn("_lead", F.lead(F.struct(value)).over(inside)), heads, part, "left")
+    stepped = _match(sliced.withColumn("_ord_lead", F.lead(F.struct(value)).over(inside)), heads, part, "left")
     return (
-        stepped.withColumn(out, F.coalesce("_lead", "_next")[value])
-        .drop("_lead", "_next", "_slice", "_hot", "_whole")
+        stepped.withColumn(out, F.coalesce("_ord_lead", "_ord_next")[value])
+        .drop("_ord_lead", "_ord_next", "_ord_slice", "_ord_hot", "_ord_all")
     )
 
 

@@ -85,8 +85,11 @@ def rate_limit(events: DataFrame, max_requests: int, window_s: float, hot_rows:
     return ordered.mapInPandas(walk, f"{fields}, allowed boolean")
 
 
-def rate_limit_stream(events: DataFrame, max_requests: int, window_s: float) -> DataFrame:
-    """The sliding log on a stream: the times of the recorded hits are the state of a key."""
+def rate_limit_stream(events: DataFrame, max_requests: int, window_s: float, watermark: str = "10 minutes") -> DataFrame:
+    """The sliding log on a stream: the times of the recorded hits are the state of a key.
+
+    The state leaves once the watermark has passed the last hit by a window.
+    """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -102,15 +105,16 @@ def rate_limit_stream(events: DataFrame, max_requests: int, window_s: float) ->
             if allowed[-1]:
                 log.append(now)
         state.update((list(log),))
-        state.setTimeoutDuration(max(1000, int(window_s * 2000)))
+        last = log[-1] if log else hits["t"].iloc[-1]
+        state.setTimeoutTimestamp(max(int((last + window_s) * 1000), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"id": hits["id"], "key": hits["key"], "allowed": allowed})
 
     key_type, id_type = (events.schema[c].dataType.simpleString() for c in ("key", "id"))
     return (
-        events.select("key", "id", _seconds(F.col("ts")).alias("t")).groupBy("key")
+        _timed(events, watermark).withColumn("t", _seconds(F.col("ts"))).select("key", "id", "ts", "t").groupBy("key")
         .applyInPandasWithState(
             step, f"id {id_type}, key {key_type}, allowed boolean", "hits array<double>", "append",
-            GroupStateTimeout.ProcessingTimeTimeout)
+            GroupStateTimeout.EventTimeTimeout)
     )
 
 
