@@ -19,6 +19,11 @@ MAX_QUERY_ROWS = 50_000
 SLICE_ROWS = 200_000
 
 
+def _own_columns(df: DataFrame) -> DataFrame:
+    """The same columns under new identities, so that both sides may come from one table."""
+    return df.select(*[F.col(f"`{c}`").alias(c) for c in df.columns])
+
+
 def block_join(
     queries: DataFrame,
     rows: DataFrame,
@@ -40,11 +45,11 @@ def block_join(
 
     n_blocks = -(-queries.count() // max_query_rows)
     n_slices = max(1, -(-rows.count() // slice_rows))
-    left = queries.withColumns({
+    left = _own_columns(queries).withColumns({
         "_block": F.pmod(F.xxhash64(query_key), F.lit(n_blocks)),
         "_slice": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_slices - 1).cast("bigint"))),
     })
-    right = rows.withColumns({
+    right = _own_columns(rows).withColumns({
         "_slice": F.pmod(F.xxhash64(row_key), F.lit(n_slices)),
         "_block": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))),
     })
