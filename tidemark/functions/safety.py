@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import let
+
 # fixed values: label and pattern, masked in this order
 PII = (
     ("CPF", r"(?U)\b\d{3}\.?\d{3}\.?\d{3}-?\d{2}\b"),
@@ -87,19 +89,53 @@ UNSAFE_CODE = (
 )
 
 
+# what a match must start with; fails fast where a pattern cannot start
+_START = {"CPF": r"(?=\d)", "CNPJ": r"(?=\d)", "EMAIL": "", "TELEFONE": r"(?=[\d+(])"}
+
+
+def _count(text: Column, part: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))
+
+
 def redact_pii(text: Column) -> Column:
-    """struct<text, actions>: every mask works on the text the masks before it left."""
-    actions = []
+    """struct<text, actions>: every mask works on the text the masks before it left.
+
+    Texts without a digit or an at sign are passed on untouched.  A mask has acted when its label
+    occurs more often than before; no later mask can take a label away.
+    """
+    labels = {label: f"[{label} REDIGIDO]" for label, _ in PII}
+    masked = text
     for label, pattern in PII:
-        masked = F.regexp_replace(text, pattern, f"[{label} REDIGIDO]")
-        actions.append(F.when(masked != text, F.lit(f"masked_{label}")))
-        text = masked
-    return F.struct(text.alias("text"), F.array_compact(F.array(*actions)).alias("actions"))
+        masked = F.regexp_replace(masked, "(?U)" + _START[label] + pattern.removeprefix("(?U)"), labels[label])
+
+    def result(out: Column) -> Column:
+        acted = [F.when(_count(out, mark) > _count(text, mark), F.lit(f"masked_{label}")) for label, mark in labels.items()]
+        return F.struct(out.alias("text"), F.array_compact(F.array(*acted)).alias("actions"))
+
+    untouched = F.struct(text.alias("text"), F.array().cast("array<string>").alias("actions"))
+    return F.when(text.rlike(r"[@\p{Nd}]"), let(masked, result)).otherwise(untouched)
+
+
+# a part every match holds in lower case, without letters that have other case forms
+_HINTS = {
+    "ignore_instrucoes": ("gnore",), "ignore_portugues": ("gnore",), "reveal_system": ("prompt",),
+    "modo_desenvolvedor": ("mod",), "tool_abuse": ("ave_ba", "ava", "on/run"), "jailbreak_dan": ("dan", "anyth"),
+}
 
 
 def detect_injection(text: Column) -> Column:
-    """Names of the injection patterns found."""
-    return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(name)) for name, p in INJECTION]))
+    """Names of the injection patterns found; a plain search decides whether a pattern is tried."""
+
+    def hits(lowered: Column) -> Column:
+        found = []
+        for name, pattern in INJECTION:
+            hint = F.contains(lowered, F.lit(_HINTS[name][0]))
+            for part in _HINTS[name][1:]:
+                hint = hint | F.contains(lowered, F.lit(part))
+            found.append(F.when(hint & text.rlike(pattern), F.lit(name)))
+        return F.array_compact(F.array(*found))
+
+    return let(F.lower(text), hits)
 
 
 _OPEN, _MID, _CLOSE = "\u0001", "\u0003", "\u0002"
@@ -128,16 +164,22 @@ def sanitize_links(text: Column, allowlist: Sequence[str]) -> Column:
     if allowed:
         marked = F.regexp_replace(
             marked, rf"(?U){_OPEN}([^{_CLOSE}{_MID}]*){_MID}(\s*{allowed}\s*){_CLOSE}", "[$1]($2)")
-    bad_markdown = F.regexp_count(marked, F.lit(_OPEN))
-    plain = F.regexp_replace(marked, rf"{_OPEN}([^{_CLOSE}{_MID}]*){_MID}[^{_CLOSE}]*{_CLOSE}", f"$1 {LINK_REMOVED}")
 
-    marked = F.regexp_replace(plain, r"(?iU)(?<!\]\()(https?://[^\s<>]+)", f"{_OPEN}$1{_CLOSE}")
-    if allowed:
-        marked = F.regexp_replace(marked, rf"{_OPEN}({allowed}){_CLOSE}", "$1")
-    bad_bare = F.regexp_count(marked, F.lit(_OPEN))
-    plain = F.regexp_replace(marked, rf"{_OPEN}[^{_CLOSE}]*{_CLOSE}", LINK_REMOVED)
-    return F.struct(
-        plain.alias("text"), F.array_repeat(F.lit("stripped_link"), bad_markdown + bad_bare).alias("actions"))
+    def bare(links: Column) -> Column:
+        plain = F.regexp_replace(links, rf"{_OPEN}([^{_CLOSE}{_MID}]*){_MID}[^{_CLOSE}]*{_CLOSE}", f"$1 {LINK_REMOVED}")
+        urls = F.regexp_replace(plain, r"(?iU)(?<!\]\()(https?://[^\s<>]+)", f"{_OPEN}$1{_CLOSE}")
+        if allowed:
+            urls = F.regexp_replace(urls, rf"{_OPEN}({allowed}){_CLOSE}", "$1")
+        return F.struct(_count(links, _OPEN).alias("n"), urls.alias("t"))
+
+    def result(step: Column) -> Column:
+        return F.struct(
+            F.regexp_replace(step["t"], rf"{_OPEN}[^{_CLOSE}]*{_CLOSE}", LINK_REMOVED).alias("text"),
+            F.array_repeat(F.lit("stripped_link"), step["n"] + _count(step["t"], _OPEN)).alias("actions"))
+
+    untouched = F.struct(text.alias("text"), F.array().cast("array<string>").alias("actions"))
+    return F.when(F.contains(text, F.lit("](")) | F.contains(F.lower(text), F.lit("://")),
+                  let(let(marked, bare), result)).otherwise(untouched)
 
 
 def holds_any(text: Column, terms: Sequence[str]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -118,9 +118,21 @@ def recursive_chunks(text: Column, separators: Sequence[str], size: int, overlap
     return cut(text)
 
 
+# fixed values: every character that counts as white space
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def stripped(text: Column) -> Column:
     """Strip all white space at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and use it several times in `body`."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def no_bad_images(text: Column) -> Column:

@@ -56,6 +56,8 @@ def block_join(
     out = schema
 
     def per_group(left_table: pa.Table, right_table: pa.Table) -> pa.Table:
+        if not left_table.num_rows or not right_table.num_rows:
+            return pa.table({})
         found = list(score(left_table, iter(right_table.to_batches(max_chunksize=10_000))))
         return pa.Table.from_batches(found) if found else pa.table({})
 

@@ -208,13 +208,23 @@ def hash_embedding(texts: pd.Series, buckets: int = 64) -> pd.Series:
     import numpy as np
     import xxhash
 
-    def one(text: str | None):
-        vector = np.zeros(buckets, dtype=np.float32)
-        for token in re.findall(r"\w+", (text or "").lower()):
+    codes: dict[str, tuple[int, float]] = {}
+
+    def code_of(token: str) -> tuple[int, float]:
+        found = codes.get(token)
+        if found is None:
             code = xxhash.xxh64_intdigest(token)
-            vector[code % buckets] += 1.0 if code >> 63 else -1.0
+            found = codes[token] = (code % buckets, 1.0 if code >> 63 else -1.0)
+        return found
+
+    def one(text: str | None):
+        pairs = [code_of(t) for t in re.findall(r"\w+", (text or "").lower())]
+        if not pairs:
+            return [0.0] * buckets
+        at, sign = zip(*pairs)
+        vector = np.bincount(at, weights=sign, minlength=buckets)
         length = float(np.linalg.norm(vector))
-        return (vector / length if length else vector).tolist()
+        return (vector / length if length else vector).astype(np.float32).tolist()
 
     return texts.map(one)
 

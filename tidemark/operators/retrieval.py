@@ -7,6 +7,7 @@ Results: query_id, vec_id, distance, rank.  Ties go to the smaller id.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import jsons, text
 from tidemark.operators.blocks import MAX_QUERY_ROWS, block_join
 from tidemark.operators.ordering import join_in_parts
+from tidemark.session import settle
 
 METRICS = ("cosine", "ip", "l2")
 DIGITS = 9  # distances are rounded to this before they are ranked
@@ -247,15 +249,30 @@ def mmr(queries: DataFrame, vectors: DataFrame, k: int = 4, fetch_k: int = 20, l
     """Pick k of the `fetch_k` nearest, each far from those picked before.  A group holds fetch_k rows."""
     candidates = knn_topk(queries, vectors, fetch_k).join(vectors.select("vec_id", "embedding"), "vec_id")
 
-    def pick(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("rank").reset_index(drop=True)
-        order = pick_diverse(
-            1.0 - group["distance"].to_numpy(), np.stack(group["embedding"].to_numpy()).astype(np.float64), k, lam)
-        out = group.loc[order, ["query_id", "vec_id", "distance"]]
-        return out.assign(rank=np.arange(1, len(out) + 1, dtype=np.int32))
+    gathered = candidates.groupBy("query_id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "vec_id", "distance", "embedding"))).alias("c"))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("c")
+            rows = lists.flatten()
+            ids, distances = rows.field("vec_id"), rows.field("distance").to_numpy()
+            vectors, ends = _matrix(rows.field("embedding")), np.cumsum([0, *lists.value_lengths().to_pylist()])
+            chosen = [
+                lo + np.array(pick_diverse(1.0 - distances[lo:hi], vectors[lo:hi], k, lam), dtype=np.int64)
+                for lo, hi in zip(ends, ends[1:])
+            ]
+            at = np.concatenate(chosen) if chosen else np.zeros(0, dtype=np.int64)
+            owner = np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
+            yield pa.RecordBatch.from_pydict({
+                "query_id": batch.column("query_id").take(pa.array(owner)),
+                "vec_id": ids.take(pa.array(at)),
+                "distance": distances[at],
+                "rank": pa.array(np.concatenate([np.arange(1, len(c) + 1) for c in chosen] or [at]), type=pa.int32()),
+            })
 
     schema = f"query_id {_type_of(queries, 'query_id')}, vec_id {_type_of(vectors, 'vec_id')}, distance double, rank int"
-    return candidates.groupBy("query_id").applyInPandas(pick, schema)
+    return gathered.mapInArrow(pick, schema)
 
 
 def rrf_fuse(ranked: DataFrame, c: float = 60, top_k: int = 4) -> DataFrame:
@@ -271,23 +288,23 @@ def multi_query_union(ranked: DataFrame) -> DataFrame:
 
 
 def _bm25(queries: pa.Table, docs: pa.RecordBatch) -> np.ndarray:
-    """BM25 of every query against every document of a batch; k1 1.2, b 0.75."""
-    listed: dict[str, list[tuple[int, float]]] = {}
+    """BM25 of every query against every document of a batch, word by word; k1 1.2, b 0.75."""
+    askers: dict[str, list[tuple[int, float]]] = {}
     for i, weights in enumerate(queries.column("_idf").to_pylist()):
         for token, idf in dict(weights or []).items():
-            listed.setdefault(token, []).append((i, idf))
-    vocabulary = {t: tuple(map(np.array, zip(*pairs))) for t, pairs in listed.items()}
-    mean = queries.column("_avgdl")[0].as_py()
-    scores = np.zeros((queries.num_rows, docs.num_rows))
+            askers.setdefault(token, []).append((i, idf))
+    mean = queries.column("_avgdl")[0].as_py() or 1.0
+    holders: dict[str, list[tuple[int, float]]] = {}
     for j, tokens in enumerate(docs.column("_tokens").to_pylist()):
-        counts: dict[str, int] = {}
-        for token in tokens:
-            if token in vocabulary:
-                counts[token] = counts.get(token, 0) + 1
-        norm = 1.2 * (0.25 + 0.75 * len(tokens) / mean) if mean else 1.2
-        for token, tf in counts.items():
-            at, idf = vocabulary[token]
-            scores[at, j] += idf * (tf * 2.2 / (tf + norm))
+        counts = Counter(tokens)
+        norm = 1.2 * (0.25 + 0.75 * len(tokens) / mean)
+        for token in counts.keys() & askers.keys():
+            holders.setdefault(token, []).append((j, counts[token] * 2.2 / (counts[token] + norm)))
+    scores = np.zeros((queries.num_rows, docs.num_rows))
+    for token, found in holders.items():
+        at, idf = map(np.array, zip(*askers[token]))
+        js, gain = map(np.array, zip(*found))
+        scores[np.ix_(at, js)] += np.outer(idf, gain)
     return scores
 
 
@@ -368,7 +385,8 @@ def hybrid_search(
         vocabulary.join(frequency, "token").withColumn("_n", size)
         .groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("token", idf))).alias("_idf"))
     )
-    prepared = (
+    # read twice below, and as small as the queries
+    prepared = settle(
         queries.select("query_id", "embedding").join(weights, "query_id", "left")
         .withColumn("_avgdl", tokens.agg(F.avg(F.size("_tokens"))).scalar())
     )

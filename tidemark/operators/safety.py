@@ -18,10 +18,13 @@ def guard_input(
 ) -> DataFrame:
     """Add `guard`: struct<allowed, text, user_message, actions>."""
     raw = F.coalesce(stripped(F.col(text)), F.lit(""))
-    staged = df.withColumn("_raw", raw).withColumns({
-        "_pii": safety.redact_pii(F.col("_raw")),
-        "_hits": safety.detect_injection(F.col("_raw")),
-    })
+    fits = (F.col("_raw") != "") & (F.length("_raw") <= max_chars)
+    clean = fits & (F.size("_hits") == 0) if block_injection else fits
+    staged = (
+        df.withColumn("_raw", raw)
+        .withColumn("_hits", F.when(fits, safety.detect_injection(F.col("_raw"))))
+        .withColumn("_pii", F.when(clean, safety.redact_pii(F.col("_raw"))))
+    )
 
     def result(allowed: bool, out: Column, message: Column, actions: Column) -> Column:
         return F.struct(

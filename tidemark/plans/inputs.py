@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -17,7 +19,7 @@ DOCS = """docs AS (
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id",
         F.col("text").alias("page_content"),
         "source",
@@ -101,7 +103,7 @@ def event_json() -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").withColumn("js", event_json())
+    return spread(table(spark, sf_dir, "events")).withColumn("js", event_json())
 
 
 SUPPLY = """supply AS (

@@ -9,6 +9,7 @@ from tidemark.operators import retrieval as R
 from tidemark.plans.indexing import NS
 from tidemark.plans.inputs import docs, table
 from tidemark.plans.registry import query
+from tidemark.sources.scratch import written_table
 
 
 def vectors(spark, d):
@@ -259,7 +260,7 @@ def nearest_chunks(spark, d):
         "pos": F.col("doc_id") * 1_000_000 + F.col("chunk_no"),
         "store_id": F.lit("main"),
     })
-    hashed = indexing.hash_documents(chunks, NS, nested="flat")
+    hashed = written_table(indexing.hash_documents(chunks, NS, nested="flat"))
     ledger = hashed.where("get_json_object(metadata, '$.lang') = 'fr'").groupBy("uid").agg(F.min("doc_id").alias("doc_id")).select(
         F.col("uid").alias("key"), F.lit("main").alias("namespace"), F.lit(1.0).alias("updated_at"),
         F.lit(None).cast("string").alias("group_id"), F.col("doc_id").cast("string").alias("doc_id"))
@@ -271,5 +272,5 @@ def nearest_chunks(spark, d):
         F.col("text"), empty, indexing.hash_embedding, "hash64")[0]
     content = vectors.select(F.col("uid").alias("vec_id"), "page_content", "store_id", "embedding")
     found = R.knn_topk(items, content.select("vec_id", "embedding"), 5).join(content.drop("embedding"), "vec_id")
-    return R.results_to_chunks(found, chunks).select(
+    return R.results_to_chunks(found, hashed).select(
         "query_id", "rank", "chunk_id", "chunk_no", F.round("distance", 6).alias("distance"))

@@ -50,3 +50,12 @@ def settle(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out to all of them; a large scan is left alone.
+
+    Meant for plain scans before work that is heavy per row.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

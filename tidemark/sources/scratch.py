@@ -23,3 +23,10 @@ def written_csv(df: DataFrame, header: bool = True) -> str:
     path = f"{scratch_folder(df.sparkSession)}/csv"
     df.write.csv(path, header=header, escape='"')
     return path
+
+
+def written_table(df: DataFrame) -> DataFrame:
+    """Write a table once and read it back; later steps scan only the columns they need."""
+    path = f"{scratch_folder(df.sparkSession)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
