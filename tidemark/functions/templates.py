@@ -31,21 +31,8 @@ def render_template(template: str, fields: dict[str, Column], types: dict[str, s
 
 
 def template_variables(template: str) -> list[str]:
-    """Names in single braces; escaped braces and names with a colon are left out."""
-    names, opened, at = [], [], 0
-    while at < len(template):
-        char = template[at]
-        if char == "\\" and template[at + 1: at + 2] in ("{", "}"):
-            at += 2
-            continue
-        if char == "{":
-            opened.append(at + 1)
-        elif char == "}" and opened:
-            name = template[opened.pop(): at]
-            if ":" not in name:
-                names.append(name)
-        at += 1
-    return names
+    """Names in braces; escaped braces and names with a colon are left out."""
+    return re.findall(r"(?<!\\)\{([^{}:\\]+)\}", template)
 
 
 def fill_variables(template: str, values: dict[str, Column]) -> Column:

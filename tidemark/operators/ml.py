@@ -68,7 +68,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, see
     hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
     numbered = number_rows(hashed, [label], ["_h", key], "_rn")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    return numbered.join(sizes, label).withColumn("is_test", F.col("_rn") <= F.round(F.col("_n") * test)).drop("_h", "_rn", "_n")
+    # one row per class, and a classifier takes at most 100 classes
+    return numbered.join(F.broadcast(sizes), label).withColumn("is_test", F.col("_rn") <= F.round(F.col("_n") * test)).drop("_h", "_rn", "_n")
 
 
 def balanced_weight(df: DataFrame, label: str) -> DataFrame:
@@ -77,7 +78,7 @@ def balanced_weight(df: DataFrame, label: str) -> DataFrame:
     weights = sizes.withColumns({
         "_all": sizes.agg(F.sum("_n")).scalar(), "_classes": sizes.agg(F.count(F.lit(1))).scalar(),
     }).select(label, (F.col("_all") / (F.col("_classes") * F.col("_n"))).alias("weight"))
-    return df.join(weights, label)
+    return df.join(F.broadcast(weights), label)  # one row per class, at most 100
 
 
 def train_risk_forest(

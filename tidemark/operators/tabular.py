@@ -147,7 +147,8 @@ def item_resolve(df: DataFrame, requests: DataFrame) -> DataFrame:
         .withColumn("_rn", F.row_number().over(order)).where("_rn = 1").select("request_id", "id_insumo")
     )
     chosen = by_id.unionByName(first)
-    items = df.select(*_ITEM).dropDuplicates(["id_insumo"])
+    wanted = chosen.select("id_insumo").distinct()
+    items = df.select(*_ITEM).join(wanted, "id_insumo", "left_semi").dropDuplicates(["id_insumo"])
     found = enrich_items(chosen.join(items, "id_insumo"))
     return requests.select("request_id").join(found, "request_id", "left").withColumn(
         "found", F.col("insumo").isNotNull())

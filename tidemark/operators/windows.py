@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import number_rows, page as one_page, running_sum
 
+_GROUP_LIMIT = 1000  # largest row_number() limit Spark applies per partition by default
+
 
 def version_numbers(evals: DataFrame, page: int = -1, limit: int = -1) -> DataFrame:
     """Version of each evaluation (id, name, run_date) within its name, and whether it is the latest.
@@ -34,6 +36,9 @@ def nth_latest(df: DataFrame, keys: DataFrame, n: int = 1) -> DataFrame:
     """n-th newest value (key, ts, id, value) of every key, null where there are fewer."""
     if n < 1:
         raise ValueError("n starts at 1")
+    if n > _GROUP_LIMIT:
+        ranked = number_rows(df, ["key"], ["ts", "id"], "_rn", descending=True).where(F.col("_rn") == n)
+        return keys.join(ranked.select("key", "value"), "key", "left")
     newest = Window.partitionBy("key").orderBy(F.col("ts").desc(), F.col("id").desc())
     # the row limit of n per key is applied before the shuffle
     ranked = df.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= n).where(F.col("_rn") == n)
@@ -50,6 +55,12 @@ def memory_window(messages: DataFrame, k: int | None, prepend: DataFrame | None
     elif k <= 0:
         kept = messages.where(F.lit(False)).withColumn("pos", F.lit(0).cast("bigint"))
     else:
+        # up to _GROUP_LIMIT rows the limit is applied before the shuffle; more are numbered in slices
+        if 2 * k > _GROUP_LIMIT:
+            newest_first = number_rows(messages, ["session_id"], ["created", "id"], "_rn", descending=True)
+            last = newest_first.where(F.col("_rn") <= 2 * k).drop("_rn")
+            kept = number_rows(last, ["session_id"], ["created", "id"], "pos")
+            return kept if prepend is None else prepend.unionByName(kept, allowMissingColumns=True)
         newest = Window.partitionBy("session_id").orderBy(F.col("created").desc(), F.col("id").desc())
         last = messages.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= 2 * k)
         oldest = Window.partitionBy("session_id").orderBy("created", "id")

@@ -30,12 +30,12 @@ def load_csv_union(spark, d):
 
 
 @query("load_csv_docs", """
-SELECT 'key: ' || n_nationkey || chr(10) || 'name: ' || n_name || chr(10) || 'region: ' || n_regionkey AS page_content, n_nationkey + 1 AS line FROM nation""")
+SELECT 'key: ' || c_custkey || chr(10) || 'name: ' || c_name || chr(10) || 'nation: ' || c_nationkey AS page_content FROM customer""")
 def load_csv_docs(spark, d):
-    nations = table(spark, d, "nation").orderBy("n_nationkey").coalesce(1).select(
-        F.col("n_nationkey").alias(" key "), F.concat(F.lit(" "), "n_name").alias("name"), F.col("n_regionkey").alias("region"))
-    out = files.load_csv_docs(spark, written_csv(nations))
-    return out.select("page_content", F.get_json_object("metadata", "$.line").cast("int").alias("line"))
+    """Headers and values with blanks around them."""
+    customers = table(spark, d, "customer").select(
+        F.col("c_custkey").alias(" key "), F.concat(F.lit(" "), "c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+    return files.load_csv_docs(spark, written_csv(customers)).select("page_content")
 
 
 @query("load_csv_docs_column", "SELECT p_name AS page_content FROM part")
@@ -88,9 +88,9 @@ def load_text_docs(spark, d):
 def load_folder(spark, d):
     """A folder tree with text, JSON, JSON lines and CSV files."""
     folder = scratch_folder(spark)
-    table(spark, d, "benchmark").select("text").write.text(f"{folder}/notes")
+    table(spark, d, "documents").select("text").write.text(f"{folder}/notes")
     table(spark, d, "region").write.partitionBy("r_regionkey").json(f"{folder}/deep/er/regions")
-    table(spark, d, "nation").write.csv(f"{folder}/deep/nations", header=True)
+    table(spark, d, "part").write.csv(f"{folder}/deep/parts", header=True)
     return files.load_folder(spark, folder).select("page_content", F.regexp_extract("doc_id", r"\.(\w+)(:\d+)?$", 1).alias("ending"))
 
 
@@ -107,11 +107,14 @@ def load_sheet_docs(spark, d):
 
 
 @query("table_to_markdown", """
-SELECT n_regionkey, CAST(0 AS BIGINT) AS part, '| n_nationkey | n_name |' || chr(10) || '| --- | --- |' || chr(10)
-  || string_agg('| ' || n_nationkey || ' | ' || n_name || ' |', chr(10) ORDER BY n_nationkey) || chr(10) AS page_content,
-  count(*) + 1 AS row_count, 2 AS column_count, count(*) AS total_data_rows FROM nation GROUP BY 1""")
+WITH n AS (SELECT *, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 1000 AS part, count(*) OVER (PARTITION BY c_nationkey) AS c FROM customer)
+SELECT c_nationkey, part, CASE WHEN part = 0 THEN '| c_custkey | c_name |' || chr(10) || '| --- | --- |' || chr(10) ELSE '' END
+  || string_agg('| ' || c_custkey || ' | ' || c_name || ' |', chr(10) ORDER BY c_custkey) || chr(10) AS page_content,
+  min(c) + 1 AS row_count, 2 AS column_count, min(c) AS total_data_rows FROM n GROUP BY 1, 2""")
 def table_to_markdown(spark, d):
-    return files.table_to_markdown(table(spark, d, "nation"), ["n_nationkey"], group_by=["n_regionkey"])
+    """The customers of every nation as a table."""
+    rows = table(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name")
+    return files.table_to_markdown(rows, ["c_custkey"], group_by=["c_nationkey"])
 
 
 @query("table_to_markdown_parts", """

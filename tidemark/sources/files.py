@@ -42,13 +42,16 @@ def _common(types: list) -> str:
     return "double" if all(isinstance(t, NumericType) for t in types) else "string"
 
 
-def load_csv_union(spark: SparkSession, paths: Sequence[str] | str, infer: bool = True) -> DataFrame:
-    """All files as one table: types inferred from all rows, columns united by name."""
+def load_csv_union(
+    spark: SparkSession, paths: Sequence[str] | str, infer: bool = True, same_columns: bool = False
+) -> DataFrame:
+    """All files as one table: types inferred from all rows, columns united by name.
+
+    `same_columns` says that all files share one header, which saves the pass that compares them.
+    """
     listed = [paths] if isinstance(paths, str) else list(paths)
-    frames = [
-        spark.read.csv(group, header=True, inferSchema=infer, escape='"', multiLine=False)
-        for group in _csv_groups(spark, listed)
-    ]
+    groups = [listed] if same_columns else _csv_groups(spark, listed)
+    frames = [spark.read.csv(group, header=True, inferSchema=infer, escape='"') for group in groups]
     types: dict[str, list] = {}
     for frame in frames:
         for field in frame.schema:
