@@ -274,7 +274,12 @@ def regression_summary(spark, d):
     return Q.regression_summary(Q.check_golden(run_of(spark, d, 37)))
 
 
-@query("model_graded")
+@query("model_graded", f"""WITH {MESSAGES}, m AS (
+  SELECT id AS run_id, id % 7 = 0 AS bad, list_distinct(regexp_extract_all(lower(content), '\\S+')) AS q,
+    list_distinct(regexp_extract_all(lower(coalesce(lead(content) OVER (PARTITION BY conv_id ORDER BY turn), '')), '\\S+')) AS a FROM messages),
+g AS (SELECT run_id, bad, len(list_intersect(q, a)) / greatest(len(q), 1)::DOUBLE AS grade FROM m)
+SELECT run_id, CASE WHEN NOT bad THEN round(grade, 9) END AS grade, CASE WHEN NOT bad THEN CASE WHEN grade > 0.2 THEN 'good' ELSE 'poor' END END AS verdict,
+  CASE WHEN bad THEN 'Not Graded!' END AS grade_error FROM g""")
 def model_graded(spark, d):
     """Each answer graded against the message before it by word overlap."""
     from tidemark.operators.ordering import next_value
@@ -290,4 +295,5 @@ def model_graded(spark, d):
         return pd.DataFrame({"grade": scores, "verdict": ["good" if s > 0.2 else "poor" for s in scores]})
 
     schema = StructType().add("grade", "double").add("verdict", "string")
-    return Q.model_graded(rows.select("run_id", "question", "actual", "error"), grade, schema)
+    out = Q.model_graded(rows.select("run_id", "question", "actual", "error"), grade, schema)
+    return out.select("run_id", F.round("grade", 9).alias("grade"), "verdict", "grade_error")

@@ -174,13 +174,17 @@ def rerank(spark, d):
     return R.rerank(candidates(spark, d)).select("query_id", "vec_id", F.round("score", 6).alias("score"), "new_rank")
 
 
-@query("rerank_by_model")
+@query("rerank_by_model", f"""WITH {CANDIDATES}, s AS (
+  SELECT *, 1 / (1 + abs(length(query_text) - length(page_content)))::DOUBLE AS score FROM c)
+SELECT query_id, vec_id, round(score, 9) AS score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, rank, vec_id) AS INTEGER) AS new_rank
+FROM s QUALIFY new_rank <= 4""")
 def rerank_by_model(spark, d):
     """A pandas scorer: similarity of the two lengths."""
     def by_length(questions, contents):
         return 1.0 / (1.0 + (questions.str.len() - contents.str.len()).abs())
 
-    return R.rerank(candidates(spark, d), by_length).select("query_id", "vec_id", "score", "new_rank")
+    return R.rerank(candidates(spark, d), by_length).select(
+        "query_id", "vec_id", F.round("score", 9).alias("score"), "new_rank")
 
 
 @query("extracted_filter_search", f"""WITH {E}, r AS ({_ranked(COS, 4, "v.label = CASE WHEN q.label >= 5 THEN q.label ELSE 3 END")})

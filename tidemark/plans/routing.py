@@ -141,7 +141,8 @@ def parse_list_output(spark, d):
         F.size(templates.parse_list_output(text, ";", 2)).alias("pair"))
 
 
-@query("batch_prompt")
+@query("batch_prompt", f"""WITH {MESSAGES}, p AS (SELECT id, 'Summarize: ' || content AS p FROM messages WHERE role = 'userMessage')
+SELECT id, sha256(p || '_counter') AS cache_key, CAST(len(regexp_extract_all(p, '\\S+')) AS INTEGER) AS words, substr(p, 1, 20) AS head FROM p""")
 def batch_prompt(spark, d):
     """Answer every first user message once; the cache already knows the first turns."""
     asked = messages(spark, d).where("role = 'userMessage'").select("id", "turn", "content")

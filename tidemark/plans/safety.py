@@ -56,7 +56,11 @@ def guard_output(spark, d):
     return out.select("id", "guard.text", F.array_join("guard.actions", ",").alias("actions"))
 
 
-@query("sanitize_links")
+@query("sanitize_links", """
+WITH h AS (SELECT page_id, url, lower(regexp_extract(url, '://([^/?#:]+)', 1)) AS host FROM pages),
+o AS (SELECT *, host = 'example.com' OR ends_with(host, '.example.com') AS fine FROM h)
+SELECT page_id, CASE WHEN fine THEN 'see [page](' || url || ') or ' || url || ' end' ELSE 'see page (link removido) or (link removido) end' END AS text,
+  CASE WHEN fine THEN 0 ELSE 2 END AS stripped FROM o""")
 def sanitize_links(spark, d):
     linked = F.concat(F.lit("see [page]("), F.col("url"), F.lit(") or "), F.col("url"), F.lit(" end"))
     out = table(spark, d, "pages").select("page_id", safety.sanitize_links(linked, ["example.com"]).alias("r"))

@@ -111,3 +111,17 @@ for _op, _sql in (
     def set_op(spark, d, op=_op):
         first = buyers(spark, d) if op == "distinct" else customers(spark, d)
         return W.set_ops(first, buyers(spark, d), op)
+
+
+@query("set_ops", f"""SELECT 'union' AS op, c_custkey AS id FROM customer UNION ALL SELECT 'union', id FROM ({_BUYERS})
+UNION ALL SELECT 'intersect', id FROM (SELECT c_custkey AS id FROM customer INTERSECT {_BUYERS})
+UNION ALL SELECT 'except', id FROM (SELECT c_custkey AS id FROM customer EXCEPT {_BUYERS})
+UNION ALL SELECT DISTINCT 'distinct', id FROM ({_BUYERS})""")
+def set_ops(spark, d):
+    """All four operations side by side."""
+    out = None
+    for op in ("union", "intersect", "except", "distinct"):
+        first = buyers(spark, d) if op == "distinct" else customers(spark, d)
+        part = W.set_ops(first, buyers(spark, d), op).select(F.lit(op).alias("op"), "id")
+        out = part if out is None else out.unionByName(part)
+    return out
