@@ -353,3 +353,86 @@ def test_stream_limit_equals_table(spark):
     flat = {r.id: r.allowed for r in U.rate_limit(P.hits(table(spark, SF, "events")), 3, 12 * 3600).collect()}
     live = {r.id: r.allowed for r in P.rate_limit_stream(spark, SF).collect()}
     assert flat == live and not math.isnan(len(flat))
+
+
+# ---- the rest ---------------------------------------------------------------------------------
+
+def test_edits_shift_totals(spark):
+    from tidemark.operators import chunking
+
+    totals = spark.createDataFrame([("s", 3, 30, "SYNC"), ("t", 1, 5, "SYNC")], "store_id string, total_chunks long, total_chars long, status string")
+    changes = spark.createDataFrame([("s", "hello", "hi"), ("s", "bye", None)], "store_id string, old_content string, new_content string")
+    got = {r.store_id: (r.total_chunks, r.total_chars) for r in chunking.edit_totals(totals, changes).collect()}
+    assert got == {"s": (2, 24), "t": (1, 5)}
+
+
+def test_rows_are_appended_after_the_last(spark):
+    rows = spark.createDataFrame([("d", 1, 4)], "dataset string, id int, sequence_no int")
+    new = spark.createDataFrame([("d", 2), ("d", 3), ("e", 4)], "dataset string, id int")
+    got = {r.id: r.sequence_no for r in windows.sequence_append(rows, new, "dataset", "id").collect()}
+    assert got == {1: 4, 2: 5, 3: 6, 4: 0}
+
+
+def test_feedback_needs_both_bounds(spark):
+    from tidemark.operators import conversations as V
+
+    rows = spark.createDataFrame([(i, f"2024-01-0{i}") for i in (1, 2, 3)], "message_id int, d string").withColumn("created", F.to_timestamp("d"))
+    assert V.feedback_filtered(rows, start="2024-01-02").count() == 3
+    assert [r.message_id for r in V.feedback_filtered(rows, "2024-01-02", "2024-01-03", "DESC").collect()] == [3, 2]
+
+
+def test_large_windows_use_slices(spark):
+    rows = spark.range(1500).select("id", F.lit("s").alias("session_id"), F.timestamp_seconds("id").alias("created"))
+    got = sorted((r.pos, r.id) for r in windows.memory_window(rows, 600).collect())
+    assert got == [(i + 1, 300 + i) for i in range(1200)]
+    keyed = rows.select(F.lit("k").alias("key"), F.col("created").alias("ts"), "id", F.col("id").alias("value"))
+    assert windows.nth_latest(keyed, spark.createDataFrame([("k",), ("x",)], "key string"), 1200).orderBy("key").first().value == 300
+
+
+def test_prompt_in_parts(spark):
+    examples = spark.createDataFrame([("t", i, f"e{i}") for i in range(5)], "topic string, n int, text string")
+    df = spark.createDataFrame([(1, "t", "now"), (2, "u", "alone")], "id int, topic string, q string")
+    got = routing.few_shot_prompt(df, examples, "topic", "n", "<{text}>", "P", "S {q}", "|", part_rows=2).orderBy("id", "part").collect()
+    assert [r.prompt for r in got] == ["P|<e0>|<e1>", "<e2>|<e3>", "<e4>|S now", "P|S alone"]
+
+
+def test_closure_stays_on_the_host(spark):
+    from tidemark.sources import web
+
+    a, b = "https://a.com/", "https://b.com/"
+    edges = spark.createDataFrame([(a + "1", a + "2"), (a + "2", a + "3"), (a + "3", a + "1"), (a + "2", b + "1"), (b + "1", a + "9")], "src string, dst string")
+    seeds = spark.createDataFrame([(a + "1",)], "url string")
+    walk = lambda **o: sorted((r.url[-1], r.level) for r in web.crawl_closure(edges, seeds, **o).collect())
+    assert walk() == [("1", 0), ("2", 1), ("3", 2)] and walk(max_depth=1) == [("1", 0), ("2", 1)] and walk(limit=1) == [("1", 0)]
+
+
+def test_stream_index_runs_again_without_change(spark, tmp_path):
+    from tidemark.streaming import index as S
+
+    schema = "uid string, pos long, page_content string, metadata string, ts timestamp"
+    source, records, checkpoint = (str(tmp_path / n) for n in ("in", "ledger", "checkpoint"))
+    rows = spark.createDataFrame([("a", 1, "x", "{}"), ("b", 2, "y", "{}"), ("a", 3, "x", "{}")], "uid string, pos long, page_content string, metadata string")
+    rows.withColumn("ts", F.timestamp_seconds(F.lit(1704067200))).write.parquet(source)
+    for _ in range(2):
+        S.stream_index(spark.readStream.schema(schema).parquet(source), records, checkpoint).awaitTermination()
+        assert sorted(r.key for r in S.ledger_now(spark, records).collect()) == ["a", "b"]
+    S.compact_ledger(spark, records, str(tmp_path / "compact"), 7)
+    assert S.ledger_now(spark, str(tmp_path / "compact")).count() == 2
+
+
+def test_sitemap_entries(spark):
+    from tidemark.sources import web
+
+    xml = "<urlset><url><loc>a&amp;b</loc></url><url><x/></url><url><loc>c</loc></url><url><loc>d</loc></url></urlset>"
+    df = spark.createDataFrame([(xml,)], "xml string")
+    locs = lambda n: [r["loc"] for r in web.parse_sitemap(df, F.col("xml"), n).orderBy("pos").collect()]
+    assert locs(0) == ["a&b", "c", "d"] and locs(2) == ["a&b", "c"]
+
+
+def test_rules_and_profiles_reject_bad_input(spark):
+    from tidemark.operators import tabular as T
+
+    with pytest.raises(ValueError):
+        T.table_profile({"a": spark.range(1)}, include=["a"], ignore=["b"])
+    with pytest.raises(ValueError):
+        Q.evaluate_json_rules(spark.range(1), [])

@@ -22,6 +22,7 @@ from tidemark.operators.ordering import join_in_parts
 from tidemark.session import settle
 
 METRICS = ("cosine", "ip", "l2")
+MAX_QUERY_BYTES = 256 << 20
 DIGITS = 9  # distances are rounded to this before they are ranked
 _TILE = 4_000_000  # cells of one distance matrix
 
@@ -151,15 +152,16 @@ def _search(
     if k < 1:
         raise ValueError("k starts at 1")
     usable = vectors.where(F.col("embedding").isNotNull())
+    asked = queries.where(F.col("embedding").isNotNull())
+    first = asked.select(F.size("embedding").alias("dim")).head(1)
+    if first:  # a held query set stays below the byte bound, whatever the dimension
+        max_query_rows = max(1, min(max_query_rows, MAX_QUERY_BYTES // (8 * max(1, first[0].dim))))
     schema = f"query_id {_type_of(queries, 'query_id')}, vec_id {_type_of(vectors, 'vec_id')}, distance double"
     if group:
         schema += ", _group string"
     score = _scorer(k, metric, _arrow_type(vectors, "vec_id"), pa.string() if group else None, filters)
     options = {} if slice_rows is None else {"slice_rows": slice_rows}
-    partial = block_join(
-        queries.where(F.col("embedding").isNotNull()), usable, "query_id", "vec_id", score, schema,
-        max_query_rows, **options,
-    )
+    partial = block_join(asked, usable, "query_id", "vec_id", score, schema, max_query_rows, **options)
     keys = ["query_id", "_group"] if group else ["query_id"]
     order = Window.partitionBy(*keys).orderBy("distance", "vec_id")
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -9,6 +9,7 @@ from tidemark.operators import retrieval as R
 from tidemark.plans.indexing import NS
 from tidemark.plans.inputs import docs, table
 from tidemark.plans.registry import query
+from tidemark.session import spread
 from tidemark.sources.scratch import written_table
 
 
@@ -136,7 +137,7 @@ def hybrid_search(spark, d):
     e = vectors(spark, d)
     items = table(spark, d, "benchmark").join(e, F.col("item_id") == e.vec_id).select(
         F.col("item_id").alias("query_id"), "text", "embedding")
-    body = table(spark, d, "documents").join(e, F.col("doc_id") == e.vec_id).select(
+    body = spread(table(spark, d, "documents")).join(e, F.col("doc_id") == e.vec_id).select(
         "doc_id", F.col("text").alias("page_content"), "embedding")
     return R.hybrid_search(items, body).withColumn("score", F.round("score", 6))
 

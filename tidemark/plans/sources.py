@@ -8,6 +8,7 @@ from tidemark.functions.urls import normalize_url
 from tidemark.plans.chunking import FIXED, stored
 from tidemark.plans.inputs import EVENTS_JS, events, table
 from tidemark.plans.registry import query
+from tidemark.session import spread
 from tidemark.sources import files, web
 from tidemark.sources.scratch import scratch_folder, written_csv
 
@@ -145,17 +146,17 @@ def load_chunks(spark, d):
 
 @query("extract_page")
 def extract_page(spark, d):
-    return web.extract_page(table(spark, d, "pages")).withColumn("links", F.size("links"))
+    return web.extract_page(spread(table(spark, d, "pages"))).withColumn("links", F.size("links"))
 
 
 @query("extract_links")
 def extract_links(spark, d):
-    return web.extract_links(table(spark, d, "pages"))
+    return web.extract_links(spread(table(spark, d, "pages")))
 
 
 @query("extract_links_relative")
 def extract_links_relative(spark, d):
-    return web.extract_links(table(spark, d, "pages"), relative_only=True, limit=5)
+    return web.extract_links(spread(table(spark, d, "pages")), relative_only=True, limit=5)
 
 
 _URL = "'^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#:]*)(:[0-9]*)?([^?#]*)([?][^#]*)?'"
@@ -170,7 +171,7 @@ def normal_urls(spark, d):
 
 def page_edges(spark, d):
     """Links between all pages, without fragments."""
-    links = web.extract_links(table(spark, d, "pages"))
+    links = web.extract_links(spread(table(spark, d, "pages")))
     return links.select(*[F.regexp_replace(c, "#.*$", "").alias(c) for c in ("src", "dst")])
 
 
