@@ -10,21 +10,21 @@ from tidemark.plans.inputs import SUPPLY, supply, table
 from tidemark.plans.registry import query
 
 _SHARES = ", ".join(
-    [f"round(stock * {s}, 4) AS \"BILL_AMT{i}\"" for i, s in enumerate((1.0, 0.95, 0.9, 0.88, 0.85, 0.82), 1)]
-    + [f"round(month * {s}, 4) AS \"PAY_AMT{i}\"" for i, s in enumerate((1.0, 0.9, 1.05, 0.95, 1.0, 0.85), 1)])
+    [f"round(stock * {s}, 6) AS \"BILL_AMT{i}\"" for i, s in enumerate((1.0, 0.95, 0.9, 0.88, 0.85, 0.82), 1)]
+    + [f"round(month * {s}, 6) AS \"PAY_AMT{i}\"" for i, s in enumerate((1.0, 0.9, 1.05, 0.95, 1.0, 0.85), 1)])
 
 
 @query("supply_features", f"""WITH {SUPPLY}, s AS (
   SELECT *, lote_minimo_compra / greatest(consumo_medio_6m, 1) AS cover, lote_minimo_compra * custo_aquisicao_unitario AS stock,
     consumo_medio_6m::DOUBLE / 6.0::DOUBLE * custo_aquisicao_unitario AS month FROM supply),
 p AS (SELECT *, CAST(CASE WHEN indice_reajuste_12m > 0.15 OR cover > 3 THEN least(6, trunc(cover)) WHEN indice_reajuste_12m < 0 THEN -1 ELSE 0 END AS DOUBLE) AS pay FROM s)
-SELECT id_insumo, round(least(greatest(consumo_medio_12m * custo_aquisicao_unitario, 1) * 1.2::DOUBLE, 1000000), 4) AS "LIMIT_BAL", 1.0::DOUBLE AS "SEX",
+SELECT id_insumo, round(least(greatest(consumo_medio_12m * custo_aquisicao_unitario, 1) * 1.2::DOUBLE, 1000000), 6) AS "LIMIT_BAL", 1.0::DOUBLE AS "SEX",
   CASE lower(criticidade_insumo) WHEN 'baixa' THEN 1 WHEN 'alta' THEN 3 ELSE 2 END::DOUBLE AS "EDUCATION", 1.0::DOUBLE AS "MARRIAGE",
   least(greatest(prazo_entrega_dias, 21), 79)::DOUBLE AS "AGE", pay AS "PAY_0", greatest(pay - 1, -2) AS "PAY_2", pay AS "PAY_3", least(pay + 1, 8) AS "PAY_4",
   pay AS "PAY_5", greatest(pay - 1, -2) AS "PAY_6", {_SHARES} FROM p""")
 def supply_features(spark, d):
     out = ml.supply_features(supply(spark, d))
-    return out.select("id_insumo", *[F.round(c, 4).alias(c) if "AMT" in c or c == "LIMIT_BAL" else F.col(c) for c in ml.FEATURES])
+    return out.select("id_insumo", *[F.round(c, 6).alias(c) if "AMT" in c or c == "LIMIT_BAL" else F.col(c) for c in ml.FEATURES])
 
 
 DOC_FEATURES = ("chars", "words", "commas", "lines", "capitals")

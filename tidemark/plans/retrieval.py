@@ -33,11 +33,11 @@ E = "e AS (SELECT vec_id, embedding::DOUBLE[] AS x, label FROM embeddings)"
 COS = "(1 - list_dot_product(q.x, v.x) / (sqrt(list_dot_product(q.x, q.x)) * sqrt(list_dot_product(v.x, v.x))))"
 IP = "(-list_dot_product(q.x, v.x))"
 L2 = "list_distance(q.x, v.x)"
-PAIRS = "query_id, vec_id, round(distance, 6) + 0.0 AS distance, CAST(rank AS INTEGER) AS rank"
+PAIRS = "query_id, vec_id, distance + 0.0 AS distance, CAST(rank AS INTEGER) AS rank"
 
 
 def shown(df, *more):
-    return df.select("query_id", "vec_id", (F.round("distance", 6) + 0.0).alias("distance"), "rank", *more)
+    return df.select("query_id", "vec_id", (F.col("distance") + 0.0).alias("distance"), "rank", *more)
 
 
 for _name, _metric, _sql in (("knn_topk", "cosine", COS), ("knn_topk_ip", "ip", IP), ("knn_topk_l2", "l2", L2)):
@@ -62,20 +62,20 @@ def knn_filtered(spark, d):
 
 
 @query("score_threshold", f"""WITH {E}, r AS ({_ranked(COS, 20)})
-SELECT query_id, vec_id, round(1 - distance, 6) AS score FROM r WHERE round(1 - distance, 9) >= 0.3""")
+SELECT query_id, vec_id, round(1 - distance, 9) AS score FROM r WHERE round(1 - distance, 9) >= 0.3""")
 def score_threshold(spark, d):
     found = R.score_threshold(asked(spark, d), vectors(spark, d), 30, 20)
-    return found.select("query_id", "vec_id", F.round("score", 6).alias("score"))
+    return found.select("query_id", "vec_id", "score")
 
 
 @query("embeddings_filter", f"""WITH {E}, r AS ({_ranked(COS, 20)})
-SELECT query_id, vec_id, round(1 - distance, 6) AS similarity,
+SELECT query_id, vec_id, round(1 - distance, 9) AS similarity,
   CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(1 - distance, 9) DESC, vec_id) AS INTEGER) AS rank
 FROM r WHERE round(1 - distance, 9) > 0.25 QUALIFY rank <= 6""")
 def embeddings_filter(spark, d):
     candidates = R.knn_topk(asked(spark, d), vectors(spark, d), 20).select(
         "query_id", "vec_id", F.round(1 - F.col("distance"), 9).alias("similarity"))
-    return R.embeddings_filter(candidates, 0.25, 6).withColumn("similarity", F.round("similarity", 6))
+    return R.embeddings_filter(candidates, 0.25, 6)
 
 
 @query("mmr")
@@ -101,11 +101,11 @@ LISTS = f"""{E}, lists AS (
 
 @query("rrf_fuse", f"""WITH {LISTS}, f AS (
   SELECT group_id, doc_id, round(sum(1 / (rank + 60.0::DOUBLE)), 12) AS score FROM lists GROUP BY 1, 2)
-SELECT group_id, doc_id, round(score, 9) AS score,
+SELECT group_id, doc_id, score,
   CAST(row_number() OVER (PARTITION BY group_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
 FROM f QUALIFY rank <= 4""")
 def rrf_fuse(spark, d):
-    return R.rrf_fuse(three_lists(spark, d)).withColumn("score", F.round("score", 9))
+    return R.rrf_fuse(three_lists(spark, d))
 
 
 @query("multi_query_union", f"""WITH {LISTS}
@@ -130,7 +130,7 @@ p AS (SELECT q.query_id, v.doc_id, coalesce(k.s, 0) AS ks,
 m AS (SELECT *, min(ks) OVER w AS k0, max(ks) OVER w AS k1, min(vs) OVER w AS v0, max(vs) OVER w AS v1 FROM p WINDOW w AS (PARTITION BY query_id)),
 s AS (SELECT query_id, doc_id, round(0.75 * CASE WHEN v1 > v0 THEN (vs - v0) / (v1 - v0) ELSE 0 END
         + 0.25 * CASE WHEN k1 > k0 THEN (ks - k0) / (k1 - k0) ELSE 0 END, 9) AS score FROM m)
-SELECT query_id, doc_id, round(score, 6) AS score,
+SELECT query_id, doc_id, score,
   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
 FROM s QUALIFY rank <= 4""")
 def hybrid_search(spark, d):
@@ -139,7 +139,7 @@ def hybrid_search(spark, d):
         F.col("item_id").alias("query_id"), "text", "embedding")
     body = spread(table(spark, d, "documents")).join(e, F.col("doc_id") == e.vec_id).select(
         "doc_id", F.col("text").alias("page_content"), "embedding")
-    return R.hybrid_search(items, body).withColumn("score", F.round("score", 6))
+    return R.hybrid_search(items, body)
 
 
 def candidates(spark, d, k=10):
@@ -250,10 +250,10 @@ def results_to_chunks(spark, d):
 
 
 @query("query_stats", f"""WITH {CANDIDATES}
-SELECT query_id, 10 AS requested, count(*) AS returned, round(avg(distance), 6) AS mean_distance,
+SELECT query_id, 10 AS requested, count(*) AS returned, round(avg(distance), 12) AS mean_distance,
   substr(trim(min(query_text)), 1, 200) AS preview FROM c GROUP BY 1""")
 def query_stats(spark, d):
-    return R.query_stats(candidates(spark, d), 10).withColumn("mean_distance", F.round("mean_distance", 6))
+    return R.query_stats(candidates(spark, d), 10).withColumn("mean_distance", F.round("mean_distance", 12))
 
 
 @query("nearest_chunks")
@@ -278,4 +278,4 @@ def nearest_chunks(spark, d):
     content = vectors.select(F.col("uid").alias("vec_id"), "page_content", "store_id", "embedding")
     found = R.knn_topk(items, content.select("vec_id", "embedding"), 5).join(content.drop("embedding"), "vec_id")
     return R.results_to_chunks(found, hashed).select(
-        "query_id", "rank", "chunk_id", "chunk_no", F.round("distance", 6).alias("distance"))
+        "query_id", "rank", "chunk_id", "chunk_no", "distance")
