@@ -31,10 +31,11 @@ _MARKDOWN = (
 
 
 def plain_text(text: Column) -> Column:
-    """Text without Markdown marks."""
+    """Text without Markdown marks; a text without any mark is passed on as it is."""
+    plain = text
     for pattern, rest in _MARKDOWN:
-        text = F.regexp_replace(text, pattern, rest)
-    return text
+        plain = F.regexp_replace(plain, pattern, rest)
+    return F.when(text.rlike(r"(?m)[#!\[>*`_~]|^\s*[+-]\s"), plain).otherwise(text)
 
 
 def _value(spec) -> Column:
@@ -42,12 +43,16 @@ def _value(spec) -> Column:
     return spec if isinstance(spec, Column) else F.lit(spec)
 
 
+def _filled(value: Column) -> Column:
+    return F.coalesce(value.cast("string"), F.lit(""))
+
+
 def _leading_number(value: Column) -> Column:
     found = F.regexp_extract(F.coalesce(value.cast("string"), F.lit("")), r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)", 1)
     return F.coalesce(found.try_cast("double"), F.lit(0.0))
 
 
-def _compare(kind: str, op: str, spec1, spec2) -> Column:
+def _compare(kind: str, op: str, spec1, spec2, plain: dict[int, Column]) -> Column:
     one, two = _value(spec1), _value(spec2)
     if kind == "boolean":
         tests = {"equal": lambda: one.eqNullSafe(two), "notEqual": lambda: ~one.eqNullSafe(two)}
@@ -59,7 +64,8 @@ def _compare(kind: str, op: str, spec1, spec2) -> Column:
             "isEmpty": lambda: F.lit(False), "notEmpty": lambda: F.lit(True),
         }
     else:
-        left, right = (plain_text(F.coalesce(v.cast("string"), F.lit(""))) for v in (one, two))
+        left, right = (
+            plain[id(spec)] if id(spec) in plain else plain_text(_filled(value)) for spec, value in ((spec1, one), (spec2, two)))
 
         def matches() -> Column:
             if isinstance(spec2, Column):
@@ -86,11 +92,19 @@ def route_first_match(df: DataFrame, conditions: Sequence[dict]) -> DataFrame:
 
     A condition has type (string, number, boolean), value1, operation, value2; values are columns or literals.
     """
+    # each compared text loses its Markdown once, however many conditions ask for it
+    texts = {
+        id(spec): spec for c in conditions if c.get("type", "string") == "string"
+        for spec in (c["value1"], c.get("value2")) if isinstance(spec, Column)
+    }
+    names = {key: f"_plain{i}" for i, key in enumerate(texts)}
+    staged = df.withColumns({names[key]: plain_text(_filled(spec)) for key, spec in texts.items()}) if texts else df
+    plain = {key: F.col(name) for key, name in names.items()}
     chosen = F.coalesce(*[
-        F.when(_compare(c.get("type", "string"), c["operation"], c["value1"], c.get("value2", "")), F.lit(i))
+        F.when(_compare(c.get("type", "string"), c["operation"], c["value1"], c.get("value2", ""), plain), F.lit(i))
         for i, c in enumerate(conditions)
     ], F.lit(len(conditions)))
-    return df.withColumn("branch", chosen)
+    return staged.withColumn("branch", chosen).drop(*names.values())
 
 
 _NUMERIC = r"^-?\d*\.?\d+$"
