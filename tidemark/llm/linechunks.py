@@ -7,8 +7,10 @@ than once are compared byte by byte (their text is a grouping key); the first oc
 (doc_id, position) stays, the others are removed.
 
 Repeats are found by hashes alone, with partial counts, so a chunk that a third of all documents
-hold costs one row per task.  Only texts of chunks whose hash repeats are shuffled to compare
-them, and the documents meet the positions to remove in one join on doc_id.
+hold costs one row per task.  Before texts are shuffled, to compare them or to remove chunks, rows
+that cannot match are set aside: the hashes looked for are folded into `BUCKETS` numbers, a table
+of at most that many rows that may be broadcast whatever the corpus.  The exact join follows.  With
+very many repeats the folded table lets everything pass; the rows found are the same.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from tidemark.llm.tables import documents_of, stored
 
 DIVISOR = 4
 LEAST_LINES = 2
+BUCKETS = 1 << 20
 _BASE = 1_000_003
 
 
@@ -59,24 +62,25 @@ def chunk_column(text: Column, divisor: int = DIVISOR) -> Column:
     ))
 
 
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _buckets(df: DataFrame, key: str) -> DataFrame:
+    """The buckets that the keys of `df` fall in, BUCKETS rows at most."""
+    return F.broadcast(df.select(_bucket(F.col(key)).alias("bucket")).distinct())
+
+
 def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR, least_lines: int = LEAST_LINES) -> DataFrame:
     """doc_id, gone: for every document with chunks to remove, the positions and hashes of them."""
-    own = docs.where("doc_id is not null")
-    chunked = own.select("doc_id", F.explode(chunk_column(F.col("text"), divisor)).alias("c"))
-    listed = stored(
-        chunked.where(F.col("c.n") >= least_lines).select("doc_id", "c.pos", F.xxhash64("c.text").alias("h"))
-    )
-    repeated = listed.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
-    per_doc = (
-        listed.join(repeated, "h").groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("marks"))
-        .withColumnRenamed("doc_id", "marked_id")
-    )
-    marked = own.join(per_doc, F.expr("doc_id = marked_id")).select(
-        "doc_id", "marks", F.explode(chunk_column(F.col("text"), divisor)).alias("c")
+    chunked = (
+        docs.where("doc_id is not null").select("doc_id", F.explode(chunk_column(F.col("text"), divisor)).alias("c"))
+        .where(F.col("c.n") >= least_lines).select("doc_id", "c.pos", "c.text", F.xxhash64("c.text").alias("h"))
     )
+    repeated = stored(chunked.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"))
     texts = stored(
-        marked.select("doc_id", "marks", "c.pos", "c.text", F.xxhash64("c.text").alias("h"))
-        .where(F.array_contains("marks", F.struct("pos", "h"))).select("doc_id", "pos", "h", "text")
+        chunked.withColumn("bucket", _bucket(F.col("h"))).join(_buckets(repeated, "h"), "bucket", "left_semi")
+        .join(repeated, "h", "left_semi").select("doc_id", "pos", "h", "text")
     )
     first = texts.groupBy("h", "text").agg(
         F.count("*").alias("times"), F.min(F.struct("doc_id", "pos")).alias("first")
@@ -98,16 +102,19 @@ def dedup_lines(
     gone = stored(gone.select(F.col("doc_id").alias("gone_id"), "gone"))
     whole = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{id_col}`").alias("row_id"),
-        F.col(f"`{text_col}`").alias("row_text"),
+        F.col(f"`{text_col}`").alias("row_text"), _bucket(F.col(f"`{id_col}`")).alias("bucket"),
     )
     stays = lambda c: ~F.array_contains("gone", F.struct(c["pos"], F.xxhash64(c["text"]).alias("h")))
     kept = F.filter(chunk_column(F.col("row_text"), divisor), stays)
     n_lines = F.when(F.col("row_text").isNull(), 0).otherwise(F.size(F.split("row_text", "\n", -1))).cast("long")
-    joined = whole.join(gone, F.expr("row_id = gone_id"), "left").select(
+    buckets = _buckets(gone, "gone_id")
+    untouched = whole.join(buckets, "bucket", "left_anti").select(
+        "row", F.col("row_text").alias("kept_text"), n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    joined = whole.join(buckets, "bucket", "left_semi").join(gone, F.expr("row_id = gone_id"), "left").select(
         "row", "row_text", "gone", n_lines.alias("n_lines"),
         F.when(F.col("gone").isNotNull(), kept).alias("kept"),
     )
-    return joined.select(
+    changed = joined.select(
         "row",
         F.when(F.col("gone").isNull(), F.col("row_text"))
         .otherwise(F.array_join(F.transform("kept", lambda c: c["text"]), "\n")).alias("kept_text"),
@@ -115,3 +122,4 @@ def dedup_lines(
         F.when(F.col("gone").isNull(), F.lit(0).cast("long"))
         .otherwise(F.col("n_lines") - F.aggregate("kept", F.lit(0).cast("long"), lambda s, c: s + c["n"])).alias("n_removed"),
     )
+    return untouched.unionByName(changed)
