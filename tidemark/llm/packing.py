@@ -37,58 +37,78 @@ def encoder(path: str, end_id: int = END_ID):
     """Function from texts to token bytes (little-endian unsigned 32 bit), the end id included.
 
     Words between single blanks and line feeds are tokenised once and remembered: the byte-level
-    pattern never joins letters across them.  A text in which white space is adjacent, or that
-    holds a special token's string, is tokenised whole.
+    pattern never joins letters across them.  A word of letters, and the dots and commas after one, are
+    each one unit of the pattern, so the model is asked for the bare word; all other words go through the
+    whole tokenizer.  So does a text in which white space is adjacent, or that holds a special token's string.
     """
     import re
+    import sys
+    from array import array
 
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
-    whole = re.compile("|".join([r"\s\s", r"^\s", r"\s\Z", *map(re.escape, special)]))
-    feed = tok.encode("\n", add_special_tokens=False).ids
-    end = np.array([end_id], "<u4").tobytes()
-    feed_bytes = np.array(feed, "<u4").tobytes()
-    memo: dict[str, bytes] = {}
+    letters = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+    # the letters as the model knows them, from the pattern itself
+    spelled = str.maketrans({
+        chr(c): tok.pre_tokenizer.pre_tokenize_str("a" + chr(c))[0][0][1:] for c in range(0xC0, 0x250) if chr(c).isalpha()})
+    blank = tok.pre_tokenizer.pre_tokenize_str(" a")[0][0][:-1]
+
+    def packed(ids):
+        numbers = array("I", ids)
+        if sys.byteorder == "big":
+            numbers.byteswap()
+        return numbers.tobytes()
 
     def ids(text):
-        return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed(tok.encode(text, add_special_tokens=False).ids)
+
+    feed, end = ids("\n"), packed([end_id])
+    ask = tok.model.tokenize
+    marks: dict[str, bytes] = {"": b""}
+    # words after a blank, and words after a line feed with the line feed
+    memo: dict[str, bytes] = {}
 
     def learn(words):
-        joined = tok.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0]
-        found = np.array(joined.ids, "<u4")
-        parts = np.split(found, np.flatnonzero(found == feed[0]))
-        for k, (word, part) in enumerate(zip(words, parts, strict=True)):
-            memo[word] = part[k > 0:].tobytes()
+        odd = []
+        for word in words:
+            core = word.rstrip(".,")
+            tail = word[len(core):]
+            after_feed = core[:1] == "\n"
+            bare = core[1:] if after_feed else core
+            if not letters(bare):
+                odd.append(word)
+                continue
+            if (found := memo.get(core)) is None:
+                if not bare.isascii():
+                    bare = bare.translate(spelled)
+                found = packed([t.id for t in ask(bare if after_feed else blank + bare)])
+                found = memo[core] = feed + found if after_feed else found
+            if tail:
+                if tail not in marks:
+                    marks[tail] = ids(tail)
+                memo[word] = found + marks[tail]
+        for lo in range(0, len(odd), 256):
+            part = odd[lo:lo + 256]
+            batch = tok.encode_batch_fast([w if w[0] == "\n" else " " + w for w in part], add_special_tokens=False)
+            memo.update((w, packed(e.ids)) for w, e in zip(part, batch))
+
+    def plain(text):
+        """Whether every gap between words is one blank or one line feed, with none at the ends."""
+        words, gaps = text.split(), text.count(" ") + text.count("\n")
+        single = len(words) == gaps + 1 and sum(map(len, words)) + gaps == len(text)
+        return single and not any(s in text for s in special)
 
     def encode(texts):
-        nonlocal memo
-        split = []
-        for text in texts:
-            if not text or whole.search(text):
-                split.append(None)
-                continue
-            words = text.replace("\n", " \n ").split(" ")
-            pieces, fresh = [], True
-            for w in words:
-                if w == "\n":
-                    pieces.append(w)
-                    fresh = True
-                elif fresh:
-                    pieces.append(w)
-                    fresh = False
-                else:
-                    pieces.append(" " + w)
-            split.append(pieces)
         if len(memo) > _ENTRIES:
-            memo = {}
-        memo["\n"], memo[""] = feed_bytes, b""
-        new = [w for w in set().union(*(s for s in split if s)) if w not in memo]
-        for lo in range(0, len(new), 4096):
-            learn(new[lo:lo + 4096])
+            memo.clear()
+        split = [("\n" + text).replace("\n", " \n").split(" ")[1:] if text and plain(text) else None for text in texts]
+        learn(set().union(*(words for words in split if words)).difference(memo))
+        get, skip = memo.__getitem__, len(feed)
         return [
-            (b"".join([memo[w] for w in s]) if s else ids(t) if t else b"") + end for s, t in zip(split, texts)
+            (b"".join(map(get, words))[skip:] if words else ids(text) if text else b"") + end
+            for words, text in zip(split, texts)
         ]
 
     return encode
