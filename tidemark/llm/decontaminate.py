@@ -6,7 +6,7 @@
 2. Randomised SVD over all passages: each task multiplies its rows A with a small matrix Q and
    gives its share of A'AQ (vocabulary x rank); the shares are summed in two levels of groups.
    One power step, a QR on the driver (vocabulary x rank numbers) and a second pass give the
-   latent directions.
+   latent directions, scaled to equal variance so that frequent words do not rule the cosine.
 3. Search: every passage of every document is projected and compared with all items by cosine.
    Items above the threshold are checked in the words around the passage: the longest common
    subsequence must cover enough of the item, and of its answer (the last sentence of the item,
@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import documents_of, stored
 
 BLOCK = 32
-RANK = 48
+RANK = 128
 OVERSAMPLE = 8
-MAX_SHARE = 0.2
-COSINE = 0.45
+#: terms in more blocks than this share are left out, but for the rarest third of each item, six at least
+MAX_SHARE = 0.02
+KEPT_TERMS = 6
+COSINE = 0.4
 LCS_SHARE = 0.6
 ANSWER_SHARE = 0.5
 MAX_BENCHMARK_CHARS = 64_000_000
@@ -176,8 +178,12 @@ def learned(df: DataFrame, items: list, id_col: str = "doc_id", text_col: str =
     for r in counted:
         n[r["term"]] = r["n"]
     passages = max(n[size], 1)
-    idf = np.log((1 + passages) / (1 + n[:size])).astype(np.float32)
-    idf[n[:size] > MAX_SHARE * passages] = 0
+    idf = (np.log((1 + passages) / (1 + n[:size])) + 0.1).astype(np.float32)
+    kept = n[:size] <= MAX_SHARE * passages
+    for _, words, _ in items:
+        own = sorted({vocabulary[w] for w in words}, key=lambda k: (n[k], k))
+        kept[own[:max(KEPT_TERMS, len(own) // 3)]] = True
+    idf[~kept] = 0
     width = min(size, rank + OVERSAMPLE)
     q = np.linalg.qr(np.random.default_rng(42).standard_normal((size, width)))[0]
     kind = "chunk int, values binary"
@@ -185,9 +191,11 @@ def learned(df: DataFrame, items: list, id_col: str = "doc_id", text_col: str =
     q = np.linalg.qr(first)[0]
     second = _summed(rows.mapInPandas(_gram_share(idf, q), kind), width) if n[size] else q
     small = q.T @ second
-    _, turns = np.linalg.eigh((small + small.T) / 2)
-    directions = q @ turns[:, ::-1][:, :rank]
-    return {"items": items, "vocabulary": vocabulary, "weighted": (directions * idf[:, None]).astype(np.float32)}
+    power, turns = np.linalg.eigh((small + small.T) / 2)
+    directions, power = q @ turns[:, ::-1][:, :rank], power[::-1][:rank]
+    scale = np.where(power > 1e-6 * max(power[0], 1e-12), 1 / np.sqrt(np.maximum(power, 1e-12)), 0)
+    weighted = (directions * scale * idf[:, None]).astype(np.float32)
+    return {"items": items, "vocabulary": vocabulary, "weighted": weighted, "idf": idf, "directions": directions}
 
 
 def lcs_length(words: list, masks: dict, length: int) -> int:
@@ -223,9 +231,16 @@ def leak_column(model: dict, text: Column, cosine: float = COSINE, lcs: float =
             norms = np.linalg.norm(aims, axis=1, keepdims=True)
             aims = np.where(norms > 0, aims / np.maximum(norms, 1e-12), 0).astype(np.float32).T
 
-        def check(words, lo, hi, k, best, cos):
-            item, _, masks, length, last_masks, last = asked[k]
-            span = words[max(0, lo - length):hi + length]
+        def check(words, lo, hi, k, best, cos, spans):
+            item, own, masks, length, last_masks, last = asked[k]
+            reach = -(-length // BLOCK) * BLOCK
+            if reach not in spans:
+                span = words[max(0, lo - reach):hi + reach]
+                spans[reach] = span, set(span)
+            span, present = spans[reach]
+            # no subsequence is longer than the words the two have in common
+            if sum(map(present.__contains__, own)) < lcs * length:
+                return
             share = lcs_length(span, masks, length) / length
             if share < lcs:
                 return
@@ -254,11 +269,14 @@ def leak_column(model: dict, text: Column, cosine: float = COSINE, lcs: float =
                     size = np.linalg.norm(part, axis=1)
                     close = part @ aims >= (cosine * size)[:, None]
                     close[size == 0] = False
-                    for p, k in zip(*np.nonzero(close)):
-                        doc = owner[places[lo + p]]
-                        start = int(places[lo + p] - base[doc]) * BLOCK
+                    at, spans = -1, {}
+                    for p, k in zip(*map(np.ndarray.tolist, np.nonzero(close))):
+                        if p != at:
+                            at, spans = p, {}
+                            doc = owner[places[lo + p]]
+                            start = int(places[lo + p] - base[doc]) * BLOCK
                         cos = float(part[p] @ aims[:, k] / size[p])
-                        check(split[doc], start, start + wide * BLOCK, int(k), found[doc], cos)
+                        check(split[doc], start, start + wide * BLOCK, k, found[doc], cos, spans)
             return [
                 [{"item_id": i, "cosine": c, "lcs": s, "answer": a} for i, s, a, c in (best[k] for k in sorted(best))]
                 for best in found

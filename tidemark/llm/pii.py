@@ -20,7 +20,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.credentials import span_digest  # noqa: F401
 from tidemark.llm.tables import documents_of, stored
 
 BASE = ("email", "ip", "card", "phone")
