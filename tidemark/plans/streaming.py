@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import indexing as X
 from tidemark.plans.indexing import NS
-from tidemark.plans.inputs import docs, table
+from tidemark.plans.inputs import table
 from tidemark.plans.registry import query
 from tidemark.sources.scratch import scratch_folder
 from tidemark.streaming import index as S
@@ -48,11 +48,17 @@ def request_counters(spark, d):
     return _hourly(U.request_counters(requests(table(spark, d, "events"))))
 
 
-@query("request_counters_stream", f"""{_COUNTERS}
-WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2, 3""")
+def merged(spark, stream, count, keys):
+    """Run a stream over all that is there, some files at a time, and add up what its batches wrote."""
+    folder = scratch_folder(spark)
+    U.partial_counts(stream, f"{folder}/out", f"{folder}/checkpoint", count).awaitTermination()
+    return U.merged_counts(spark.read.parquet(f"{folder}/out"), keys)
+
+
+@query("request_counters_stream", f"{_COUNTERS} GROUP BY 1, 2, 3")
 def request_counters_stream(spark, d):
-    """Only windows the watermark has passed are written."""
-    return _hourly(finished(U.request_counters(requests(as_stream(spark, d, "events")))))
+    keys = ["window_start", "window_end", "name", "status"]
+    return _hourly(merged(spark, requests(as_stream(spark, d, "events")), U.request_counters, keys))
 
 
 _LE = ", ".join(f"count(*) FILTER (WHERE value <= {b}) AS le_{b}" for b in U.BUCKETS)
@@ -67,11 +73,10 @@ def latency_histogram(spark, d):
 
 
 @query("latency_histogram_stream", f"""SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d') AS day, event_type, {_LE}, count(*) AS le_inf,
-  round(sum(value), 2) AS latency_sum, count(*) AS latency_count FROM events
-WHERE time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
+  round(sum(value), 2) AS latency_sum, count(*) AS latency_count FROM events GROUP BY 1, 2""")
 def latency_histogram_stream(spark, d):
     timed = as_stream(spark, d, "events").withColumn("latency", F.col("value"))
-    out = finished(U.latency_histogram(timed, ["event_type"], "1 day"))
+    out = merged(spark, timed, lambda batch: U.latency_histogram(batch, ["event_type"], "1 day"), ["window_start", "event_type"])
     return out.withColumns({"day": F.date_format("window_start", "yyyy-MM-dd"), "latency_sum": F.round("latency_sum", 2)}).drop("window_start")
 
 
@@ -79,12 +84,24 @@ def hits(events):
     return events.select(F.col("user_id").alias("key"), "ts", F.col("event_id").alias("id"))
 
 
-@query("rate_limit")
+# the log of a key after each of its hits, one hit a round
+SLIDING = """
+WITH RECURSIVE h AS (SELECT user_id, event_id, ts, epoch_us(ts) / 1000000.0 AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+r AS (
+  SELECT user_id, event_id, ts, n, [t] AS log, true AS allowed FROM h WHERE n = 1
+  UNION ALL
+  SELECT user_id, event_id, ts, n, CASE WHEN len(live) < 3 THEN list_append(live, t) ELSE live END, len(live) < 3 FROM (
+    SELECT h.user_id, h.event_id, h.ts, h.n, h.t, list_filter(r.log, lambda x : x > h.t - 43200) AS live
+    FROM r JOIN h ON h.user_id = r.user_id AND h.n = r.n + 1))
+SELECT event_id AS id, user_id AS key, allowed FROM r"""
+
+
+@query("rate_limit", SLIDING)
 def rate_limit(spark, d):
-    return U.rate_limit(hits(table(spark, d, "events")), 3, 12 * 3600)
+    return U.rate_limit(hits(table(spark, d, "events")), 3, 12 * 3600).select("id", "key", "allowed")
 
 
-@query("rate_limit_stream")
+@query("rate_limit_stream", SLIDING)
 def rate_limit_stream(spark, d):
     return finished(U.rate_limit_stream(hits(as_stream(spark, d, "events")), 3, 12 * 3600))
 

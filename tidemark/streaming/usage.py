@@ -3,39 +3,38 @@
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.operators.ordering import HOT_ROWS, next_value, number_rows, running_sum
+from tidemark.operators.ordering import next_value, number_rows, running_sum
 
 # fixed values: upper bounds of the latency buckets in milliseconds
 BUCKETS = (1, 5, 15, 50, 100, 200, 300, 400, 500)
 
 
-def _timed(events: DataFrame, watermark: str) -> DataFrame:
-    events = events.withColumn("ts", F.col("ts").cast("timestamp"))  # a watermark needs a time with zone
-    return events.withWatermark("ts", watermark) if events.isStreaming else events
+def _timed(events: DataFrame) -> DataFrame:
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def request_counters(events: DataFrame, window: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
+def request_counters(events: DataFrame, window: str = "1 hour") -> DataFrame:
     """Requests (ts, name, status) per window, name and status."""
     return (
-        _timed(events, watermark).groupBy(F.window("ts", window), "name", "status").agg(F.count(F.lit(1)).alias("requests"))
+        _timed(events).groupBy(F.window("ts", window), "name", "status").agg(F.count(F.lit(1)).alias("requests"))
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "name", "status", "requests")
     )
 
 
 def latency_histogram(
-    events: DataFrame, by: Sequence[str], window: str = "1 hour", watermark: str = "10 minutes",
-    buckets: Sequence[float] = BUCKETS,
+    events: DataFrame, by: Sequence[str], window: str = "1 hour", buckets: Sequence[float] = BUCKETS,
 ) -> DataFrame:
     """Cumulative bucket counts of `latency` (ms) per window and label set, with sum and count."""
     le = [F.count(F.when(F.col("latency") <= b, 1)).alias(f"le_{b:g}") for b in buckets]
-    out = _timed(events, watermark).groupBy(F.window("ts", window), *by).agg(
+    out = _timed(events).groupBy(F.window("ts", window), *by).agg(
         *le, F.count("latency").alias("le_inf"), F.sum("latency").alias("latency_sum"),
         F.count("latency").alias("latency_count"))
     return out.select(
@@ -43,13 +42,34 @@ def latency_histogram(
         "latency_count")
 
 
+def partial_counts(
+    stream: DataFrame, path: str, checkpoint: str, count: Callable[[DataFrame], DataFrame]
+) -> StreamingQuery:
+    """Write `count(batch)` of every micro-batch to a folder of its own; a repeated batch writes the same folder.
+
+    Counts and sums of batches add up, so no state is kept, open windows are there at once and a row is
+    never too late.
+    """
+
+    def write(batch: DataFrame, run: int) -> None:
+        count(batch).write.mode("overwrite").parquet(f"{path}/run={run}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def merged_counts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add up the partial counts of all batches; every column but `keys` is a count or a sum."""
+    sums = [c for c in parts.columns if c not in (*keys, "run")]
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
 # ---- sliding log -----------------------------------------------------------------------------
 
 def _seconds(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp")) / F.lit(1_000_000.0)
 
 
-def rate_limit(events: DataFrame, max_requests: int, window_s: float, hot_rows: int = HOT_ROWS) -> DataFrame:
+def rate_limit(events: DataFrame, max_requests: int, window_s: float, slices: int | None = None) -> DataFrame:
     """Add `allowed` by a sliding log per key (key, ts, id); blocked hits are not recorded.
 
     A pause as long as the window empties the log, so the hits of a key are cut at such pauses and the
@@ -59,9 +79,9 @@ def rate_limit(events: DataFrame, max_requests: int, window_s: float, hot_rows:
     timed = events.withColumn("_t", _seconds(F.col("ts"))).withColumn("_minus", -F.col("_t"))
     # the hit before is the next one in reversed order
     stepped = next_value(
-        timed.withColumn("_rid", -F.col("id")), ["key"], ["_minus", "_rid"], "_t", "_prev", hot_rows=hot_rows)
+        timed.withColumn("_rid", -F.col("id")), ["key"], ["_minus", "_rid"], "_t", "_prev", slices=slices)
     starts = F.coalesce((F.col("_t") - F.col("_prev") >= window_s).cast("int"), F.lit(1))
-    runs = running_sum(stepped, ["key"], ["_t", "id"], starts, "_run", hot_rows=hot_rows)
+    runs = running_sum(stepped, ["key"], ["_t", "id"], starts, "_run", slices=slices)
     kept = [c for c in events.columns]
     ordered = (
         runs.select(*kept, "_t", "_run").repartition("key", "_run").sortWithinPartitions("key", "_run", "_t", "id")
@@ -85,11 +105,13 @@ def rate_limit(events: DataFrame, max_requests: int, window_s: float, hot_rows:
     return ordered.mapInPandas(walk, f"{fields}, allowed boolean")
 
 
-def rate_limit_stream(events: DataFrame, max_requests: int, window_s: float, watermark: str = "10 minutes") -> DataFrame:
+def rate_limit_stream(events: DataFrame, max_requests: int, window_s: float, idle: str = "1 hour") -> DataFrame:
     """The sliding log on a stream: the times of the recorded hits are the state of a key.
 
-    The state leaves once the watermark has passed the last hit by a window.
+    Every hit gets a verdict; one that arrives late is held against the log as it stands.  The state of a
+    key leaves when no hit has come for the window and `idle` of the clock on the wall.
     """
+    pause_ms = int(window_s * 1000) + int(pd.Timedelta(idle).total_seconds() * 1000)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -105,23 +127,22 @@ def rate_limit_stream(events: DataFrame, max_requests: int, window_s: float, wat
             if allowed[-1]:
                 log.append(now)
         state.update((list(log),))
-        last = log[-1] if log else hits["t"].iloc[-1]
-        state.setTimeoutTimestamp(max(int((last + window_s) * 1000), state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutDuration(pause_ms)
         yield pd.DataFrame({"id": hits["id"], "key": hits["key"], "allowed": allowed})
 
     key_type, id_type = (events.schema[c].dataType.simpleString() for c in ("key", "id"))
     return (
-        _timed(events, watermark).withColumn("t", _seconds(F.col("ts"))).select("key", "id", "ts", "t").groupBy("key")
+        events.withColumn("t", _seconds(F.col("ts"))).select("key", "id", "t").groupBy("key")
         .applyInPandasWithState(
             step, f"id {id_type}, key {key_type}, allowed boolean", "hits array<double>", "append",
-            GroupStateTimeout.EventTimeTimeout)
+            GroupStateTimeout.ProcessingTimeTimeout)
     )
 
 
-def rate_limit_fixed(events: DataFrame, max_requests: int, window_s: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def rate_limit_fixed(events: DataFrame, max_requests: int, window_s: int, slices: int | None = None) -> DataFrame:
     """Add `allowed`: the first hits of every key in each epoch-aligned window."""
     windowed = events.withColumn("_w", F.floor(_seconds(F.col("ts")) / window_s))
-    numbered = number_rows(windowed, ["key", "_w"], ["ts", "id"], "_rn", hot_rows=hot_rows)
+    numbered = number_rows(windowed, ["key", "_w"], ["ts", "id"], "_rn", slices=slices)
     return numbered.withColumn("allowed", F.col("_rn") <= max_requests).drop("_w", "_rn")
 
 
