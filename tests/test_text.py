@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import jsons, safety, templates, text
-from tidemark.functions.markup import page_facts, to_markdown
+from tidemark.functions import html as markup
 from tidemark.functions.urls import normalize_url
 from tidemark.operators import chunking, indexing, metadata
 from tidemark.operators import safety as guards
@@ -214,12 +214,33 @@ def test_templates():
     assert templates.template_variables("a {x} \\{no\\} {b:c} {{y}}") == ["x", "y"]
 
 
-def test_html():
-    page = page_facts("https://a.example.com/x/", "<title>T &amp; U</title><meta property='og:description' content='D'>"
-                      "<p>one  two<p>three</p><a href='/y'>y</a><a href='#f'>f</a><a href='mailto:a@b'>m</a><a href='/y'>y</a>"
-                      "<script>var t='</p>';</script>")
-    assert page == {"title": "T & U", "description": "D", "body_text": "one two three", "links": ["https://a.example.com/y"]}
-    assert to_markdown("<h2>Hi</h2><p>a <b>b</b> <a href='/x'>c</a></p><ul><li>d</li></ul>") == "## Hi\n\na **b** [c](/x)\n\n*   d"
+def test_html(spark):
+    from tidemark.sources import web
+
+    page = ("<title>T &amp; U</title><meta property='og:description' content='D'>"
+            "<p>one  two<p>three</p><a href='/y'>y</a><a href='#f'>f</a><a href='mailto:a@b'>m</a><a href='/y'>y</a>"
+            "<script>var t='</p>';</script>")
+    df = spark.createDataFrame([("https://a.example.com/x/", page), ("https://a.example.com/z", None)], "url string, html string")
+    got, none = (r.asDict() for r in web.extract_page(df).orderBy("url").collect())
+    assert got == {"url": "https://a.example.com/x/", "title": "T & U", "description": "D", "body_text": "one two three",
+                   "links": ["https://a.example.com/y"]}
+    assert none["title"] == "No title found" and none["description"] == "No description found" and none["links"] == []
+    text = "<h2>Hi</h2><p>a <b>b</b> <a href='/x'>c</a></p><ul><li>d</li></ul>"
+    assert one(spark, text, markup.to_markdown) == "## Hi\n\na **b** [c](/x)\n\n*   d"
+    assert one(spark, "a &#233; &#xe9; &lt;b&gt; &amp;amp; &#0;", markup.unescape) == "a \u00e9 \u00e9 <b> &amp; \ufffd"
+    links = [(r["dst"], r["pos"]) for r in web.extract_links(df, relative_only=True, limit=0).orderBy("src", "pos").collect()]
+    assert links == [("https://a.example.com/x/", 0), ("https://a.example.com/z", 0)]
+
+
+@pytest.mark.parametrize("href,expected", [
+    ("/y", "https://a.com/y"), ("y", "https://a.com/d/y"), ("../y?q=1", "https://a.com/y?q=1"), ("./z/../k#f", "https://a.com/d/k#f"),
+    ("?q", "https://a.com/d/x?q"), ("#f", "https://a.com/d/x#f"), ("//B.com", "https://b.com/"), ("HTTP://B.com:80/a b", "http://b.com/a%20b"),
+    ("https://b.com:8443/", "https://b.com:8443/"), ("https://b.com:x/", None), ("https:///p", None), ("mailto:a@b", "mailto:a@b"),
+    ("", "https://a.com/d/x"), ("..", "https://a.com/"), (" /y ", "https://a.com/y"),
+])
+def test_links_resolve(spark, href, expected):
+    df = spark.createDataFrame([("https://a.com/d/x", href)], "base string, href string")
+    assert df.select(markup.resolve(F.col("base"), F.col("href")).alias("r")).first().r == expected
 
 
 @pytest.mark.parametrize("url,expected", [

@@ -139,6 +139,20 @@ def detect_injection(text: Column) -> Column:
 
 
 _OPEN, _MID, _CLOSE = "\u0001", "\u0003", "\u0002"
+# how the marks are written where a text holds them itself
+_ESCAPES = (("\u0004", "\u0004d"), (_OPEN, "\u0004a"), (_CLOSE, "\u0004b"), (_MID, "\u0004c"))
+
+
+def _escaped(text: Column) -> Column:
+    for char, written in _ESCAPES:
+        text = F.replace(text, F.lit(char), F.lit(written))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    for char, written in reversed(_ESCAPES):
+        text = F.replace(text, F.lit(written), F.lit(char))
+    return text
 
 
 def _allowed_host(allowlist: Sequence[str]) -> str | None:
@@ -158,9 +172,7 @@ def sanitize_links(text: Column, allowlist: Sequence[str]) -> Column:
     the links to strip, one action each.
     """
     allowed = _allowed_host(allowlist)
-    clean = F.translate(text, _OPEN + _MID + _CLOSE, "")
-
-    marked = F.regexp_replace(clean, r"\[([^\]]+)\]\(([^)]+)\)", f"{_OPEN}$1{_MID}$2{_CLOSE}")
+    marked = F.regexp_replace(_escaped(text), r"\[([^\]]+)\]\(([^)]+)\)", f"{_OPEN}$1{_MID}$2{_CLOSE}")
     if allowed:
         marked = F.regexp_replace(
             marked, rf"(?U){_OPEN}([^{_CLOSE}{_MID}]*){_MID}(\s*{allowed}\s*){_CLOSE}", "[$1]($2)")
@@ -174,7 +186,7 @@ def sanitize_links(text: Column, allowlist: Sequence[str]) -> Column:
 
     def result(step: Column) -> Column:
         return F.struct(
-            F.regexp_replace(step["t"], rf"{_OPEN}[^{_CLOSE}]*{_CLOSE}", LINK_REMOVED).alias("text"),
+            _unescaped(F.regexp_replace(step["t"], rf"{_OPEN}[^{_CLOSE}]*{_CLOSE}", LINK_REMOVED)).alias("text"),
             F.array_repeat(F.lit("stripped_link"), step["n"] + _count(step["t"], _OPEN)).alias("actions"))
 
     untouched = F.struct(text.alias("text"), F.array().cast("array<string>").alias("actions"))

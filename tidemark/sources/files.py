@@ -13,13 +13,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tidemark.functions import jsons
-from tidemark.operators.ordering import join_in_parts, number_rows
+from tidemark.operators.ordering import PART_CHARS, join_in_parts, number_rows
 
 # fixed values: file name endings read as plain text
 TEXT_ENDINGS = (
-    "txt aspx asp cpp c cs css go h kt java js less ts php proto python py rst ruby rb rs scala sc scss sol sql swift "
-    "markdown md tex ltx html vb xml"
-).split()
+    "txt", "aspx", "asp", "cpp", "c", "cs", "css", "go", "h", "kt", "java", "js", "less", "ts", "php", "proto", "python",
+    "py", "rst", "ruby", "rb", "rs", "scala", "sc", "scss", "sol", "sql", "swift", "markdown", "md", "tex", "ltx", "html",
+    "vb", "xml",
+)
+
+# a quoted value may hold line feeds and doubled quotes.  Such a file is read by one task, so large inputs
+# have to come as many files
+CSV = {"multiLine": True, "escape": '"'}
 
 
 # ---- CSV -------------------------------------------------------------------------------------
@@ -51,7 +56,7 @@ def load_csv_union(
     """
     listed = [paths] if isinstance(paths, str) else list(paths)
     groups = [listed] if same_columns else _csv_groups(spark, listed)
-    frames = [spark.read.csv(group, header=True, inferSchema=infer, escape='"') for group in groups]
+    frames = [spark.read.csv(group, header=True, inferSchema=infer, **CSV) for group in groups]
     types: dict[str, list] = {}
     for frame in frames:
         for field in frame.schema:
@@ -93,7 +98,7 @@ def load_csv_docs(spark: SparkSession, path: str, column: str | None = None, rec
     """One document per row: the value of a column, or `key: value` lines."""
     out: DataFrame | None = None
     for group in _csv_groups(spark, [path], recursive):
-        docs = _csv_docs(spark.read.csv(group, header=True, escape='"'), column)
+        docs = _csv_docs(spark.read.csv(group, header=True, **CSV), column)
         out = docs if out is None else out.unionByName(docs)
     if out is None:
         raise ValueError(f"no CSV file in {path}")
@@ -102,71 +107,73 @@ def load_csv_docs(spark: SparkSession, path: str, column: str | None = None, rec
 
 # ---- JSON ------------------------------------------------------------------------------------
 
-_ABSENT = object()
-
-
-def _point(node, steps: list):
-    for step in steps:
-        if isinstance(node, dict):
-            node = node.get(str(step), _ABSENT)
-        elif isinstance(node, list) and isinstance(step, int) and 0 <= step < len(node):
-            node = node[step]
-        else:
-            return _ABSENT
-    return node
-
-
-def _strings(node) -> Iterator[str]:
-    """Non-empty strings below a value, in walk order."""
-    if isinstance(node, str):
-        if node:
-            yield node
-    elif isinstance(node, (dict, list)):
-        for child in node.values() if isinstance(node, dict) else node:
-            yield from _strings(child)
-
-
-def _pointed(node, pointers: list[list], found: bool) -> Iterator[str]:
-    """Strings below the pointers.  A level without a match is searched deeper until one matched."""
-    if not node or not isinstance(node, (dict, list)):
-        return
-    hits = [h for h in (_point(node, p) for p in pointers) if h is not _ABSENT and h]
-    children = list(node.values() if isinstance(node, dict) else node)
-    if hits:
-        for hit in hits:
-            yield from _strings(hit)
-        for child in children:
-            if not any(child is h for h in hits):
-                yield from _pointed(child, pointers, True)
-    elif not found:
-        for child in children:
-            yield from _pointed(child, pointers, False)
-
-
-def _lines(node: dict, prefix: str = "") -> str:
-    out = []
-    for key, value in node.items():
-        name = f"{prefix}.{key}" if prefix else key
-        if isinstance(value, dict):
-            out.append(_lines(value, name))
-        else:
-            out.append(f"{name}: {jsons.dump(value) if isinstance(value, list) else jsons.js_text(value)}")
-    return "\n".join(out)
-
-
-def _json_documents(text: str, pointers: list[list], mapping: dict[str, list], by_object: bool) -> list[tuple[str, dict]]:
+def _below(value, path: tuple = ()) -> Iterator[tuple[tuple, object]]:
+    """Every value of a JSON tree with its path, parents first."""
+    yield path, value
+    children = value.items() if isinstance(value, dict) else enumerate(value) if isinstance(value, list) else ()
+    for step, child in children:
+        yield from _below(child, (*path, str(step)))
+
+
+def _matches(leaf: tuple, tree: dict[tuple, object], hits: dict[tuple, list], order: dict[tuple, int]) -> Iterator[tuple]:
+    """Sort keys of the places at which a leaf is below a pointer, from the root down.
+
+    Values without a match are passed until the first with one; from there only values with a match lead on.
+    """
+    place: tuple = ()
+    started = False
+    for depth in range(len(leaf)):
+        here = hits.get(leaf[:depth], [])
+        if started and not here:
+            return
+        started = started or bool(here)
+        for k, target in here:
+            if leaf[:len(target)] == target:
+                yield (*place, (0, k, order[leaf]))
+        if any(target == leaf[:depth + 1] for _, target in here):
+            return
+        place = (*place, (1, order[leaf[:depth + 1]]))
+
+
+def _strings(item, pointers: list[list]) -> list[str]:
+    """The non-empty strings of an item, or those below the pointers."""
+    tree = dict(_below(item))
+    texts = [(path, value) for path, value in tree.items() if isinstance(value, str) and value]
+    if not pointers:
+        return [value for _, value in texts]
+    order = {path: i for i, path in enumerate(tree)}
+    hits = {
+        path: found for path, value in tree.items() if isinstance(value, (dict, list))
+        and (found := [(k, (*path, *steps)) for k, steps in enumerate(pointers) if tree.get((*path, *steps))])
+    }
+    found = [(place, value) for path, value in texts for place in _matches(path, tree, hits, order)]
+    return [value for _, value in sorted(found, key=lambda x: x[0])]
+
+
+def _object_lines(item: dict) -> str:
+    """`a.b: value` lines; arrays stay JSON, an object without members is an empty line."""
+    lines = []
+    tree = dict(_below(item))
+    for path, value in tree.items():
+        inside = any(isinstance(tree[path[:i]], list) for i in range(len(path)))
+        if not path or inside or (isinstance(value, dict) and value):
+            continue
+        name = ".".join(map(str, path))
+        lines.append("" if value == {} else f"{name}: {jsons.dump(value) if isinstance(value, list) else jsons.js_text(value)}")
+    return "\n".join(lines)
+
+
+def _json_rows(text: str, pointers: list[list], mapping: dict[str, list], by_object: bool) -> list[tuple[str, dict]]:
     data = json.loads(text.strip())
-    out: list[tuple[str, dict]] = []
+    rows = []
     for item in data if isinstance(data, list) else [data]:
-        values = {key: _point(item, steps) for key, steps in mapping.items()}
-        metadata = {k: v for k, v in values.items() if v is not _ABSENT}
-        if by_object:
-            if isinstance(item, dict):
-                out.append((_lines(item), metadata))
-            continue
-        contents = _pointed(item, pointers, False) if pointers else _strings(item)
-        out += [(content, metadata) for content in contents]
-    return out
+        tree = dict(_below(item)) if mapping else {}
+        metadata = {key: tree[tuple(steps)] for key, steps in mapping.items() if tuple(steps) in tree}
+        if not by_object:
+            rows += [(content, metadata) for content in _strings(item, pointers)]
+        elif isinstance(item, dict):
+            rows.append((_object_lines(item), metadata))
+    return rows
 
 
 def load_json_docs(
@@ -181,14 +188,14 @@ def load_json_docs(
 
     `line` joins the metadata only where a text gives more than one document.
     """
-    steps = [jsons.pointer_steps(p) for p in pointers]
-    mapping = {k: jsons.pointer_steps(v) for k, v in (metadata_pointers or {}).items()
+    steps = [[str(s) for s in jsons.pointer_steps(p)] for p in pointers]
+    mapping = {k: [str(s) for s in jsons.pointer_steps(v)] for k, v in (metadata_pointers or {}).items()
                if isinstance(v, str) and v.startswith("/")}
 
     @F.pandas_udf("array<struct<page_content:string,metadata:string>>")
     def read(texts: pd.Series) -> pd.Series:
         def one(value):
-            made = _json_documents(value, steps, mapping, separate_by_object) if value else []
+            made = _json_rows(value, steps, mapping, separate_by_object) if value else []
             many = len(made) > 1
             return [
                 {"page_content": c, "metadata": jsons.dump({"line": i, **m} if many else m)}
@@ -243,7 +250,7 @@ def load_text_docs(spark: SparkSession, path: str) -> DataFrame:
 def load_folder(spark: SparkSession, path: str, recursive: bool = True, jsonl_pointer: str | None = None) -> DataFrame:
     """Every readable file below a folder, each ending with its own loader.
 
-    A prefix of an object store is a folder to the Hadoop file system.
+    Without a pointer, each JSON line gives all its strings.  A prefix of an object store is a folder to the Hadoop file system.
     """
     def read(endings: str, wholetext: bool = True) -> DataFrame:
         return (
@@ -261,12 +268,14 @@ def load_folder(spark: SparkSession, path: str, recursive: bool = True, jsonl_po
 
     out = out.unionByName(with_source(
         load_json_docs(read("json").select(source.alias("doc_id"), "value"), F.col("value"))))
-    if jsonl_pointer is not None:
-        lines = read("jsonl", wholetext=False).select(source.alias("doc_id"), "value")
+    lines = read("jsonl", wholetext=False).where("trim(value) <> ''").select(source.alias("doc_id"), "value")
+    if jsonl_pointer is None:
+        out = out.unionByName(with_source(load_json_docs(lines, F.col("value"))))
+    else:
         out = out.unionByName(with_source(
             load_jsonl_docs(lines, F.col("value"), "/" + jsonl_pointer.strip().lstrip("/"))))
     for group in _csv_groups(spark, [path], recursive):
-        out = out.unionByName(_csv_docs(spark.read.csv(group, header=True, escape='"'), None).select(*columns))
+        out = out.unionByName(_csv_docs(spark.read.csv(group, header=True, **CSV), None).select(*columns))
     return out
 
 
@@ -298,11 +307,11 @@ def table_to_markdown(
     order_by: Sequence[str],
     include_headers: bool = True,
     group_by: Sequence[str] = (),
-    part_rows: int = 1000,
+    part_chars: int = PART_CHARS,
 ) -> DataFrame:
     """A table, or each group of it, as a Markdown table.
 
-    A table with more than `part_rows` rows comes in parts numbered from 0; the first holds the header.
+    A table with more than `part_chars` characters comes in parts numbered from 0; the first holds the header.
     """
     names = [c for c in df.columns if c not in group_by]
     shown = names if include_headers else _column_letters(len(names))
@@ -311,12 +320,13 @@ def table_to_markdown(
     keys = list(group_by)
     if not keys:
         lines, keys = lines.withColumn("_all", F.lit(0)), ["_all"]
-    parts = join_in_parts(lines, keys, order_by, "_line", "\n", "_body", part_rows)
+    parts = join_in_parts(lines, keys, order_by, "_line", "\n", "_body", part_chars)
     counts = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_data_rows"))
     head = "| " + " | ".join(shown) + " |\n| " + " | ".join("---" for _ in shown) + " |\n"
     return parts.join(counts, keys).select(
         *group_by,
         "part",
+        "n_parts",
         F.concat(F.when(F.col("part") == 0, head).otherwise(""), "_body", F.lit("\n")).alias("page_content"),
         (F.col("total_data_rows") + (1 if include_headers else 0)).alias("row_count"),
         F.lit(len(shown)).alias("column_count"),
@@ -328,7 +338,7 @@ def rows_to_json_docs(
     df: DataFrame,
     url: Column,
     fields: Sequence[str] | None = None,
-    limit: int | None = 100,
+    limit: int | None = None,
     where: Column | None = None,
     order_by: Sequence[str] = (),
 ) -> DataFrame:
