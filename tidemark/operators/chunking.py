@@ -7,10 +7,8 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from tidemark.functions import markup, text
-from tidemark.operators.ordering import number_rows
+from tidemark.functions import html as markup, text
 
 
 def _emit(df: DataFrame, pieces: Column) -> DataFrame:
@@ -69,11 +67,7 @@ def chunk_markdown_headers(df: DataFrame, level: str = "h1") -> DataFrame:
 
 
 def chunk_html_as_markdown(df: DataFrame, html: str = "html", size: int = 1000, overlap: int = 200) -> DataFrame:
-    @F.pandas_udf(StringType())
-    def markdown(pages: pd.Series) -> pd.Series:
-        return pages.map(markup.to_markdown)
-
-    return chunk_code(df.withColumn("page_content", markdown(html)), "markdown", size, overlap)
+    return chunk_code(df.withColumn("page_content", markup.to_markdown(F.col(html))), "markdown", size, overlap)
 
 
 def chunk_tokens(
@@ -183,8 +177,3 @@ def knowledge_digest(
     return joined.withColumn(
         "digest", F.when(F.length("_d") <= max_chars, F.col("_d")).otherwise(cut)
     ).drop("_d", "_all")
-
-
-def numbered_chunks(chunks: DataFrame) -> DataFrame:
-    """Position of each chunk in its document as `pos`, for tables that lost their numbers."""
-    return number_rows(chunks, ["doc_id"], ["chunk_no"], "pos")

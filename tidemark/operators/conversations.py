@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import join_in_parts, next_value, number_rows, page as one_page
+from tidemark.operators.ordering import PART_CHARS, join_in_parts, next_value, page as one_page
 
 
 def chat_stats(messages: DataFrame, feedback: DataFrame | None = None, by: Sequence[str] = ("chatflow_id",)) -> DataFrame:
@@ -178,10 +178,10 @@ def dataset_row_counts(parents: DataFrame, children: DataFrame, key: str) -> Dat
     return parents.join(counts, key, "left").na.fill(0, ["row_count"])
 
 
-def export_transcripts(messages: DataFrame, feedback: DataFrame, part_rows: int = 1000) -> DataFrame:
+def export_transcripts(messages: DataFrame, feedback: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
     """One row per conversation with its messages in time order as a JSON list.
 
-    A conversation longer than `part_rows` messages gives several rows, numbered by `part`.
+    A conversation with more than `part_chars` characters gives several rows, numbered by `part`.
     """
     both = F.col("memory_type").isNotNull() & F.col("session_id").isNotNull()
     key = F.when(both, F.concat_ws("_", "chat_id", "memory_type", "session_id")).otherwise(F.col("chat_id"))
@@ -194,13 +194,13 @@ def export_transcripts(messages: DataFrame, feedback: DataFrame, part_rows: int
         .when(F.col("chat_type") == "EVALUATION", "Evaluation").otherwise("Unknown"),
     })
     first = [F.min(c).alias(c) for c in ("chat_id", "source", "session_id", "memory_type")]
-    out = join_in_parts(rows, ["key"], ["created", "id"], "_item", ",", "messages", part_rows,
+    out = join_in_parts(rows, ["key"], ["created", "id"], "_item", ",", "messages", part_chars, F.length("content"),
                         extra=[*first, F.count(F.lit(1)).alias("message_count")])
     return out.withColumn("messages", F.concat(F.lit("["), "messages", F.lit("]")))
 
 
 def history_text(messages: DataFrame, by: Sequence[str], order_by: Sequence[str] = ("created", "id"),
-                 part_rows: int = 1000) -> DataFrame:
+                 part_chars: int = PART_CHARS) -> DataFrame:
     """`Human:` and `Assistant:` lines in order, blank messages dropped, other roles bare."""
     filled = messages.where(F.col("content").isNotNull() & (F.regexp_replace("content", r"(?U)\s+", "") != ""))
     line = (
@@ -208,15 +208,10 @@ def history_text(messages: DataFrame, by: Sequence[str], order_by: Sequence[str]
         .when(F.col("role").isin("userMessage", "user"), F.concat(F.lit("Human: "), "content"))
         .otherwise(F.col("content"))
     )
-    return join_in_parts(filled.withColumn("_line", line), by, order_by, "_line", "\n", "history", part_rows)
+    return join_in_parts(filled.withColumn("_line", line), by, order_by, "_line", "\n", "history", part_chars)
 
 
 def validate_history(messages: DataFrame, by: Sequence[str]) -> DataFrame:
     """Whether every item has a known role and a text."""
     fine = F.col("role").isin("apiMessage", "userMessage") & F.col("content").isNotNull()
     return messages.groupBy(*by).agg(F.bool_and(F.coalesce(fine, F.lit(False))).alias("valid"))
-
-
-def numbered_messages(messages: DataFrame) -> DataFrame:
-    """Position of each message in its session as `pos`, from 1."""
-    return number_rows(messages, ["session_id"], ["created", "id"], "pos")

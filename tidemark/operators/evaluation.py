@@ -7,6 +7,7 @@ Rules: id, name, type (text, json, numeric), measure, operator, value.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,21 +17,19 @@ from pyspark.sql.types import StructType
 from tidemark.functions import jsons, text
 from tidemark.operators.joins import price_lookup
 from tidemark.operators.ordering import number_rows
+from tidemark.sources.files import CSV
 
-MAX_RULES = 1000
+RULES_AT_ONCE = 500  # expressions of one projection; more rules read the outputs once more for each such block
 _RULE = ("id", "name", "type", "measure", "operator", "value")
 
 
 # ---- rules -----------------------------------------------------------------------------------
 
 def _rules(rules: DataFrame | Sequence[dict]) -> list[dict]:
-    """Rules become column expressions, so their number is checked."""
+    """Rules become column expressions, so a rule table is read to the driver."""
     if isinstance(rules, DataFrame):
-        rules = [row.asDict() for row in rules.limit(MAX_RULES + 1).collect()]
-    rules = [{name: rule.get(name) for name in _RULE} for rule in rules]
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    return rules
+        rules = [row.asDict() for row in rules.collect()]
+    return [{name: rule.get(name) for name in _RULE} for rule in rules]
 
 
 def _verdict(passed: Column) -> Column:
@@ -111,7 +110,9 @@ def _evaluate(outputs: DataFrame, rules: DataFrame | Sequence[dict], kinds: set[
         named = [F.lit(rule[n]).cast("string").alias(f"rule_{n}") for n in _RULE]
         results.append(F.struct(*named, F.when(failed, F.lit("Error")).otherwise(made).alias("result")))
     kept = [c for c in outputs.columns if c not in ("output", "metrics")]
-    return staged.select(*kept, F.inline(F.array(*results))).where(F.col("result").isNotNull())
+    blocks = [results[lo:lo + RULES_AT_ONCE] for lo in range(0, len(results), RULES_AT_ONCE)]
+    made = [staged.select(*kept, F.inline(F.array(*block))) for block in blocks]
+    return reduce(DataFrame.unionByName, made).where(F.col("result").isNotNull())
 
 
 def evaluate_text_rules(outputs: DataFrame, rules: DataFrame | Sequence[dict], mode: str = "reference") -> DataFrame:
@@ -327,7 +328,7 @@ def csv_to_dataset(
     """First two columns of CSV files as numbered dataset rows; only the very first row can be a header."""
     rows: DataFrame | None = None
     for i, path in enumerate(paths):
-        read = spark.read.csv(path, header=False)
+        read = spark.read.csv(path, header=False, **CSV)
         one = read.select(
             F.col("_c0").alias("input"), (F.col("_c1") if "_c1" in read.columns else F.lit(None).cast("string")).alias("output"),
             F.lit(i).alias("_file"), F.col("_metadata.file_path").alias("_path"),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import hashing
+from tidemark.sources.scratch import written_table
 
 LEDGER = ("key", "namespace", "updated_at", "group_id", "doc_id")
 
@@ -104,13 +105,20 @@ def index_upsert(
     return IndexResult(merged.select(*LEDGER).unionByName(others), added, counters)
 
 
-def index_cleanup_incremental(docs: DataFrame, records: DataFrame, run_ts: float, source_id_key: str) -> DataFrame:
-    """Ledger without the stale keys of the sources seen in this run."""
+def index_cleanup_incremental(
+    docs: DataFrame, records: DataFrame, run_ts: float, namespace: str, source_id_key: str
+) -> DataFrame:
+    """Ledger without the stale keys that a namespace has of the sources seen in this run.
+
+    A document without a source is an error; other namespaces are left alone.
+    """
     if not source_id_key:
         raise ValueError("incremental cleanup needs source_id_key")
-    seen = docs.select(F.get_json_object("metadata", f"$.{source_id_key}").alias("group_id")).distinct()
+    source = F.get_json_object("metadata", f"$.{source_id_key}")
+    given = F.coalesce(source, F.raise_error(F.concat(F.lit("no source id in the metadata of "), F.col("uid"))))
+    seen = docs.select(given.alias("group_id")).distinct()
     stale = (
-        records.where(F.col("updated_at") < run_ts)
+        records.where((F.col("namespace") == namespace) & (F.col("updated_at") < run_ts))
         .join(docs.select(F.col("uid").alias("key")).distinct(), "key", "left_anti")
         .join(seen, "group_id", "left_semi")
         .select("namespace", "key")
@@ -118,12 +126,12 @@ def index_cleanup_incremental(docs: DataFrame, records: DataFrame, run_ts: float
     return records.join(stale, ["namespace", "key"], "left_anti")
 
 
-def index_cleanup_full(docs: DataFrame, records: DataFrame, run_ts: float) -> DataFrame:
-    """Ledger with only the keys of this run; rows touched at or after `run_ts` stay."""
+def index_cleanup_full(docs: DataFrame, records: DataFrame, run_ts: float, namespace: str) -> DataFrame:
+    """Ledger with only the keys of this run in a namespace; rows touched at or after `run_ts` stay."""
     seen = docs.select(F.col("uid").alias("key")).distinct().withColumn("_seen", F.lit(True))
     return (
         records.join(seen, "key", "left")
-        .where(F.col("_seen") | (F.col("updated_at") >= run_ts))
+        .where(F.col("_seen") | (F.col("updated_at") >= run_ts) | ~F.col("namespace").eqNullSafe(namespace))
         .select(*records.columns)
     )
 
@@ -184,7 +192,8 @@ def embed_with_cache(
 ) -> tuple[DataFrame, DataFrame]:
     """Embed each distinct unseen text once.  Returns the rows with `embedding`, and the new cache.
 
-    Cache columns: cache_key, embedding.  Copies are folded before the model runs.
+    Cache columns: cache_key, embedding.  Copies are folded before the model runs.  What the model gave is
+    written once, so the rows and the cache hold the same vectors.
     """
     keyed = df.withColumn("_text", text).withColumn(
         "cache_key", F.sha2(F.concat_ws(":", F.lit(namespace), F.col("_text")), 256))
@@ -196,7 +205,7 @@ def embed_with_cache(
         for batch in batches:
             yield pd.DataFrame({"cache_key": batch["cache_key"], "embedding": model(batch["_text"])})
 
-    fresh = unseen.mapInPandas(run, "cache_key string, embedding array<float>")
+    fresh = written_table(unseen.mapInPandas(run, "cache_key string, embedding array<float>"))
     full = cache.select("cache_key", "embedding").unionByName(fresh)
     return keyed.drop("_text").join(full, "cache_key", "left"), full
 

@@ -28,11 +28,15 @@ _PRICE = ("input_cost", "output_cost", "total_price", "total_cost")
 
 
 def price_lookup(df: DataFrame, chat_prices: DataFrame, llm_prices: DataFrame) -> DataFrame:
-    """Prices by provider (any case) and model: the chat list first, then the completion list."""
+    """Prices by provider (any case) and model: the chat list first, then the completion list.
+
+    Of several entries of a model the one with the smallest `position` counts, where the list has that column,
+    else the one with the smallest prices.
+    """
 
     def listed(prices: DataFrame, prefix: str) -> DataFrame:
         one = prices.groupBy(F.lower("provider").alias("_provider"), F.col("model").alias("_model")).agg(
-            F.first(F.struct(*_PRICE)).alias(prefix)
+            F.min_by(F.struct(*_PRICE), F.struct(*[c for c in ("position",) if c in prices.columns], *_PRICE)).alias(prefix)
         )
         return one
 

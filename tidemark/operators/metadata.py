@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import jsons, text
-from tidemark.operators.ordering import join_in_parts
+from tidemark.operators.ordering import PART_CHARS, join_in_parts
 
 
 def apply_metadata(
@@ -67,13 +67,13 @@ def concat_docs_text(
     group_by: Sequence[str],
     order_by: Sequence[str],
     escape_prefix: str | None = None,
-    part_rows: int = 1000,
+    part_chars: int = PART_CHARS,
 ) -> DataFrame:
-    """Contents of a group in order, each followed by a newline, in parts of `part_rows` documents.
+    """Contents of a group in order, each followed by a newline, in parts bounded by `part_chars`.
 
     With `escape_prefix`, control characters are written as prefix and name (`...NEWLINE`).
     """
-    joined = join_in_parts(df, group_by, order_by, "page_content", "\n", "text", part_rows)
+    joined = join_in_parts(df, group_by, order_by, "page_content", "\n", "text", part_chars)
     full = F.concat("text", F.lit("\n"))
     if escape_prefix is not None:
         full = text.escape_words(full, escape_prefix)

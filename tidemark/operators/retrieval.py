@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import jsons, text
 from tidemark.operators.blocks import MAX_QUERY_ROWS, block_join
-from tidemark.operators.ordering import join_in_parts
+from tidemark.operators.ordering import PART_CHARS, join_in_parts
 from tidemark.session import settle
 
 METRICS = ("cosine", "ip", "l2")
@@ -477,16 +477,16 @@ def format_results(content: Column, metadata: Column, template: str) -> Column:
 
 
 def join_context(
-    results: DataFrame, sep: str = "\n", with_metadata: bool = False, part_rows: int = 1000
+    results: DataFrame, sep: str = "\n", with_metadata: bool = False, part_chars: int = PART_CHARS
 ) -> DataFrame:
     """Contents of a query's results by rank as one text, or as a JSON list with metadata."""
     if not with_metadata:
-        return join_in_parts(results, ["query_id"], ["rank"], "page_content", sep, "context", part_rows)
+        return join_in_parts(results, ["query_id"], ["rank"], "page_content", sep, "context", part_chars)
     item = F.concat(
         F.regexp_replace(F.to_json(F.struct(F.col("page_content").alias("pageContent"))), r"\}$", ""),
         F.lit(',"metadata":'), F.col("metadata"), F.lit("}"),
     )
-    joined = join_in_parts(results.withColumn("_item", item), ["query_id"], ["rank"], "_item", ",", "context", part_rows)
+    joined = join_in_parts(results.withColumn("_item", item), ["query_id"], ["rank"], "_item", ",", "context", part_chars, F.length("page_content"))
     return joined.withColumn("context", F.concat(F.lit("["), F.col("context"), F.lit("]")))
 
 

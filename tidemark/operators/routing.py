@@ -12,8 +12,9 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions import templates
 from tidemark.operators.indexing import cache_key
-from tidemark.operators.ordering import join_in_parts, number_rows
+from tidemark.operators.ordering import PART_CHARS, in_parts, join_in_parts, with_part_count
 from tidemark.session import settle
+from tidemark.sources.scratch import written_table
 
 # fixed values: Markdown marks and what stays of them
 _MARKDOWN = (
@@ -209,7 +210,7 @@ def fold_state(
     reducers: dict[str, str],
     order_by: Sequence[str],
     defaults: dict | None = None,
-    part_rows: int = 1000,
+    part_chars: int = PART_CHARS,
 ) -> DataFrame:
     """Fold the updates of a key in order: `append` collects the values, `replace` keeps the last one.
 
@@ -221,36 +222,41 @@ def fold_state(
     replaced = [c for c, how in reducers.items() if how == "replace"]
     if len(appended) + len(replaced) != len(reducers):
         raise ValueError("a reducer is append or replace")
-    numbered = number_rows(df.select(key, *dict.fromkeys([*order_by, *reducers])), [key], list(order_by), "_rn").withColumn(
-        "part", F.expr(f"(_rn - 1) div {part_rows}"))
+    size = F.lit(1)
+    for name in appended:
+        size = size + F.coalesce(F.length(F.col(name).cast("string")), F.lit(0))
+    rows = df.select(key, *dict.fromkeys([*order_by, *reducers]))
+    numbered = in_parts(rows, [key], list(order_by), size, part_chars).withColumn("_at", F.struct(*order_by))
 
     def collected(name: str) -> Column:
-        filled = F.when(F.col(name).isNotNull(), F.struct("_rn", name))
-        return F.transform(F.sort_array(F.collect_list(filled)), lambda s: s[name]).alias(name)
+        filled = F.when(F.col(name).isNotNull(), F.struct("_at", F.col(name).alias("_x")))
+        return F.transform(F.sort_array(F.collect_list(filled)), lambda s: s["_x"]).alias(name)
 
     out = numbered.groupBy(key, "part").agg(F.count(F.lit(1)).alias("updates"), *[collected(c) for c in appended])
     if replaced:
         last = numbered.groupBy(key).agg(*[
             F.coalesce(
-                F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_rn"))), F.lit(defaults.get(c))
+                F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_at"))), F.lit(defaults.get(c))
             ).alias(c) for c in replaced
         ])
         out = out.join(last, key)
-    return out
+    return with_part_count(out, [key], numbered)
 
 
-def merge_branch_outputs(df: DataFrame, group_by: str, source: Column, part_rows: int = 1000) -> DataFrame:
+def merge_branch_outputs(df: DataFrame, group_by: str, source: Column, part_chars: int = PART_CHARS) -> DataFrame:
     """Outputs (json, text) of several branches in source order: JSON by source, texts by newline.
 
-    The last output of a source counts (column `pos`).
+    The last output of a source counts (column `pos`).  Each part is an object of its own; the union of their
+    members is the whole.
     """
     last = (
         df.withColumn("_source", source)
         .groupBy(group_by, "_source").agg(F.max_by(F.struct("json", "text"), "pos").alias("_o"))
         .select(group_by, "_source", "_o.*")
     )
-    numbered = number_rows(last, [group_by], ["_source"], "_rn").withColumn("part", F.expr(f"(_rn - 1) div {part_rows}"))
-    rows = F.sort_array(F.collect_list(F.struct("_rn", "_source", "json", "text")))
+    size = F.coalesce(F.length("json"), F.lit(0)) + F.coalesce(F.length("text"), F.lit(0))
+    numbered = in_parts(last, [group_by], ["_source"], size, part_chars)
+    rows = F.sort_array(F.collect_list(F.struct("_source", "json", "text")))
     merged = numbered.groupBy(group_by, "part").agg(rows.alias("_rows"))
     item = F.transform(
         F.filter("_rows", lambda r: r["json"].isNotNull()),
@@ -259,11 +265,12 @@ def merge_branch_outputs(df: DataFrame, group_by: str, source: Column, part_rows
     # {"s":"name"} + value becomes "name":value
     pair = F.transform(item, lambda x: F.regexp_replace(x, '^\\{"s":(.*?)\\}\u0000', "$1:"))
     texts = F.filter(F.transform("_rows", lambda r: r["text"]), lambda t: t.isNotNull() & (t != ""))
-    return merged.select(
+    out = merged.select(
         group_by, "part",
         F.concat(F.lit("{"), F.array_join(pair, ","), F.lit("}")).alias("json"),
         F.array_join(texts, "\n").alias("text"),
     )
+    return with_part_count(out, [group_by], numbered)
 
 
 def few_shot_prompt(
@@ -275,18 +282,19 @@ def few_shot_prompt(
     prefix: str = "",
     suffix: str = "",
     sep: str = "\n\n",
-    part_rows: int = 1000,
+    part_chars: int = PART_CHARS,
 ) -> DataFrame:
     """Prefix, the examples of the row's key through a template, and the suffix filled from the row.
 
-    A key with more than `part_rows` examples gives a prompt in parts: the first starts with the prefix,
+    A key with more than `part_chars` characters of examples gives a prompt in parts: the first starts with the prefix,
     the last ends with the suffix.
     """
     written = examples.withColumn(
         "_e", templates.fill_variables(example_template, {c: F.col(c) for c in examples.columns}))
-    joined = join_in_parts(written, [key], [order_by], "_e", sep, "_text", part_rows)
+    joined = join_in_parts(written, [key], [order_by], "_e", sep, "_text", part_chars)
     parts = joined.groupBy(key).agg(F.max("part").alias("_last"))
-    rows = df.join(joined, key, "left").join(parts, key, "left").withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
+    rows = df.join(joined, key, "left").join(parts, key, "left").withColumns({
+        "part": F.coalesce("part", F.lit(0).cast("bigint")), "n_parts": F.coalesce("n_parts", F.lit(1).cast("bigint"))})
     filled = templates.fill_variables(suffix, {c: F.col(c) for c in df.columns})
     head = F.when(F.col("part") == 0, F.lit(prefix or None))
     tail = F.when(F.col("part") == F.coalesce("_last", F.lit(0)), filled if suffix else F.lit(None).cast("string"))
@@ -321,7 +329,10 @@ def batch_prompt(
     schema: StructType | str | None = None,
     post: Callable[[Column], Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Render, look up, complete the misses once each, parse.  Returns the rows and the new cache."""
+    """Render, look up, complete the misses once each, parse.  Returns the rows and the new cache.
+
+    The completions are written once; the rows and the cache read them.
+    """
     keyed = df.withColumn("prompt", prompt).withColumn("cache_key", cache_key(F.col("prompt"), F.lit(model_name)))
     misses = keyed.groupBy("cache_key").agg(F.min("prompt").alias("prompt")).join(cache, "cache_key", "left_anti")
 
@@ -329,7 +340,8 @@ def batch_prompt(
         for batch in batches:
             yield pd.DataFrame({"cache_key": batch["cache_key"], "value": complete(batch["prompt"])})
 
-    full = cache.select("cache_key", "value").unionByName(misses.mapInPandas(run, "cache_key string, value string"))
+    fresh = written_table(misses.mapInPandas(run, "cache_key string, value string"))
+    full = cache.select("cache_key", "value").unionByName(fresh)
     answer = F.col("value") if post is None else post(F.col("value"))
     rows = keyed.join(full, "cache_key", "left").withColumn("answer", answer).drop("value")
     if schema is not None:

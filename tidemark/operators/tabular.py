@@ -91,7 +91,8 @@ def _like_test(text: str):
     """Test for LIKE '%text%'; `%` and `_` in the text stay wildcards."""
     if "%" not in text and "_" not in text:
         return lambda s: text in s
-    pattern = re.compile(re.escape(text).replace("%", ".*").replace("_", "."), re.S)
+    inside = "[^\u0001]"  # a match stays in one field
+    pattern = re.compile(re.escape(text).replace("%", f"{inside}*").replace("_", inside))
     return lambda s: pattern.search(s) is not None
 
 
