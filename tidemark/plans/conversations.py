@@ -103,24 +103,26 @@ def dataset_row_counts(spark, d):
 @query("export_transcripts", f"""WITH {MESSAGES}, {FEEDBACK}, k AS (
   SELECT CASE WHEN memory_type IS NOT NULL AND session_id IS NOT NULL THEN chat_id || '_' || memory_type || '_' || session_id ELSE chat_id END AS key,
     m.*, f.feedback FROM messages m LEFT JOIN feedback f ON f.message_id = m.id)
-SELECT key, CAST(0 AS BIGINT) AS part, min(CASE chat_type WHEN 'INTERNAL' THEN 'UI' WHEN 'EXTERNAL' THEN 'API/Embed' WHEN 'EVALUATION' THEN 'Evaluation' ELSE 'Unknown' END) AS source,
+SELECT key, part, count(*) OVER (PARTITION BY key) AS n_parts, min(CASE chat_type WHEN 'INTERNAL' THEN 'UI' WHEN 'EXTERNAL' THEN 'API/Embed' WHEN 'EVALUATION' THEN 'Evaluation' ELSE 'Unknown' END) AS source,
   count(*) AS message_count, string_agg(CASE role WHEN 'apiMessage' THEN 'bot' ELSE 'user' END, ',' ORDER BY created_s, id) AS roles,
   arg_min(content, id) AS first_content, coalesce(string_agg(feedback, ',' ORDER BY created_s, id), '') AS notes
-FROM k GROUP BY 1""")
+FROM (SELECT *, CAST(sum(length(content)) OVER (PARTITION BY key ORDER BY created_s, id) - length(content) AS BIGINT) // 600 AS part FROM k) GROUP BY key, part""")
 def export_transcripts(spark, d):
-    out = V.export_transcripts(messages(spark, d), feedback(spark, d))
+    """A small bound, so that conversations come in parts."""
+    out = V.export_transcripts(messages(spark, d), feedback(spark, d), part_chars=600)
     items = F.from_json("messages", "array<struct<content:string,role:string,time:string,feedback:string>>")
     return out.select(
-        "key", "part", "source", "message_count", F.array_join(items["role"], ",").alias("roles"),
+        "key", "part", "n_parts", "source", "message_count", F.array_join(items["role"], ",").alias("roles"),
         items[0]["content"].alias("first_content"), F.array_join(items["feedback"], ",").alias("notes"))
 
 
 @query("history_text", f"""WITH {MESSAGES}
-SELECT conv_id, CAST(0 AS BIGINT) AS part, string_agg(CASE role WHEN 'apiMessage' THEN 'Assistant: ' || content
-  WHEN 'userMessage' THEN 'Human: ' || content ELSE content END, chr(10) ORDER BY turn) AS history
-FROM messages WHERE trim(content) <> '' GROUP BY 1""")
+, l AS (SELECT conv_id, turn, CASE role WHEN 'apiMessage' THEN 'Assistant: ' || content WHEN 'userMessage' THEN 'Human: ' || content ELSE content END AS line
+  FROM messages WHERE trim(content) <> '')
+SELECT conv_id, part, count(*) OVER (PARTITION BY conv_id) AS n_parts, string_agg(line, chr(10) ORDER BY turn) AS history
+FROM (SELECT *, CAST(sum(length(line) + 1) OVER (PARTITION BY conv_id ORDER BY turn) - length(line) - 1 AS BIGINT) // 600 AS part FROM l) GROUP BY conv_id, part""")
 def history_text(spark, d):
-    return V.history_text(messages(spark, d), ["conv_id"], ["turn"])
+    return V.history_text(messages(spark, d), ["conv_id"], ["turn"], part_chars=600)
 
 
 @query("validate_history", f"""WITH {MESSAGES}

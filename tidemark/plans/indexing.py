@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.operators import indexing as X
@@ -119,17 +120,26 @@ def index_upsert_force(spark, d):
 
 RUN = "FROM hashed WHERE source <> 'src7' AND lang = 'en' AND source <> 'src1'"
 
+# the same keys once more in a second namespace, which a cleanup must leave alone
+TWO = "two AS (SELECT * FROM own UNION ALL SELECT key, 'other', updated_at, group_id, doc_id FROM own)"
 
-@query("index_cleanup_incremental", f"""WITH {HASHED}, {LEDGER}
-SELECT * FROM own WHERE NOT (key NOT IN (SELECT content_hash {RUN}) AND group_id IN (SELECT source {RUN}))""")
+
+def two_namespaces(spark, d):
+    own = ledger(spark, d)[0]
+    return own.unionByName(own.withColumn("namespace", F.lit("other")))
+
+
+@query("index_cleanup_incremental", f"""WITH {HASHED}, {LEDGER}, {TWO}
+SELECT * FROM two WHERE namespace = 'other' OR NOT (key NOT IN (SELECT content_hash {RUN}) AND group_id IN (SELECT source {RUN}))""")
 def index_cleanup_incremental(spark, d):
     run = incoming(spark, d).where("lang = 'en' AND source <> 'src1'")
-    return X.index_cleanup_incremental(run, ledger(spark, d)[0], 200.0, "source")
+    return X.index_cleanup_incremental(run, two_namespaces(spark, d), 200.0, "ns", "source")
 
 
-@query("index_cleanup_full", f"{UPSERT} SELECT * FROM own WHERE key IN (SELECT uid FROM inc)")
+@query("index_cleanup_full", f"""{UPSERT}, {TWO}
+SELECT * FROM two WHERE namespace = 'other' OR key IN (SELECT uid FROM inc)""")
 def index_cleanup_full(spark, d):
-    return X.index_cleanup_full(incoming(spark, d), ledger(spark, d)[0], 200.0)
+    return X.index_cleanup_full(incoming(spark, d), two_namespaces(spark, d), 200.0, "ns")
 
 
 @query("ledger_upsert", f"""WITH {HASHED}, {LEDGER}, {INCOMING}, new AS (
@@ -164,12 +174,27 @@ def ledger_delete(spark, d):
     return X.ledger_delete(own.unionByName(other), "ns", keys=gone).select("key", "namespace")
 
 
-@query("embed_with_cache")
+def counted_letters(texts: pd.Series) -> pd.Series:
+    """A model that SQL can follow: length, spaces and line feeds of a text."""
+    return texts.map(lambda t: [float(len(t)), float(t.count(" ")), float(t.count("\n"))])
+
+
+@query("embed_with_cache", """
+SELECT doc_id, sha256('letters:' || text) AS cache_key, CAST(length(text) AS DOUBLE) AS letters,
+  CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS spaces, CAST(length(text) - length(replace(text, chr(10), '')) AS DOUBLE) AS feeds FROM documents""")
 def embed_with_cache(spark, d):
+    """The cache knows every second document before."""
     empty = spark.createDataFrame([], "cache_key string, embedding array<float>")
     some = docs(spark, d).where("doc_id % 2 = 0")
-    cache = X.embed_with_cache(some, F.col("page_content"), empty, X.hash_embedding, "hash64")[1]
-    return X.embed_with_cache(docs(spark, d), F.col("page_content"), cache, X.hash_embedding, "hash64")[0].select(
+    cache = X.embed_with_cache(some, F.col("page_content"), empty, counted_letters, "letters")[1]
+    rows = X.embed_with_cache(docs(spark, d), F.col("page_content"), cache, counted_letters, "letters")[0]
+    return rows.select("doc_id", "cache_key", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(("letters", "spaces", "feeds"))])
+
+
+@query("embed_with_hashes")
+def embed_with_hashes(spark, d):
+    empty = spark.createDataFrame([], "cache_key string, embedding array<float>")
+    return X.embed_with_cache(docs(spark, d), F.col("page_content"), empty, X.hash_embedding, "hash64")[0].select(
         "doc_id", "cache_key", "embedding")
 
 

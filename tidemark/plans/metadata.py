@@ -114,11 +114,11 @@ def clean_docs(spark, d):
 
 
 @query("concat_docs_text", f"""WITH {DOCS}, n AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM docs)
-SELECT source, (rn - 1) // 1000 AS part, string_agg(page_content, chr(10) ORDER BY rn) || chr(10) AS text
-FROM n GROUP BY 1, 2""")
+  SELECT *, CAST(sum(length(page_content) + 1) OVER (PARTITION BY source ORDER BY doc_id) - length(page_content) - 1 AS BIGINT) // 20000 AS part FROM docs)
+SELECT source, part, count(*) OVER (PARTITION BY source) AS n_parts, string_agg(page_content, chr(10) ORDER BY doc_id) || chr(10) AS text
+FROM n GROUP BY source, part""")
 def concat_docs_text(spark, d):
-    return M.concat_docs_text(docs(spark, d), ["source"], ["doc_id"])
+    return M.concat_docs_text(docs(spark, d), ["source"], ["doc_id"], part_chars=20000)
 
 
 @query("metadata_contains", "SELECT doc_id FROM documents WHERE lang = 'en' AND source = 'src1'")

@@ -64,6 +64,25 @@ def train_risk_forest(spark, d):
     return spark.createDataFrame(list(zip(DOC_FEATURES, weights)), "feature string, importance double")
 
 
+@query("forest_facts", f"SELECT CAST({len(DOC_FEATURES)} AS BIGINT) AS features, CAST(1 AS DOUBLE) AS total")
+def forest_facts(spark, d):
+    """The importances of the features add up to one."""
+    return train_risk_forest(spark, d).agg(
+        F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+
+
+@query("score_facts", """
+WITH n AS (SELECT quality AS label, count(*) AS c FROM labels GROUP BY 1)
+SELECT label, CAST(round(c * 0.2) AS BIGINT) AS scored, true AS whole, true AS named FROM n""")
+def score_facts(spark, d):
+    """Every test row is scored once, its two shares add up to one, and the larger share gives the name."""
+    rows = score_rows(spark, d)
+    name = F.when(F.col("p_one") > F.col("p_zero"), "good").otherwise("poor")
+    return rows.groupBy("label").agg(
+        F.count_distinct("doc_id").alias("scored"), F.bool_and(F.abs(F.col("p_one") + F.col("p_zero") - 1) < 1e-9).alias("whole"),
+        F.bool_and((F.col("predicted_name") == name) | (F.col("p_one") == F.col("p_zero"))).alias("named"))
+
+
 @query("score_rows")
 def score_rows(spark, d):
     model, test = trained(spark, d)

@@ -1,4 +1,4 @@
-"""Registered queries: similarity search over `embeddings`, every vector also being a query."""
+"""Registered queries: similarity search over `embeddings`; the rows whose id divides by 20 are the queries."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ def vectors(spark, d):
 
 
 def asked(spark, d):
-    return vectors(spark, d).select(F.col("vec_id").alias("query_id"), "embedding", "label")
+    return vectors(spark, d).where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding", "label")
 
 
 def _ranked(distance: str, k: int, where: str = "TRUE", extra: str = "", part: str = "") -> str:
@@ -26,7 +26,7 @@ def _ranked(distance: str, k: int, where: str = "TRUE", extra: str = "", part: s
   SELECT q.vec_id AS query_id, v.vec_id, v.label AS label, q.label AS query_label, {extra}
          round({distance}, 9) AS distance,
          row_number() OVER (PARTITION BY q.vec_id {part} ORDER BY round({distance}, 9), v.vec_id) AS rank
-  FROM e q, e v WHERE {where} QUALIFY rank <= {k}"""
+  FROM e q, e v WHERE q.vec_id % 20 = 0 AND {where} QUALIFY rank <= {k}"""
 
 
 E = "e AS (SELECT vec_id, embedding::DOUBLE[] AS x, label FROM embeddings)"
@@ -54,6 +54,16 @@ def score_normalize(spark, d):
     return found.select("query_id", "vec_id", F.round(R.score_normalize(F.col("distance"), "l2"), 6).alias("score"))
 
 
+for _metric, _sql in (("ip", IP), ("cosine", COS)):
+
+    @query(f"score_normalize_{_metric}", f"""WITH {E}, r AS ({_ranked(_sql, 4)})
+SELECT query_id, vec_id, round(({"-distance" if _metric == "ip" else "1 - distance"} + 1) / 2, 6) AS score FROM r""")
+    def score_normalize_similarity(spark, d, metric=_metric):
+        found = R.knn_topk(asked(spark, d), vectors(spark, d), 4, metric)
+        similarity = -F.col("distance") if metric == "ip" else 1 - F.col("distance")
+        return found.select("query_id", "vec_id", F.round(R.score_normalize(similarity, metric), 6).alias("score"))
+
+
 @query("knn_filtered", f"""WITH {E}, r AS ({_ranked(COS, 10, "v.label < 5")})
 SELECT {PAIRS}, label FROM r WHERE label <> 2""")
 def knn_filtered(spark, d):
@@ -78,7 +88,24 @@ def embeddings_filter(spark, d):
     return R.embeddings_filter(candidates, 0.25, 6)
 
 
-@query("mmr")
+def _mmr_sql() -> str:
+    """Four rounds, each with the largest similarity seen to a row picked before."""
+    cosine = "list_dot_product(x.x, y.x) / (sqrt(list_dot_product(x.x, x.x)) * sqrt(list_dot_product(y.x, y.x)))"
+    steps = [f"""WITH {E}, c AS ({_ranked(COS, 20)}),
+pr AS (SELECT a.query_id, a.vec_id AS u, b.vec_id AS v, {cosine} AS s FROM c a JOIN c b ON a.query_id = b.query_id
+  JOIN e x ON x.vec_id = a.vec_id JOIN e y ON y.vec_id = b.vec_id),
+n0 AS (SELECT query_id, vec_id, distance, rank AS r, CAST(NULL AS DOUBLE) AS near FROM c),
+s1 AS (SELECT query_id, vec_id, distance FROM c WHERE rank = 1)"""]
+    for t in (1, 2, 3):
+        steps.append(f"""n{t} AS (SELECT n.query_id, n.vec_id, n.distance, n.r, greatest(n.near, pr.s) AS near FROM n{t - 1} n
+  JOIN s{t} s ON n.query_id = s.query_id AND n.vec_id <> s.vec_id JOIN pr ON pr.query_id = n.query_id AND pr.u = n.vec_id AND pr.v = s.vec_id),
+s{t + 1} AS (SELECT query_id, vec_id, distance FROM n{t}
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(0.5 * (1 - distance) - 0.5 * near, 9) DESC, r) = 1)""")
+    picked = " UNION ALL ".join(f"SELECT query_id, vec_id, distance + 0.0 AS distance, {t} AS rank FROM s{t}" for t in (1, 2, 3, 4))
+    return ",\n".join(steps) + "\n" + picked
+
+
+@query("mmr", _mmr_sql())
 def mmr(spark, d):
     return shown(R.mmr(asked(spark, d), vectors(spark, d)))
 
@@ -207,19 +234,22 @@ def format_results(spark, d):
 
 
 @query("join_context", f"""WITH {CANDIDATES}
-SELECT query_id, CAST(0 AS BIGINT) AS part, string_agg(page_content, chr(10) || chr(10) ORDER BY rank) AS context FROM c GROUP BY 1""")
+SELECT query_id, part, count(*) OVER (PARTITION BY query_id) AS n_parts, string_agg(page_content, chr(10) || chr(10) ORDER BY rank) AS context
+FROM (SELECT *, CAST(sum(length(page_content) + 2) OVER (PARTITION BY query_id ORDER BY rank) - length(page_content) - 2 AS BIGINT) // 300 AS part FROM c) GROUP BY query_id, part""")
 def join_context(spark, d):
-    return R.join_context(candidates(spark, d), "\n\n")
+    return R.join_context(candidates(spark, d), "\n\n", part_chars=300)
 
 
 @query("join_context_json", f"""WITH {CANDIDATES}
-SELECT query_id, CAST(0 AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS items, max(CASE WHEN rank = 1 THEN page_content END) AS first_content,
-  max(CASE WHEN rank = 10 THEN source END) AS last_source FROM c GROUP BY 1""")
+SELECT query_id, part, count(*) OVER (PARTITION BY query_id) AS n_parts, CAST(count(*) AS INTEGER) AS items, string_agg(page_content, '|' ORDER BY rank) AS contents,
+  string_agg(source, '|' ORDER BY rank) AS sources
+FROM (SELECT *, CAST(sum(length(page_content)) OVER (PARTITION BY query_id ORDER BY rank) - length(page_content) AS BIGINT) // 300 AS part FROM c) GROUP BY query_id, part""")
 def join_context_json(spark, d):
-    js = R.join_context(candidates(spark, d), with_metadata=True)
+    js = R.join_context(candidates(spark, d), with_metadata=True, part_chars=300)
     items = F.from_json("context", "array<struct<pageContent:string,metadata:struct<source:string>>>")
-    return js.select("query_id", "part", F.size(items).alias("items"), items[0]["pageContent"].alias("first_content"),
-                     F.get(items, F.lit(9))["metadata"]["source"].alias("last_source"))
+    return js.select(
+        "query_id", "part", "n_parts", F.size(items).alias("items"), F.array_join(items["pageContent"], "|").alias("contents"),
+        F.array_join(items["metadata"]["source"], "|").alias("sources"))
 
 
 @query("multi_store_search", f"""WITH {E}, r AS ({_ranked(COS, 4, part=", v.label")})

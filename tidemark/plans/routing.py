@@ -54,7 +54,7 @@ def match_scenario(spark, d):
 
 @query("iterate_items", f"""WITH {MESSAGES}
 SELECT conv_id, string_agg(CASE WHEN role = 'system' THEN 'Error in iteration ' || (turn + 1) || ': system text'
-  ELSE turn || CASE WHEN turn = 0 THEN ' first' ELSE '' END || ' ' || substr(content, 1, 20) END, chr(10) ORDER BY turn) AS content
+  ELSE turn || CASE WHEN turn = 0 THEN ' first' ELSE '' END || ' ' || content END, chr(10) ORDER BY turn) AS content
 FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM messages) GROUP BY 1""")
 def iterate_items(spark, d):
     rows = messages(spark, d).groupBy("conv_id").agg(
@@ -62,7 +62,7 @@ def iterate_items(spark, d):
 
     def step(item, index, is_first, is_last):
         head = F.when(is_first, " first").otherwise("")
-        value = F.concat(index, head, F.lit(" "), item["content"].substr(1, 20))
+        value = F.concat(index, head, F.lit(" "), item["content"])
         return value, F.when(item["role"] == "system", F.lit("system text"))
 
     return R.iterate_items(rows, F.col("items"), step).select("conv_id", "content")
@@ -79,27 +79,30 @@ def loop_until(spark, d):
 
 
 @query("fold_state", f"""WITH {MESSAGES}
-SELECT conv_id, CAST(0 AS BIGINT) AS part, count(*) AS updates, string_agg(role, ',' ORDER BY turn) AS roles,
-  coalesce(arg_max(content, turn) FILTER (WHERE role = 'userMessage'), 'none') AS last_question
-FROM messages GROUP BY 1""")
+, p AS (SELECT *, CAST(sum(length(role) + 1) OVER (PARTITION BY conv_id ORDER BY turn) - length(role) - 1 AS BIGINT) // 40 AS part FROM messages),
+q AS (SELECT conv_id, coalesce(arg_max(content, turn) FILTER (WHERE role = 'userMessage'), 'none') AS last_question FROM messages GROUP BY 1)
+SELECT conv_id, part, count(*) OVER (PARTITION BY conv_id) AS n_parts, count(*) AS updates, string_agg(role, ',' ORDER BY turn) AS roles, any_value(last_question) AS last_question
+FROM p JOIN q USING (conv_id) GROUP BY conv_id, part""")
 def fold_state(spark, d):
     rows = messages(spark, d).select(
         "conv_id", "turn", F.col("role").alias("roles"),
         F.when(F.col("role") == "userMessage", F.col("content")).alias("last_question"))
-    out = R.fold_state(rows, "conv_id", {"roles": "append", "last_question": "replace"}, ["turn"], {"last_question": "none"})
-    return out.select("conv_id", "part", "updates", F.array_join("roles", ",").alias("roles"), "last_question")
+    out = R.fold_state(rows, "conv_id", {"roles": "append", "last_question": "replace"}, ["turn"], {"last_question": "none"}, part_chars=40)
+    return out.select("conv_id", "part", "n_parts", "updates", F.array_join("roles", ",").alias("roles"), "last_question")
 
 
 @query("merge_branch_outputs", """
 WITH l AS (SELECT l_orderkey, l_linenumber, arg_max(l_partkey, l_partkey * 100000 + l_suppkey) AS part, arg_max(l_returnflag, l_partkey * 100000 + l_suppkey) AS flag
   FROM lineitem GROUP BY 1, 2)
-SELECT l_orderkey, CAST(0 AS BIGINT) AS part, '{' || string_agg('"node' || l_linenumber || '":{"part":' || part || '}', ',' ORDER BY l_linenumber) || '}' AS json,
-  string_agg(flag, chr(10) ORDER BY l_linenumber) AS text FROM l GROUP BY 1""")
+, p AS (SELECT *, CAST(sum(length('{"part":' || part || '}') + length(flag)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - length('{"part":' || part || '}') - length(flag) AS BIGINT) // 40 AS chunk
+  FROM l)
+SELECT l_orderkey, chunk AS part, count(*) OVER (PARTITION BY l_orderkey) AS n_parts, '{' || string_agg('"node' || l_linenumber || '":{"part":' || part || '}', ',' ORDER BY l_linenumber) || '}' AS json,
+  string_agg(flag, chr(10) ORDER BY l_linenumber) AS text FROM p GROUP BY l_orderkey, chunk""")
 def merge_branch_outputs(spark, d):
     rows = table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", F.to_json(F.struct(F.col("l_partkey").alias("part"))).alias("json"),
         F.col("l_returnflag").alias("text"), (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("pos"))
-    return R.merge_branch_outputs(rows, "l_orderkey", F.concat(F.lit("node"), "l_linenumber"))
+    return R.merge_branch_outputs(rows, "l_orderkey", F.concat(F.lit("node"), "l_linenumber"), part_chars=40)
 
 
 @query("render_template", """
@@ -111,15 +114,17 @@ def render_template(spark, d):
 
 
 @query("few_shot_prompt", """
-WITH e AS (SELECT item_id % 8 AS topic, string_agg('Q: ' || text || ' (' || item_id || ')', chr(10) ORDER BY item_id) AS t FROM benchmark GROUP BY 1)
-SELECT doc_id, CAST(0 AS BIGINT) AS part, 'Answer briefly.' || chr(10) || t || chr(10) || 'Now: ' || lang AS prompt
+WITH x AS (SELECT item_id, item_id % 8 AS topic, 'Q: ' || text || ' (' || item_id || ')' AS q FROM benchmark),
+p AS (SELECT *, CAST(sum(length(q) + 1) OVER (PARTITION BY topic ORDER BY item_id) - length(q) - 1 AS BIGINT) // 500 AS part FROM x),
+e AS (SELECT topic, part, string_agg(q, chr(10) ORDER BY item_id) AS t, count(*) OVER (PARTITION BY topic) AS n_parts, max(part) OVER (PARTITION BY topic) AS last FROM p GROUP BY topic, part)
+SELECT doc_id, part, n_parts, CASE WHEN part = 0 THEN 'Answer briefly.' || chr(10) ELSE '' END || t || CASE WHEN part = last THEN chr(10) || 'Now: ' || lang ELSE '' END AS prompt
 FROM documents JOIN e ON topic = doc_id % 8""")
 def few_shot_prompt(spark, d):
     """Benchmark items as examples of eight topics, one prompt per document."""
     examples = table(spark, d, "benchmark").withColumn("topic", F.col("item_id") % 8)
     rows = docs(spark, d).select("doc_id", "lang", (F.col("doc_id") % 8).alias("topic"))
-    out = R.few_shot_prompt(rows, examples, "topic", "item_id", "Q: {text} ({item_id})", "Answer briefly.", "Now: {lang}", "\n")
-    return out.select("doc_id", "part", "prompt")
+    out = R.few_shot_prompt(rows, examples, "topic", "item_id", "Q: {text} ({item_id})", "Answer briefly.", "Now: {lang}", "\n", part_chars=500)
+    return out.select("doc_id", "part", "n_parts", "prompt")
 
 
 @query("parse_structured_output", """
@@ -142,14 +147,14 @@ def parse_list_output(spark, d):
 
 
 @query("batch_prompt", f"""WITH {MESSAGES}, p AS (SELECT id, 'Summarize: ' || content AS p FROM messages WHERE role = 'userMessage')
-SELECT id, sha256(p || '_counter') AS cache_key, CAST(len(regexp_extract_all(p, '\\S+')) AS INTEGER) AS words, substr(p, 1, 20) AS head FROM p""")
+SELECT id, sha256(p || '_counter') AS cache_key, CAST(len(regexp_extract_all(p, '\\S+')) AS INTEGER) AS words, p AS head FROM p""")
 def batch_prompt(spark, d):
     """Answer every first user message once; the cache already knows the first turns."""
     asked = messages(spark, d).where("role = 'userMessage'").select("id", "turn", "content")
     prompt = templates.render_template("Summarize: {{text}}", {"text": F.col("content")})
 
     def complete(prompts: pd.Series) -> pd.Series:
-        return prompts.map(lambda p: json.dumps({"words": len(p.split()), "head": p[:20]}))
+        return prompts.map(lambda p: json.dumps({"words": len(p.split()), "head": p}))
 
     empty = spark.createDataFrame([], "cache_key string, value string")
     cache = R.batch_prompt(asked.where("turn = 0"), prompt, "counter", empty, complete)[1]
