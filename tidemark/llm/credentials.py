@@ -37,14 +37,14 @@ def entropy_windows(run: str, window: int, least: float) -> list[tuple[int, int]
     counts: dict[str, int] = {}
     total, limit, spans = 0.0, window * (log2(window) - least), []
     for i, ch in enumerate(run):
-        c = counts.get(ch, 0)
-        counts[ch] = c + 1
-        total += clog[c + 1] - clog[c]
         if i >= window:
             old = run[i - window]
             c = counts[old]
             counts[old] = c - 1
             total += clog[c - 1] - clog[c]
+        c = counts.get(ch, 0)
+        counts[ch] = c + 1
+        total += clog[c + 1] - clog[c]
         if i >= window - 1 and total <= limit + 1e-9:
             lo = i - window + 1
             if spans and lo <= spans[-1][1]:

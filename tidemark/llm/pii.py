@@ -140,7 +140,7 @@ def finder():
             whole = span.replace(" ", "")
             check, form = (1 if _mod97(whole) else -1), (1 if 15 <= len(whole) <= 34 else -1)
         else:
-            gazetteer = 1 if span.split()[0] in given else 0
+            gazetteer = 1 if given.intersection(span.split()) else 0
             form = 1 if title.match(span) else 0
         context = 1 if cues[name].search(around) else -1 if against.search(around) else 0
         left, right = text[lo - 1:lo], text[hi:hi + 1]
