@@ -23,7 +23,7 @@ from tidemark.llm.tables import documents_of, fold, stored
 
 LONGEST = 4
 ROWS_PER_LANG = 3000
-ENTRIES = 160_000
+ENTRIES = 100_000
 _SPACE = 1 << 31
 
 
@@ -118,44 +118,51 @@ def language_column(model: dict, text: Column) -> Column:
             words = index[0]
         seen: dict[str, int] = {}
         vectors = np.zeros((0, len(langs)), np.float32)
+        def words_of(part):
+            """Words of each text; vectors of words not met yet join the table."""
+            nonlocal seen, vectors
+            split = [tokens(t) if t else [] for t in part]
+            if not langs:
+                return split
+            if len(seen) > 100_000:
+                seen, vectors = {}, np.zeros((0, len(langs)), np.float32)
+            new = [w for w in set().union(*split) if w not in seen]
+            flat, starts = [], []
+            for w in new:
+                starts.append(len(flat))
+                if (k := words.get(w)) is not None:
+                    flat.append(k)
+                    continue
+                for n in range(LONGEST, 0, -1):
+                    known = [k for g in _grams(w, n) if (k := index[n].get(g)) is not None]
+                    if known:
+                        flat += known
+                        break
+                else:
+                    flat.append(nothing)
+            if new:
+                sums = np.add.reduceat(rows[flat], starts, axis=0)
+                sums -= sums.max(axis=1, keepdims=True)
+                base = len(vectors)
+                vectors = np.concatenate([vectors, sums])
+                seen.update(zip(new, range(base, base + len(new))))
+            return split
+
         for batch in texts:
-            split = [tokens(t) if t else [] for t in batch]
-            if langs:
-                if len(seen) > 200_000:
-                    seen, vectors = {}, np.zeros((0, len(langs)), np.float32)
-                new = [w for w in set().union(*split) if w not in seen]
-                flat, starts = [], []
-                for w in new:
-                    starts.append(len(flat))
-                    if (k := words.get(w)) is not None:
-                        flat.append(k)
-                        continue
-                    for n in range(LONGEST, 0, -1):
-                        known = [k for g in _grams(w, n) if (k := index[n].get(g)) is not None]
-                        if known:
-                            flat += known
-                            break
-                    else:
-                        flat.append(nothing)
-                if new:
-                    sums = np.add.reduceat(rows[flat], starts, axis=0)
-                    sums -= sums.max(axis=1, keepdims=True)
-                    base = len(vectors)
-                    vectors = np.concatenate([vectors, sums])
-                    seen.update(zip(new, range(base, base + len(new))))
             names, scores = [], []
-            for found in split:
-                if not langs or not found or not any(w[0].isalpha() or any(map(str.isalpha, w)) for w in found):
-                    names.append("und")
-                    scores.append(0.0)
-                    continue
-                total = np.zeros(len(langs))
-                for lo in range(0, len(found), 65536):
-                    total += vectors[[seen[w] for w in found[lo:lo + 65536]]].sum(axis=0, dtype=np.float64)
-                share = np.exp(total - total.max())
-                best = int(total.argmax())
-                names.append(langs[best])
-                scores.append(float(share[best] / share.sum()))
+            for first in range(0, len(batch), 256):
+                for found in words_of(batch.iloc[first:first + 256]):
+                    if not langs or not found or not any(w[0].isalpha() or any(map(str.isalpha, w)) for w in found):
+                        names.append("und")
+                        scores.append(0.0)
+                        continue
+                    total = np.zeros(len(langs))
+                    for lo in range(0, len(found), 65536):
+                        total += vectors[[seen[w] for w in found[lo:lo + 65536]]].sum(axis=0, dtype=np.float64)
+                    share = np.exp(total - total.max())
+                    best = int(total.argmax())
+                    names.append(langs[best])
+                    scores.append(float(share[best] / share.sum()))
             yield pd.DataFrame({"lang_pred": names, "score": np.array(scores, float)})
 
     return predict(text)
