@@ -10,7 +10,8 @@
 3. Search: every passage of every document is projected and compared with all items by cosine.
    Items above the threshold are checked in the words around the passage: the longest common
    subsequence must cover enough of the item, and of its answer (the last sentence of the item,
-   unless a column holds it).
+   unless a column holds it).  Words outside the vocabulary match no item, so the stored terms of a
+   document, in order, are all that the checks need; texts are read once.
 
 The benchmark is the stated query set; it travels with the tasks, so its size is checked.
 """
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import documents_of, stored
 
 BLOCK = 32
-RANK = 128
+RANK = 96
 OVERSAMPLE = 8
 #: terms in more blocks than this share are left out, but for the rarest third of each item, six at least
 MAX_SHARE = 0.02
@@ -66,20 +68,34 @@ def read_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "t
     return items
 
 
-def _term_rows(vocabulary: dict[str, int]):
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, get = _tokenizer(), vocabulary.get
-        for batch in batches:
-            for lo in range(0, len(batch), 256):
-                found = []
-                for text in batch["text"].iloc[lo:lo + 256]:
-                    ids = np.fromiter((get(w, -1) for w in tokens(text)), np.int32) if text else np.zeros(0, np.int32)
-                    at = np.flatnonzero(ids >= 0)
-                    found.append((max(1, -(-len(ids) // BLOCK)), (at // BLOCK).astype(np.int32), ids[at]))
-                blocks, at, terms = zip(*found)
-                yield pd.DataFrame({"blocks": np.array(blocks, np.int32), "at": at, "terms": terms})
+def _vocabulary(items: list) -> dict[str, int]:
+    return {w: k for k, w in enumerate(sorted({w for _, words, last in items for w in (*words, *last)}))}
 
-    return rows
+
+def _numberer(vocabulary: dict[str, int]):
+    """Function from a text to the number of its blocks, the block of each known term, and the terms, in order."""
+    tokens, get = _tokenizer(), vocabulary.get
+
+    def number(text):
+        words = tokens(text) if text else []
+        ids = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
+        at = np.flatnonzero(ids >= 0)
+        return max(1, -(-len(ids) // BLOCK)), (at // BLOCK).astype(np.int32), ids[at]
+
+    return number
+
+
+def term_column(vocabulary: dict[str, int], text: Column) -> Column:
+    """Struct (blocks, at, terms) of a whole text; a null text is one empty block."""
+
+    @F.pandas_udf("blocks int, at array<int>, terms array<int>")
+    def terms(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        number = _numberer(vocabulary)
+        for batch in texts:
+            blocks, at, found = zip(*map(number, batch)) if len(batch) else ((), (), ())
+            yield pd.DataFrame({"blocks": np.array(blocks, np.int32), "at": at, "terms": found})
+
+    return terms(text)
 
 
 def _flat(batch: pd.DataFrame):
@@ -164,15 +180,18 @@ def _summed(shares: DataFrame, rank: int) -> np.ndarray:
     return np.concatenate([np.frombuffer(r["values"]).reshape(-1, rank) for r in rows])
 
 
-def learned(df: DataFrame, items: list, id_col: str = "doc_id", text_col: str = "text", rank: int = RANK) -> dict:
-    """Model: items, vocabulary, weights, and the latent directions of all passages of `df`."""
-    vocabulary = {w: k for k, w in enumerate(sorted({w for _, words, _ in items for w in words}))}
+def numbered(df: DataFrame, items: list, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, blocks, at, terms of every row, stored."""
+    docs = documents_of(df, id_col, text_col)
+    return stored(docs.select("doc_id", term_column(_vocabulary(items), F.col("text")).alias("t")).select("doc_id", "t.*"))
+
+
+def learned(rows: DataFrame, items: list, rank: int = RANK) -> dict:
+    """Model from the numbered rows: items, vocabulary, weights, and the latent directions of all passages."""
+    rows, vocabulary = rows.select("blocks", "at", "terms"), _vocabulary(items)
     size = len(vocabulary)
     if not size:
         return {"items": [], "vocabulary": {}, "weighted": np.zeros((0, 1), np.float32)}
-    rows = stored(documents_of(df, id_col, text_col).select("text").mapInPandas(
-        _term_rows(vocabulary), "blocks int, at array<int>, terms array<int>"
-    ))
     counted = rows.mapInPandas(_frequencies(size), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     n = np.zeros(size + 1)
     for r in counted:
@@ -215,96 +234,119 @@ def word_masks(words: list) -> dict:
     return masks
 
 
+_LEAKS = "array<struct<item_id: long, cosine: double, lcs: double, answer: double>>"
+
+
+def _searcher(model: dict, cosine: float, lcs: float, answer: float):
+    """Function from numbered texts to the leaks of each: (item_id, cosine, lcs, answer), best match per item."""
+    items, vocabulary, weighted = model["items"], model["vocabulary"], model["weighted"]
+    asked = []
+    for item, words, last in items:
+        own, end = [vocabulary[w] for w in words], [vocabulary[w] for w in last]
+        asked.append((item, own, word_masks(own), len(own), word_masks(end), len(end), -(-len(own) // BLOCK)))
+    used = (weighted != 0).any(axis=1)
+    aims = np.stack([weighted[own].sum(axis=0) for _, own, *_ in asked]) if asked else np.zeros((0, weighted.shape[1]))
+    norms = np.linalg.norm(aims, axis=1, keepdims=True)
+    aims = np.where(norms > 0, aims / np.maximum(norms, 1e-12), 0).astype(np.float32).T
+
+    def check(terms, edges, lo, hi, k, best, cos, spans):
+        item, own, masks, length, last_masks, last, reach = asked[k]
+        if reach not in spans:
+            span = terms[edges[max(0, lo - reach)]:edges[min(len(edges) - 1, hi + reach)]]
+            spans[reach] = span, set(span)
+        span, present = spans[reach]
+        # no subsequence is longer than the words the two have in common
+        if sum(map(present.__contains__, own)) < lcs * length:
+            return
+        share = lcs_length(span, masks, length) / length
+        if share < lcs:
+            return
+        known = lcs_length(span, last_masks, last) / last
+        if known >= answer and (k not in best or (share, known, cos) > best[k][1:]):
+            best[k] = (item, share, known, cos)
+
+    def search(texts):
+        found: list[dict] = [{} for _ in texts]
+        sizes = np.array([n for n, _, _ in texts], np.int64)
+        base = np.cumsum(sizes) - sizes
+        lengths = np.array([len(t) for _, _, t in texts], np.int64)
+        terms = np.concatenate([*(t for _, _, t in texts), np.zeros(0, np.int32)]).astype(np.int64)
+        block = np.concatenate([*(at for _, at, _ in texts), np.zeros(0, np.int32)]) + np.repeat(base, lengths)
+        heavy = used[terms]
+        z = _block_sums(weighted[terms[heavy]], block[heavy].astype(np.int64), int(sizes.sum()))
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        ends = np.zeros(len(z), bool)
+        ends[base + sizes - 1] = True
+        inner = np.flatnonzero(~ends)
+        ordered: dict[int, tuple] = {}
+        for wide, places in ((1, np.arange(len(z))), (2, inner)):
+            for lo in range(0, len(places), 8192):
+                where = places[lo:lo + 8192]
+                part = z[where] if wide == 1 else z[where] + z[where + 1]
+                size = np.linalg.norm(part, axis=1)
+                near = part @ aims
+                close = near >= (cosine * size)[:, None]
+                close[size == 0] = False
+                last = -1
+                for p, k in zip(*map(np.ndarray.tolist, np.nonzero(close))):
+                    if p != last:
+                        last, spans = p, {}
+                        doc = int(owner[where[p]])
+                        start = int(where[p] - base[doc])
+                        if doc not in ordered:
+                            n, at, own = texts[doc]
+                            ordered[doc] = own.tolist(), np.searchsorted(at, np.arange(n + 1)).tolist()
+                    check(*ordered[doc], start, start + wide, k, found[doc], float(near[p, k] / size[p]), spans)
+        return [
+            [{"item_id": i, "cosine": c, "lcs": s, "answer": a} for i, s, a, c in (best[k] for k in sorted(best))]
+            for best in found
+        ]
+
+    return search if asked else lambda texts: [[] for _ in texts]
+
+
 def leak_column(model: dict, text: Column, cosine: float = COSINE, lcs: float = LCS_SHARE, answer: float = ANSWER_SHARE) -> Column:
     """Array of (item_id, cosine, lcs, answer): the items whose passage a text holds, best match each.
 
     Null, empty and wordless texts hold none.  Items of equal text are reported each.
     """
-    items, vocabulary, weighted = model["items"], model["vocabulary"], model["weighted"]
 
-    @F.pandas_udf("array<struct<item_id: long, cosine: double, lcs: double, answer: double>>")
+    @F.pandas_udf(_LEAKS)
     def leaks(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens, get = _tokenizer(), vocabulary.get
-        asked = [(i, words, word_masks(words), len(words), word_masks(last), len(last)) for i, words, last in items]
-        if items:
-            aims = np.stack([weighted[[vocabulary[w] for w in words]].sum(axis=0) for _, words, _ in items])
-            norms = np.linalg.norm(aims, axis=1, keepdims=True)
-            aims = np.where(norms > 0, aims / np.maximum(norms, 1e-12), 0).astype(np.float32).T
-
-        def check(words, lo, hi, k, best, cos, spans):
-            item, own, masks, length, last_masks, last = asked[k]
-            reach = -(-length // BLOCK) * BLOCK
-            if reach not in spans:
-                span = words[max(0, lo - reach):hi + reach]
-                spans[reach] = span, set(span)
-            span, present = spans[reach]
-            # no subsequence is longer than the words the two have in common
-            if sum(map(present.__contains__, own)) < lcs * length:
-                return
-            share = lcs_length(span, masks, length) / length
-            if share < lcs:
-                return
-            known = lcs_length(span, last_masks, last) / last
-            if known >= answer and (k not in best or (share, known, cos) > best[k][1:]):
-                best[k] = (item, share, known, cos)
-
-        def search(texts_here):
-            split = [tokens(t) if t else [] for t in texts_here]
-            found: list[dict] = [{} for _ in split]
-            ids = [np.fromiter((get(w, -1) for w in words), np.int64, len(words)) for words in split]
-            sizes = np.array([max(1, -(-len(x) // BLOCK)) for x in ids])
-            base = np.cumsum(sizes) - sizes
-            terms = np.concatenate([*ids, np.zeros(0, np.int64)])
-            block = np.concatenate([*(np.arange(len(x)) // BLOCK + b for x, b in zip(ids, base)), np.zeros(0, np.int64)])
-            used = terms >= 0
-            terms, block = terms[used], block[used].astype(np.int64)
-            z = _block_sums(weighted[terms], block, int(sizes.sum()))
-            owner = np.repeat(np.arange(len(split)), sizes)
-            ends = np.zeros(len(z), bool)
-            ends[base + sizes - 1] = True
-            inner = np.flatnonzero(~ends)
-            for vectors, places, wide in ((z, np.arange(len(z)), 1), (z[inner] + z[inner + 1], inner, 2)):
-                for lo in range(0, len(vectors), 8192):
-                    part = vectors[lo:lo + 8192]
-                    size = np.linalg.norm(part, axis=1)
-                    close = part @ aims >= (cosine * size)[:, None]
-                    close[size == 0] = False
-                    at, spans = -1, {}
-                    for p, k in zip(*map(np.ndarray.tolist, np.nonzero(close))):
-                        if p != at:
-                            at, spans = p, {}
-                            doc = owner[places[lo + p]]
-                            start = int(places[lo + p] - base[doc]) * BLOCK
-                        cos = float(part[p] @ aims[:, k] / size[p])
-                        check(split[doc], start, start + wide * BLOCK, k, found[doc], cos, spans)
-            return [
-                [{"item_id": i, "cosine": c, "lcs": s, "answer": a} for i, s, a, c in (best[k] for k in sorted(best))]
-                for best in found
-            ]
-
+        number, search = _numberer(model["vocabulary"]), _searcher(model, cosine, lcs, answer)
         for batch in texts:
-            out = []
-            for lo in range(0, len(batch), 256):
-                part = list(batch.iloc[lo:lo + 256])
-                out += search(part) if items else [[] for _ in part]
-            yield pd.Series(out)
+            yield pd.Series([
+                x for lo in range(0, len(batch), 256) for x in search([number(t) for t in batch.iloc[lo:lo + 256]])])
 
     return leaks(text)
 
 
+def stored_leak_column(model: dict, cosine: float = COSINE, lcs: float = LCS_SHARE, answer: float = ANSWER_SHARE) -> Column:
+    """The same of the stored columns blocks, at and terms."""
+
+    @F.pandas_udf(_LEAKS)
+    def leaks(rows: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        search = _searcher(model, cosine, lcs, answer)
+        for blocks, at, terms in rows:
+            texts = list(zip(blocks.tolist(), at, terms))
+            yield pd.Series([x for lo in range(0, len(texts), 256) for x in search(texts[lo:lo + 256])])
+
+    return leaks("blocks", "at", "terms")
+
+
 def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, item_id, cosine, lcs, answer: a row per input row and item that it leaks.
 
     Empty tables on either side give no rows; repeated rows come out repeated; ids may be null.
     """
-    docs = documents_of(df, id_col, text_col)
-    model = learned(docs, read_items(benchmark))
-    found = docs.select("doc_id", leak_column(model, F.col("text")).alias("leaks"))
+    items = read_items(benchmark)
+    rows = numbered(df, items, id_col, text_col)
+    found = rows.select("doc_id", stored_leak_column(learned(rows, items)).alias("leaks"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
 def without_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of `df`, all columns, whose text leaks no item of the benchmark."""
-    docs = df.select(F.lit(0).alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    model = learned(docs, read_items(benchmark))
-    return df.where(F.size(leak_column(model, F.col(f"`{text_col}`"))) == 0)
+    items = read_items(benchmark)
+    rows = numbered(df.select(F.lit(0).alias("doc_id"), F.col(f"`{text_col}`").alias("text")), items)
+    return df.where(F.size(leak_column(learned(rows, items), F.col(f"`{text_col}`"))) == 0)
