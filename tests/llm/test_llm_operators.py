@@ -136,6 +136,18 @@ def test_line_dedup_odd_rows(spark, odd):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_exact_copies_of_lines_go_whole(spark):
+    texts = ["\n".join(f"document {d} line {i} {'words ' * (i % 7)}" for i in range(n)) for d, n in enumerate([2, 3, 4, 6, 9, 40])]
+    data = list(enumerate(texts + texts + ["\n" + texts[2] + "\n", "a\na\na", "x\n \ny", "y\nx\n \ny\nz"])) + [(None, texts[0])]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r["row"]["doc_id"]: r["kept_text"] for r in linechunks.dedup_runs(df).collect() if r["row"]["doc_id"] is not None}
+    n = len(texts)
+    assert [got[i] for i in range(2 * n)] == texts + [""] * n
+    assert [got[2 * n + k] for k in range(4)] == ["", "a\na\na", "x\n \ny", "y\nz"]
+    left = corpus_pipeline.dedup_lines(spark, df, SF)
+    assert sorted(r["doc_id"] for r in left.where("doc_id is not null").collect()) == [*range(n), 2 * n + 1, 2 * n + 2, 2 * n + 3]
+
+
 # ---- packing
 
 def test_packing_round_trip(spark, rows):

@@ -11,6 +11,10 @@ hold costs one row per task.  Before texts are shuffled, to compare them or to r
 that cannot match are set aside: the hashes looked for are folded into `BUCKETS` numbers, a table
 of at most that many rows that may be broadcast whatever the corpus.  The exact join follows.  With
 very many repeats the folded table lets everything pass; the rows found are the same.
+
+The cuts leave the ends of a repeated passage, and short passages without two cuts, where they are.
+`dedup_runs` is exact instead: every two neighbouring lines are a key, so all lines of a repeated
+run of two and more lines go, and an exact copy of two and more lines goes whole.
 """
 
 from __future__ import annotations
@@ -100,17 +104,22 @@ def dedup_lines(
     """
     gone = repeated_chunks(documents_of(df, id_col, text_col), divisor, least_lines)
     gone = stored(gone.select(F.col("doc_id").alias("gone_id"), "gone"))
+    stays = lambda c: ~F.array_contains("gone", F.struct(c["pos"], F.xxhash64(c["text"]).alias("h")))
+    kept = F.filter(chunk_column(F.col("row_text"), divisor), stays)
+    return _rows_without(df, id_col, text_col, gone, F.expr("row_id = gone_id"), kept)
+
+
+def _rows_without(df: DataFrame, id_col: str, text_col: str, gone: DataFrame, same: Column, kept: Column) -> DataFrame:
+    """The rows of `df` with the parts `kept` (n, text) of the rows that meet `gone` (gone_id, gone) under `same`."""
     whole = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{id_col}`").alias("row_id"),
         F.col(f"`{text_col}`").alias("row_text"), _bucket(F.col(f"`{id_col}`")).alias("bucket"),
     )
-    stays = lambda c: ~F.array_contains("gone", F.struct(c["pos"], F.xxhash64(c["text"]).alias("h")))
-    kept = F.filter(chunk_column(F.col("row_text"), divisor), stays)
     n_lines = F.when(F.col("row_text").isNull(), 0).otherwise(F.size(F.split("row_text", "\n", -1))).cast("long")
     buckets = _buckets(gone, "gone_id")
     untouched = whole.join(buckets, "bucket", "left_anti").select(
         "row", F.col("row_text").alias("kept_text"), n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
-    joined = whole.join(buckets, "bucket", "left_semi").join(gone, F.expr("row_id = gone_id"), "left").select(
+    joined = whole.join(buckets, "bucket", "left_semi").join(gone, same, "left").select(
         "row", "row_text", "gone", n_lines.alias("n_lines"),
         F.when(F.col("gone").isNotNull(), kept).alias("kept"),
     )
@@ -123,3 +132,58 @@ def dedup_lines(
         .otherwise(F.col("n_lines") - F.aggregate("kept", F.lit(0).cast("long"), lambda s, c: s + c["n"])).alias("n_removed"),
     )
     return untouched.unionByName(changed)
+
+
+def pair_column(text: Column) -> Column:
+    """Array of pairs (pos, end, text) of neighbouring lines, blank lines between them included; null below two lines."""
+
+    def pairs(lines: Column, full: Column) -> Column:
+        def one(k: Column) -> Column:
+            lo, hi = full[k], full[k + 1]
+            return F.struct(lo.alias("pos"), hi.alias("end"), F.array_join(F.slice(lines, lo + 1, hi - lo + 1), "\n").alias("text"))
+
+        return F.when(F.size(full) > 1, F.transform(F.sequence(F.lit(0), F.size(full) - 2), one))
+
+    return _let(F.split(text, "\n", -1), lambda lines: _let(
+        F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: lines[i].rlike("\\S")), lambda full: pairs(lines, full)))
+
+
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """gone_id, gone_mark (hash of the text), gone: the numbers of the lines to remove of every such text.
+
+    A pair of lines goes if the same two lines stand before it by (doc_id, position) without
+    overlapping it.  The first occurrence of a line is in no such pair, so every line stays once.
+    """
+    paired = (
+        docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("mark"), F.explode(pair_column(F.col("text"))).alias("c"))
+        .select("doc_id", "mark", "c.*", F.xxhash64("c.text").alias("h"))
+    )
+    repeated = stored(paired.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"))
+    texts = stored(
+        paired.withColumn("bucket", _bucket(F.col("h"))).join(_buckets(repeated, "h"), "bucket", "left_semi")
+        .join(repeated, "h", "left_semi").select("doc_id", "mark", "pos", "end", "h", "text")
+    )
+    first = texts.groupBy("h", "text").agg(
+        F.count("*").alias("times"), F.min(F.struct("doc_id", "pos", "end")).alias("first")
+    ).where("times > 1").select("h", "text", "first")
+    later = texts.join(first, ["h", "text"]).where("doc_id <> first.doc_id or pos > first.end")
+    lines = later.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"), F.explode(F.sequence("pos", "end")).alias("line"))
+    return lines.groupBy("gone_id", "gone_mark").agg(F.collect_set("line").alias("gone"))
+
+
+def dedup_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As `dedup_lines`, without every line of a run of two and more lines that stands in the corpus before.
+
+    Blank lines count as parts of the run they stand in; a text of which only blank lines would stay
+    loses them too.  Rows that share a doc_id count as one document, as in `dedup_lines`.
+    """
+    gone = stored(repeated_runs(documents_of(df, id_col, text_col)))
+
+    def kept(lines: Column) -> Column:
+        left = F.transform(
+            F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")),
+            lambda i: F.struct(F.lit(1).alias("n"), lines[i].alias("text")))
+        return _let(left, lambda parts: F.when(F.exists(parts, lambda c: c["text"].rlike("\\S")), parts).otherwise(F.slice(parts, 1, 0)))
+
+    same = F.expr("row_id = gone_id and xxhash64(row_text) = gone_mark")
+    return _rows_without(df, id_col, text_col, gone, same, _let(F.split("row_text", "\n", -1), kept))
