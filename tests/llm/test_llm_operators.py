@@ -148,6 +148,23 @@ def test_exact_copies_of_lines_go_whole(spark):
     assert sorted(r["doc_id"] for r in left.where("doc_id is not null").collect()) == [*range(n), 2 * n + 1, 2 * n + 2, 2 * n + 3]
 
 
+def test_repeated_runs_equal_plain_version(spark, docs, rows):
+    first, want, short = {}, {}, 0
+    for d in sorted(rows):
+        lines, gone = rows[d]["text"].split("\n"), set()
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            at = first.setdefault(pair, (d, i))
+            if at[0] != d or i > at[1] + 1:
+                gone |= {i, i + 1}
+        kept = [x for i, x in enumerate(lines) if i not in gone]
+        want[d] = ("\n".join(kept), len(lines), len(gone))
+        short += len(gone) in (2, 3)
+    got = {r["row"]["doc_id"]: (r["kept_text"], r["n_lines"], r["n_removed"]) for r in linechunks.dedup_runs(docs).collect()}
+    assert got == want and short
+    for r in corpus_pipeline.dedup_lines(spark, docs, SF).collect():
+        assert r["text"] == want[r["doc_id"]][0]
+
+
 # ---- packing
 
 def test_packing_round_trip(spark, rows):
