@@ -278,6 +278,18 @@ def test_entropy_finds_and_suppresses(spark):
     assert got == {1: ["entropy"], 2: [], 3: ["hex"], 4: [], 5: []}
 
 
+@pytest.mark.parametrize("digits", ["0123456789ABCDEF", "0123456789abcdef"])
+@pytest.mark.parametrize("name", ["SESSION=", "key_", "a-b-"])
+def test_entropy_of_hex_behind_a_name(digits, name):
+    rng, spans = np.random.default_rng(3), credentials.finder()
+    for n in (24, 32, 40, 64):
+        for _ in range(200):
+            secret = "".join(rng.choice(list(digits), n))
+            bare = {(a, b) for a, k, b in spans(secret) if k == 3}
+            named = [(a - len(name), b - len(name)) for a, k, b in spans(name + secret) if k == 3]
+            assert all(any(lo <= a and b <= hi for lo, hi in named) for a, b in bare)
+
+
 def test_personal_data_added_spans(spark):
     text = "Contact Dr. Anna Miller, phone (555) 234-8765, mail anna [at] home [dot] org or a@b.com."
     data = [(i, text) for i in range(20)] + [(50 + i, f"build 10.2.3.{i} order 555-234-{8000 + i}") for i in range(20)]

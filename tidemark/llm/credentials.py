@@ -2,8 +2,8 @@
 
 Candidates of the entropy part are runs of token characters.  A window slides over a run; the
 counts of its characters are kept up to date by one addition and one removal per step, and so is
-the sum of c log c from which the entropy follows.  Windows of a class (hex, or letters and
-digits mixed) above the limit of the class are merged to spans.  An allow list suppresses runs
+the sum of c log c from which the entropy follows.  Windows of a class (letters and digits mixed
+over the whole run, hex over its stretches of hex digits) above the limit of the class are merged to spans.  An allow list suppresses runs
 that are known not to be secret: identifiers in UUID form, runs without a digit or without a
 letter, addresses and paths, and words of placeholders.
 """
@@ -54,6 +54,17 @@ def entropy_windows(run: str, window: int, least: float) -> list[tuple[int, int]
     return spans
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, with those that overlap or touch made one."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
 def finder():
     """Function from a text to its spans (start, kind number, end), sorted; compiled in the task."""
     import re
@@ -65,7 +76,14 @@ def finder():
     hexes = re.compile(r"[0-9a-f]{16,}")
     runs = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
     digit, uuid = re.compile("[0-9]"), re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-    hex_only = re.compile("[0-9a-fA-F]+")
+    hex_runs = re.compile("[0-9a-fA-F]{20,}")
+
+    def windows(run: str) -> list[tuple[int, int]]:
+        found = entropy_windows(run, *CLASSES["mixed"][1:])
+        for m in hex_runs.finditer(run):
+            if digit.search(m[0]) and any(map(str.isalpha, m[0])):
+                found += [(m.start() + lo, m.start() + hi) for lo, hi in entropy_windows(m[0], *CLASSES["hex"][1:])]
+        return merged(found)
 
     def allowed(run: str, before: str) -> bool:
         if not digit.search(run) or not any(map(str.isalpha, run)):
@@ -86,8 +104,7 @@ def finder():
             run = m[0]
             if allowed(run, text[max(0, m.start() - 3):m.start()]):
                 continue
-            _, window, least = CLASSES["hex" if hex_only.fullmatch(run) else "mixed"]
-            found += [(m.start() + lo, 3, m.start() + hi) for lo, hi in entropy_windows(run, window, least)]
+            found += [(m.start() + lo, 3, m.start() + hi) for lo, hi in windows(run)]
         return sorted(found)
 
     return spans
