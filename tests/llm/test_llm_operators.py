@@ -290,6 +290,25 @@ def test_entropy_of_hex_behind_a_name(digits, name):
             assert all(any(lo <= a and b <= hi for lo, hi in named) for a, b in bare)
 
 
+def test_allow_list_is_local():
+    rng, spans = np.random.default_rng(4), credentials.finder()
+    alphabet = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    secret = "Zq8xT3vLm9Rw2KpYd7Hs4Jc6"
+
+    def covered(text):
+        return sum(b - a for a, k, b in spans(text) if k == 3)
+
+    for word in ("", "www", "http", "xxxx", "dummy", "sample"):
+        long = "".join(rng.choice(alphabet, 20_000))
+        assert covered(long[:9_000] + word + long[9_000:]) > 19_000
+    assert covered("sample_id=" + secret) >= len(secret)
+    assert covered("3fXa/kQ9zB2/mT7wLr5Y+cD8") > 0
+    assert covered("/usr/local/share/" + secret + "/etc/ssl/conf/") >= len(secret)
+    for text in ("example-" + secret, secret + "EXAMPLEKEY", "x_id=123e4567-e89b-12d3-a456-426614174000",
+                 "/articles/2024/reports/Summary3/page-12/list", "www-" + secret):
+        assert covered(text) == 0, text
+
+
 def test_personal_data_added_spans(spark):
     text = "Contact Dr. Anna Miller, phone (555) 234-8765, mail anna [at] home [dot] org or a@b.com."
     data = [(i, text) for i in range(20)] + [(50 + i, f"build 10.2.3.{i} order 555-234-{8000 + i}") for i in range(20)]

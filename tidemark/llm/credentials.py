@@ -3,9 +3,10 @@
 Candidates of the entropy part are runs of token characters.  A window slides over a run; the
 counts of its characters are kept up to date by one addition and one removal per step, and so is
 the sum of c log c from which the entropy follows.  Windows of a class (letters and digits mixed
-over the whole run, hex over its stretches of hex digits) above the limit of the class are merged to spans.  An allow list suppresses runs
-that are known not to be secret: identifiers in UUID form, runs without a digit or without a
-letter, addresses and paths, and words of placeholders.
+over the whole run, hex over its stretches of hex digits) above the limit of the class are merged to spans.  An allow list suppresses what
+is known not to be secret: runs without a digit or without a letter, and, in the parts of a run
+between '=' signs, identifiers in UUID form, the words of addresses and paths, and the
+REACH characters on both sides of a placeholder word.  Windows that meet none of these stay.
 """
 
 from __future__ import annotations
@@ -24,7 +25,10 @@ CLASSES = {
     "hex": ("0123456789abcdefABCDEF", 20, 3.0),
     "mixed": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 20, 3.7),
 }
-ALLOWED_WORDS = ("example", "sample", "placeholder", "dummy", "changeme", "xxxx", "http", "www")
+ALLOWED_WORDS = ("example", "sample", "placeholder", "dummy", "changeme")
+#: too short to be told from chance inside a longer word
+ALLOWED_ALONE = ("http", "https", "www")
+REACH = 64
 
 
 def entropy_windows(run: str, window: int, least: float) -> list[tuple[int, int]]:
@@ -85,13 +89,35 @@ def finder():
                 found += [(m.start() + lo, m.start() + hi) for lo, hi in entropy_windows(m[0], *CLASSES["hex"][1:])]
         return merged(found)
 
-    def allowed(run: str, before: str) -> bool:
-        if not digit.search(run) or not any(map(str.isalpha, run)):
-            return True
-        low = run.lower()
-        if any(word in low for word in ALLOWED_WORDS) or uuid.fullmatch(run):
-            return True
-        return run.count("/") >= 2 and run.count("/") * 12 >= len(run) or before.endswith("://")
+    def forms(words):
+        return "|".join(form for w in words for form in (w, w.upper(), w.capitalize()))
+
+    placeholder = re.compile(
+        f"{forms(ALLOWED_WORDS)}|ChangeMe|changeMe|x{{4,}}|X{{4,}}|(?<![A-Za-z0-9])(?:{forms(ALLOWED_ALONE)})(?![A-Za-z0-9])")
+    parts, segments = re.compile("[^=]+"), re.compile("[^/]+")
+    word = "(?:(?:[A-Z]?[a-z]+(?:[A-Z][a-z]+)*|[A-Z]+)[0-9]{0,4}|[0-9]+)"
+    wordlike = re.compile(f"{word}(?:[-_+]+{word})*[-_+]*")
+
+    def free(run: str) -> list[tuple[int, int]]:
+        """The stretches of `run` that the allow list leaves."""
+        taken = []
+        for m in parts.finditer(run):
+            lo, hi, part = m.start(), m.end(), m[0]
+            if uuid.fullmatch(part):
+                taken.append((lo, hi))
+                continue
+            taken += [(max(lo, lo + w.start() - REACH), min(hi, lo + w.end() + REACH)) for w in placeholder.finditer(part)]
+            slashes = part.count("/")
+            if slashes >= 2 and slashes * 12 >= len(part):
+                # short parts say nothing by themselves and break no stretch
+                taken += [(lo + w.start(), lo + w.end()) for w in segments.finditer(part)
+                          if len(w[0]) >= 4 and wordlike.fullmatch(w[0])]
+        out, at = [], 0
+        for lo, hi in [*merged(taken), (len(run), len(run))]:
+            if lo > at:
+                out.append((at, lo))
+            at = max(at, hi)
+        return out
 
     def spans(text: str) -> list[tuple[int, int, int]]:
         found = []
@@ -102,9 +128,10 @@ def finder():
         found += [(m.start(), 2, m.end()) for m in hexes.finditer(text)]
         for m in runs.finditer(text):
             run = m[0]
-            if allowed(run, text[max(0, m.start() - 3):m.start()]):
+            if not digit.search(run) or not any(map(str.isalpha, run)):
                 continue
-            found += [(m.start() + lo, 3, m.start() + hi) for lo, hi in windows(run)]
+            for at, end in free(run):
+                found += [(m.start() + at + lo, 3, m.start() + at + hi) for lo, hi in windows(run[at:end])]
         return sorted(found)
 
     return spans
