@@ -468,6 +468,21 @@ def test_leaks_of_paraphrases(spark, docs):
     assert got == {(-1, item["item_id"]), (-2, item["item_id"])}
 
 
+def test_leaks_of_long_and_short_items(spark, docs):
+    rng = np.random.default_rng(6)
+    words = sorted({w for r in docs.collect() for w in re.findall(r"[^\W_]+", r["text"].lower())})
+    long, short = list(rng.choice(words, 900)), list(rng.choice(words, 12))
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short))], "item_id long, text string")
+    other = list(rng.choice(words, 400))
+    data = [(d, " ".join(other[:17 + 5 * d] + item + other[17 + 5 * d:])) for d, item in enumerate([long, short] * 6)]
+    model = decontaminate.learned(decontaminate.numbered(docs, items := decontaminate.read_items(bench)), items)
+    own = decontaminate._queries_of(items[0][1])
+    assert len(own) == 16 and own[0] == items[0][1] and own[-1] == items[0][1][-64:] and sum(map(len, own[1:])) >= 900
+    planted = spark.createDataFrame(data, "doc_id long, text string")
+    got = planted.select("doc_id", decontaminate.leak_column(model, F.col("text")).alias("found")).collect()
+    assert all(1 + r["doc_id"] % 2 in {x["item_id"] for x in r["found"]} for r in got)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), max_size=20), st.lists(st.sampled_from("abcd"), min_size=1, max_size=20))
 def test_lcs_by_bits(a, b):

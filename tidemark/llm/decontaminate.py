@@ -7,7 +7,9 @@
    gives its share of A'AQ (vocabulary x rank); the shares are summed in two levels of groups.
    One power step, a QR on the driver (vocabulary x rank numbers) and a second pass give the
    latent directions, scaled to equal variance so that frequent words do not rule the cosine.
-3. Search: every passage of every document is projected and compared with all items by cosine.
+3. Search: every passage of every document, and every block at steps of half a block, is projected
+   and compared by cosine with all items; an item longer than a passage is asked for whole and in
+   pieces of a passage's length, the best of which counts.
    Items above the threshold are checked in the words around the passage: the longest common
    subsequence must cover enough of the item, and of its answer (the last sentence of the item,
    unless a column holds it).  Words outside the vocabulary match no item, so the stored terms of a
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import documents_of, stored
 
 BLOCK = 32
-RANK = 96
+HALF = BLOCK // 2
+RANK = 128
 OVERSAMPLE = 8
 #: terms in more blocks than this share are left out, but for the rarest third of each item, six at least
 MAX_SHARE = 0.02
@@ -73,14 +76,14 @@ def _vocabulary(items: list) -> dict[str, int]:
 
 
 def _numberer(vocabulary: dict[str, int]):
-    """Function from a text to the number of its blocks, the block of each known term, and the terms, in order."""
+    """Function from a text to the number of its blocks, the half block of each known term, and the terms, in order."""
     tokens, get = _tokenizer(), vocabulary.get
 
     def number(text):
         words = tokens(text) if text else []
         ids = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
         at = np.flatnonzero(ids >= 0)
-        return max(1, -(-len(ids) // BLOCK)), (at // BLOCK).astype(np.int32), ids[at]
+        return max(1, -(-len(ids) // BLOCK)), (at // HALF).astype(np.int32), ids[at]
 
     return number
 
@@ -104,7 +107,7 @@ def _flat(batch: pd.DataFrame):
     base = np.cumsum(sizes) - sizes
     lengths = np.fromiter(map(len, batch["terms"]), np.int64, len(batch))
     terms = np.concatenate([*batch["terms"], np.zeros(0, np.int32)])
-    block = np.concatenate([*batch["at"], np.zeros(0, np.int32)]) + np.repeat(base, lengths)
+    block = np.concatenate([*batch["at"], np.zeros(0, np.int32)]) // 2 + np.repeat(base, lengths)
     ends = np.zeros(int(sizes.sum()), bool)
     ends[base + sizes - 1] = True
     return terms.astype(np.int64), block.astype(np.int64), ends
@@ -234,6 +237,15 @@ def word_masks(words: list) -> dict:
     return masks
 
 
+def _queries_of(own: list) -> list[list]:
+    """The whole item; if it is longer than a passage, also its pieces of a passage's length."""
+    wide = 2 * BLOCK
+    if len(own) <= wide:
+        return [own]
+    starts = sorted({*range(0, len(own) - wide + 1, wide), len(own) - wide})
+    return [own, *(own[k:k + wide] for k in starts)]
+
+
 _LEAKS = "array<struct<item_id: long, cosine: double, lcs: double, answer: double>>"
 
 
@@ -243,9 +255,12 @@ def _searcher(model: dict, cosine: float, lcs: float, answer: float):
     asked = []
     for item, words, last in items:
         own, end = [vocabulary[w] for w in words], [vocabulary[w] for w in last]
-        asked.append((item, own, word_masks(own), len(own), word_masks(end), len(end), -(-len(own) // BLOCK)))
+        asked.append((item, own, word_masks(own), len(own), word_masks(end), len(end), 2 * -(-len(own) // BLOCK)))
     used = (weighted != 0).any(axis=1)
-    aims = np.stack([weighted[own].sum(axis=0) for _, own, *_ in asked]) if asked else np.zeros((0, weighted.shape[1]))
+    pieces = [_queries_of(own) for _, own, *_ in asked]
+    counts = np.array([len(p) for p in pieces], np.int64)
+    firsts = np.cumsum(counts) - counts
+    aims = np.stack([weighted[q].sum(axis=0) for p in pieces for q in p]) if asked else np.zeros((0, weighted.shape[1]))
     norms = np.linalg.norm(aims, axis=1, keepdims=True)
     aims = np.where(norms > 0, aims / np.maximum(norms, 1e-12), 0).astype(np.float32).T
 
@@ -267,7 +282,7 @@ def _searcher(model: dict, cosine: float, lcs: float, answer: float):
 
     def search(texts):
         found: list[dict] = [{} for _ in texts]
-        sizes = np.array([n for n, _, _ in texts], np.int64)
+        sizes = np.array([2 * n for n, _, _ in texts], np.int64)
         base = np.cumsum(sizes) - sizes
         lengths = np.array([len(t) for _, _, t in texts], np.int64)
         terms = np.concatenate([*(t for _, _, t in texts), np.zeros(0, np.int32)]).astype(np.int64)
@@ -275,16 +290,18 @@ def _searcher(model: dict, cosine: float, lcs: float, answer: float):
         heavy = used[terms]
         z = _block_sums(weighted[terms[heavy]], block[heavy].astype(np.int64), int(sizes.sum()))
         owner = np.repeat(np.arange(len(texts)), sizes)
-        ends = np.zeros(len(z), bool)
-        ends[base + sizes - 1] = True
-        inner = np.flatnonzero(~ends)
+        after = (base + sizes)[owner]
+        spot = np.arange(len(z))
+        blocks = z[:-1] + z[1:]
         ordered: dict[int, tuple] = {}
-        for wide, places in ((1, np.arange(len(z))), (2, inner)):
+        for wide, places in ((2, spot[spot + 2 <= after]), (4, spot[(spot + 4 <= after) & (spot % 2 == 0)])):
             for lo in range(0, len(places), 8192):
                 where = places[lo:lo + 8192]
-                part = z[where] if wide == 1 else z[where] + z[where + 1]
+                part = blocks[where] if wide == 2 else blocks[where] + blocks[where + 2]
                 size = np.linalg.norm(part, axis=1)
                 near = part @ aims
+                if near.shape[1] > len(asked):
+                    near = np.maximum.reduceat(near, firsts, axis=1)
                 close = near >= (cosine * size)[:, None]
                 close[size == 0] = False
                 last = -1
@@ -295,7 +312,7 @@ def _searcher(model: dict, cosine: float, lcs: float, answer: float):
                         start = int(where[p] - base[doc])
                         if doc not in ordered:
                             n, at, own = texts[doc]
-                            ordered[doc] = own.tolist(), np.searchsorted(at, np.arange(n + 1)).tolist()
+                            ordered[doc] = own.tolist(), np.searchsorted(at, np.arange(2 * n + 1)).tolist()
                     check(*ordered[doc], start, start + wide, k, found[doc], float(near[p, k] / size[p]), spans)
         return [
             [{"item_id": i, "cosine": c, "lcs": s, "answer": a} for i, s, a, c in (best[k] for k in sorted(best))]
