@@ -111,7 +111,7 @@ def _sigmoid(x: Column) -> Column:
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """url, label of the small labelled table: 1 to block, 0 to allow."""
-    return spark.createDataFrame([(u, 1) for u in BLOCKED] + [(u, 0) for u in ALLOWED], "url string, label int")
+    return spark.createDataFrame([(u, 1) for u in BLOCKED] + [(u, 0) for u in ALLOWED], "url string, label int").coalesce(1)
 
 
 def _literal(weights: Sequence[float]) -> Column:
