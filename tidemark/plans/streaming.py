@@ -22,11 +22,7 @@ def as_stream(spark, d, name):
 def finished(df, mode="append"):
     """Run a stream over all that is there and read what it wrote."""
     folder = scratch_folder(df.sparkSession)
-    query_ = (
-        df.writeStream.format("parquet").outputMode(mode).option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
-    )
-    query_.awaitTermination()
+    U.run_available(df, f"{folder}/out", f"{folder}/checkpoint", mode).awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/out")
 
 

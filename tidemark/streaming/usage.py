@@ -8,8 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tidemark.operators.ordering import next_value, number_rows, running_sum
 
@@ -105,40 +104,79 @@ def rate_limit(events: DataFrame, max_requests: int, window_s: float, slices: in
     return ordered.mapInPandas(walk, f"{fields}, allowed boolean")
 
 
-def rate_limit_stream(events: DataFrame, max_requests: int, window_s: float, idle: str = "1 hour") -> DataFrame:
-    """The sliding log on a stream: the times of the recorded hits are the state of a key.
+class SlidingLog(StatefulProcessor):
+    """The times of the recorded hits of a key, as a list that leaves `ttl_ms` after its last change."""
 
-    Every hit gets a verdict; one that arrives late is held against the log as it stands.  The state of a
-    key leaves when no hit has come for the window and `idle` of the clock on the wall.
-    """
-    pause_ms = int(window_s * 1000) + int(pd.Timedelta(idle).total_seconds() * 1000)
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        log = deque(state.get[0]) if state.exists else deque()
-        hits = pd.concat(list(batches)).sort_values(["t", "id"])
-        allowed = []
+    def __init__(self, max_requests: int, window_s: float, ttl_ms: int):
+        self.max_requests, self.window_s, self.ttl_ms = max_requests, window_s, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.log = handle.getListState("hits", "t double", self.ttl_ms)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # the hits of a key in one micro-batch, three numbers each; the source's rate bounds them
+        hits = pd.concat(list(rows)).sort_values(["t", "id"])
+        log, allowed = deque(t for (t,) in self.log.get()), []
         for now in hits["t"]:
-            while log and log[0] <= now - window_s:
+            while log and log[0] <= now - self.window_s:
                 log.popleft()
-            allowed.append(len(log) < max_requests)
+            allowed.append(len(log) < self.max_requests)
             if allowed[-1]:
                 log.append(now)
-        state.update((list(log),))
-        state.setTimeoutDuration(pause_ms)
-        yield pd.DataFrame({"id": hits["id"], "key": hits["key"], "allowed": allowed})
+        if log:
+            self.log.put([(t,) for t in log])
+        else:
+            self.log.clear()
+        yield pd.DataFrame({"id": hits["id"], "key": key[0], "allowed": allowed})
+
+    def close(self) -> None:
+        pass
+
+
+def rate_limit_stream(events: DataFrame, max_requests: int, window_s: float, idle: str = "1 hour") -> DataFrame:
+    """The sliding log on a stream: the times of the recorded hits, `max_requests` at most, are the state of a key.
 
+    Every hit gets a verdict; one that arrives late is held against the log as it stands.  The state of a
+    key leaves when no hit has come for the window and `idle` of the clock on the wall.  Needs the RocksDB
+    state store; `run_available` sets it and ends when all that is there has been read.
+    """
+    ttl_ms = int(window_s * 1000) + int(pd.Timedelta(idle).total_seconds() * 1000)
     key_type, id_type = (events.schema[c].dataType.simpleString() for c in ("key", "id"))
     return (
         events.withColumn("t", _seconds(F.col("ts"))).select("key", "id", "t").groupBy("key")
-        .applyInPandasWithState(
-            step, f"id {id_type}, key {key_type}, allowed boolean", "hits array<double>", "append",
-            GroupStateTimeout.ProcessingTimeTimeout)
+        .transformWithStateInPandas(
+            SlidingLog(max_requests, window_s, ttl_ms), f"id {id_type}, key {key_type}, allowed boolean", "append", "ProcessingTime")
     )
 
 
+#: a state that leaves by the clock makes Spark ask for one empty batch after the other, so an `availableNow`
+#: run with it ends only without them
+_BOUNDED = {
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Start a stream to Parquet that ends when all that is there has been read.
+
+    A stream keeps the options of its start, so the session has its own back at once.
+    """
+    conf = stream.sparkSession.conf
+    before = {k: conf.get(k, None) for k in _BOUNDED}
+    try:
+        for k, v in _BOUNDED.items():
+            conf.set(k, v)
+        return (
+            stream.writeStream.format("parquet").outputMode(mode).option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
+
+
 def rate_limit_fixed(events: DataFrame, max_requests: int, window_s: int, slices: int | None = None) -> DataFrame:
     """Add `allowed`: the first hits of every key in each epoch-aligned window."""
     windowed = events.withColumn("_w", F.floor(_seconds(F.col("ts")) / window_s))
