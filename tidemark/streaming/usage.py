@@ -6,11 +6,12 @@ from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tidemark.operators.ordering import next_value, number_rows, running_sum
+from tidemark.operators.ordering import number_rows, slice_rows
 
 # fixed values: upper bounds of the latency buckets in milliseconds
 BUCKETS = (1, 5, 15, 50, 100, 200, 300, 400, 500)
@@ -68,40 +69,87 @@ def _seconds(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp")) / F.lit(1_000_000.0)
 
 
-def rate_limit(events: DataFrame, max_requests: int, window_s: float, slices: int | None = None) -> DataFrame:
-    """Add `allowed` by a sliding log per key (key, ts, id); blocked hits are not recorded.
+class _Log:
+    """The times of the recorded hits of one key, oldest first."""
+
+    def __init__(self, times: Sequence[float], max_requests: int, window_s: float):
+        self.times, self.max_requests, self.window_s = deque(times), max_requests, window_s
+
+    def hit(self, now: float) -> bool:
+        while self.times and self.times[0] <= now - self.window_s:
+            self.times.popleft()
+        allowed = len(self.times) < self.max_requests
+        if allowed:
+            self.times.append(now)
+        return allowed
 
-    A pause as long as the window empties the log, so the hits of a key are cut at such pauses and the
-    runs between them are spread over the tasks.  A run is read in time order and holds `max_requests`
-    times in memory.
+
+def _walked(sliced: DataFrame, starts: dict[int, list[float]], max_requests: int, window_s: float, kept: list[str] | None,
+            schema: str) -> DataFrame:
+    """Read each slice in order, its first key from the log `starts` gives it.
+
+    With `kept`, these columns and `allowed` of every row; else one row per slice: its first and last key, whether it
+    holds one key only, and the log at its end.
     """
-    timed = events.withColumn("_t", _seconds(F.col("ts"))).withColumn("_minus", -F.col("_t"))
-    # the hit before is the next one in reversed order
-    stepped = next_value(
-        timed.withColumn("_rid", -F.col("id")), ["key"], ["_minus", "_rid"], "_t", "_prev", slices=slices)
-    starts = F.coalesce((F.col("_t") - F.col("_prev") >= window_s).cast("int"), F.lit(1))
-    runs = running_sum(stepped, ["key"], ["_t", "id"], starts, "_run", slices=slices)
-    kept = [c for c in events.columns]
-    ordered = (
-        runs.select(*kept, "_t", "_run").repartition("key", "_run").sortWithinPartitions("key", "_run", "_t", "id")
-    )
+    ordered = sliced.repartition("_ord_slice").sortWithinPartitions("_ord_slice", "key", "_t", "id")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = first = key = log = None
+        single = True
+
+        def end() -> pa.RecordBatch:
+            row = {"_ord_slice": at, "first": first, "last": key, "single": single, "log": list(log.times)}
+            return pa.RecordBatch.from_pylist([row], schema=pa.schema([
+                ("_ord_slice", pa.int32()), ("first", kind), ("last", kind), ("single", pa.bool_()), ("log", pa.list_(pa.float64()))]))
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, log = None, deque()
         for batch in batches:
-            allowed = []
-            for key, run, now in zip(batch["key"], batch["_run"], batch["_t"]):
-                if (key, run) != current:
-                    current, log = (key, run), deque()
-                while log and log[0] <= now - window_s:
-                    log.popleft()
-                allowed.append(len(log) < max_requests)
-                if allowed[-1]:
-                    log.append(now)
-            yield batch[kept].assign(allowed=allowed)
+            kind, allowed = batch.schema.field("key").type, []
+            for now_at, now_key, now in zip(*(batch.column(c).to_pylist() for c in ("_ord_slice", "key", "_t"))):
+                if now_at != at:
+                    if at is not None and kept is None:
+                        yield end()
+                    at, first, key, single = now_at, now_key, now_key, True
+                    log = _Log(starts.get(at, ()), max_requests, window_s)
+                elif now_key != key:
+                    key, single, log = now_key, False, _Log((), max_requests, window_s)
+                allowed.append(log.hit(now))
+            if kept is not None:
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in kept], pa.array(allowed, pa.bool_())], names=[*kept, "allowed"])
+        if at is not None and kept is None:
+            yield end()
+
+    return ordered.mapInArrow(walk, schema)
 
+
+def rate_limit(events: DataFrame, max_requests: int, window_s: float, slices: int | None = None) -> DataFrame:
+    """Add `allowed` by a sliding log per key (key, ts, id); blocked hits are not recorded.
+
+    The hits are dealt out once by ranges of (key, time).  A key that began in an earlier slice needs the log at
+    the end of the slice before.  All slices are walked from an empty log first; then the logs found are
+    passed on, and the slices inside one key, whose end may change with their start, are walked again at the same
+    time until no start changes.  Logs forget what is older than the window, so a few rounds do for most
+    data; a key whose hits stay in step for ever takes a round per slice, no longer than one task would.
+    At most `max_requests` times per slice reach the driver.
+    """
+    kept = list(events.columns)
+    sliced = slice_rows(events.withColumn("_t", _seconds(F.col("ts"))), ["key"], ["_t", "id"], slices)
+    key_type = events.schema["key"].dataType.simpleString()
+    end_schema = f"_ord_slice int, first {key_type}, last {key_type}, single boolean, log array<double>"
+    keys_only = sliced.select("_ord_slice", "key", "_t", "id")
+    starts: dict[int, list[float]] = {}
+    ends = {r["_ord_slice"]: r for r in _walked(keys_only, starts, max_requests, window_s, None, end_schema).collect()}
+    order = sorted(ends)
+    while True:
+        given = {b: ends[a]["log"] for a, b in zip(order, order[1:]) if ends[a]["last"] == ends[b]["first"]}
+        again = [b for b, log in given.items() if ends[b]["single"] and log != starts.get(b, [])]
+        starts = given
+        if not again:
+            break
+        part = keys_only.where(F.col("_ord_slice").isin(again))
+        ends.update((r["_ord_slice"], r) for r in _walked(part, starts, max_requests, window_s, None, end_schema).collect())
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema)
-    return ordered.mapInPandas(walk, f"{fields}, allowed boolean")
+    return _walked(sliced, starts, max_requests, window_s, kept, f"{fields}, allowed boolean")
 
 
 class SlidingLog(StatefulProcessor):
@@ -116,15 +164,10 @@ class SlidingLog(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # the hits of a key in one micro-batch, three numbers each; the source's rate bounds them
         hits = pd.concat(list(rows)).sort_values(["t", "id"])
-        log, allowed = deque(t for (t,) in self.log.get()), []
-        for now in hits["t"]:
-            while log and log[0] <= now - self.window_s:
-                log.popleft()
-            allowed.append(len(log) < self.max_requests)
-            if allowed[-1]:
-                log.append(now)
-        if log:
-            self.log.put([(t,) for t in log])
+        log = _Log([t for (t,) in self.log.get()], self.max_requests, self.window_s)
+        allowed = [log.hit(now) for now in hits["t"]]
+        if log.times:
+            self.log.put([(t,) for t in log.times])
         else:
             self.log.clear()
         yield pd.DataFrame({"id": hits["id"], "key": key[0], "allowed": allowed})
