@@ -2,8 +2,8 @@
 
 Headers are the runs of lines with licence words, wherever they stand in a text; the text of a
 file named like a licence is one header too.  Document frequencies are counted over all headers.
-Equal headers are scored once.  Terms of the templates, a fixed short list, are the only table
-that is broadcast.
+Equal headers have one digest and are scored once; what is shuffled is (digest, term, count), never a
+text.  Terms of the templates, a fixed short list, are the only table that is broadcast.
 
 A licence file holds for its directory; a file without a licence of its own takes the one of its
 nearest ancestor directory.  Directories are made distinct first, so their ancestors are listed
@@ -18,23 +18,35 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import stored
 
 LEAST = 0.5
+_GPL = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public "
+        "License as published by the Free Software Foundation, either version {} of the License, or any later version")
+_GNU = "This work is licensed under the GNU {}General Public License, version {}."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the " \
+       "following conditions are met"
+_THIRD = " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+#: (licence, terms that a header must hold, terms that it must not hold, text)
 TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                   "compliance with the License. You may obtain a copy of the License at"),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-            "documentation files, to deal in the Software without restriction"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3 of the License"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-                     "that the following conditions are met"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("proprietary", "All rights reserved."),
+    ("Apache-2.0", "apache", "", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "apache", "", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
+                                 "in compliance with the License. You may obtain a copy of the License at"),
+    ("MIT", "mit", "", "Released under the MIT License."),
+    ("MIT", "permission", "", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+                              "associated documentation files, to deal in the Software without restriction"),
+    ("ISC", "permission", "", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+                              "is hereby granted"),
+    *[(f"{short}-{version}.0" if version != "2.1" else f"{short}-2.1", f"{version} {need}".strip(), bar, text.format(name, version))
+      for short, name, need, bar, versions in (
+          ("GPL", "", "", "lesser affero library", "23"), ("AGPL", "Affero ", "affero", "lesser", "3"),
+          ("LGPL", "Lesser ", "lesser", "affero", ("2.1", "3")))
+      for version in versions for text in (_GNU, _GPL)],
+    ("BSD-2-Clause", "redistribution", "neither endorse", _BSD),
+    ("BSD-3-Clause", "redistribution neither", "", _BSD + _THIRD),
+    ("MPL-2.0", "mozilla", "", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Unlicense", "unencumbered", "", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "cc0", "", "Licensed under CC0 1.0 Universal."),
+    *[(f"CC-{kind}-4.0", kind.lower(), "", f"Licensed under CC {kind} 4.0.")
+      for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")],
+    ("proprietary", "reserved", "", "All rights reserved."),
 )
 _CUE = r"(?i)licen[sc]e|copyright|rights reserved|spdx|permission is hereby|redistribution and use|free software"
 _FILE = r"(?i)^(licen[sc]e|copying|notice)([.-][^/]*)?$"
@@ -51,39 +63,52 @@ def _headers(text: Column) -> Column:
 
 
 def header_scores(headers: DataFrame) -> DataFrame:
-    """header, license, cosine: the nearest template of each distinct header, ties to the first name."""
+    """hid, license, cosine: the nearest template of each distinct header (hid, header), ties to the first name.
+
+    Headers are told apart by a digest, `hid`, so a text is split into its terms where it is and never
+    shuffled.  A template counts only with all the terms it needs, a version or a variant, and none that it bars.
+    """
     spark = headers.sparkSession
     templates = spark.createDataFrame(
-        [(k, name, text) for k, (name, text) in enumerate(TEMPLATES)], "template int, license string, t_text string"
-    )
-    n = headers.agg(F.sum("n")).first()[0] or 0
-    counts = lambda df, *keys: (
-        df.select(*keys, F.explode("terms").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
-    )
-    own = counts(headers.withColumn("terms", _terms(F.col("header"))), "header", "n")
-    shared = counts(templates.withColumn("terms", _terms(F.col("t_text"))), "template", "license")
+        [(k, *row) for k, row in enumerate(TEMPLATES)], "template int, license string, needs string, bars string, t_text string")
+    sizes = headers.groupBy("hid").agg(F.count("*").alias("n"))
+    # equal headers add up to n times their counts
+    counted = headers.select("hid", F.explode(_terms(F.col("header"))).alias("term")).groupBy("hid", "term").agg(F.count("*").alias("m"))
+    own = stored(counted.join(sizes, "hid").select("hid", "n", "term", (F.col("m") / F.col("n")).alias("tf")))
+    n = headers.count()
     frequency = own.groupBy("term").agg(F.sum("n").alias("df"))
     idf = F.log((F.lit(n) + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
-    weighted = own.join(frequency, "term").withColumn("w", F.col("tf") * idf)
-    norms = weighted.groupBy("header").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    t_weights = shared.join(frequency, "term", "left").withColumn("tw", F.col("tf") * idf)
+    weighted = stored(own.join(frequency, "term").select("hid", "term", (F.col("tf") * idf).alias("w")))
+    norms = weighted.groupBy("hid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+
+    shared = templates.select("template", "license", F.explode(_terms(F.col("t_text"))).alias("term")).groupBy(
+        "template", "license", "term").agg(F.count("*").alias("tf"))
+    marks = [
+        templates.select("template", "license", F.explode(F.filter(F.split(column, " "), lambda t: t != "")).alias("term"),
+                         F.lit(0.0).alias("tw"), F.lit(need).alias("need"), F.lit(bar).alias("bar"))
+        for column, need, bar in (("needs", 1, 0), ("bars", 0, 1))]
+    t_weights = shared.join(frequency, "term", "left").select(
+        "template", "license", "term", (F.col("tf") * idf).alias("tw"), F.lit(0).alias("need"), F.lit(0).alias("bar"))
     t_norms = t_weights.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("t_norm"))
-    t_all = F.broadcast(t_weights.select("template", "license", "term", "tw").join(F.broadcast(t_norms), "template"))
-    dots = weighted.select("header", "term", "w").join(t_all, "term").groupBy("header", "template", "license", "t_norm").agg(
-        F.sum(F.col("w") * F.col("tw")).alias("dot")
-    )
+    t_needs = templates.select("template", F.size(F.filter(F.split("needs", " "), lambda t: t != "")).alias("t_needs"))
+    # the terms of a fixed short list
+    t_all = F.broadcast(t_weights.unionByName(marks[0]).unionByName(marks[1]).join(F.broadcast(t_norms), "template").join(
+        F.broadcast(t_needs), "template"))
+    dots = weighted.join(t_all, "term").groupBy("hid", "template", "license", "t_norm", "t_needs").agg(
+        F.sum(F.col("w") * F.col("tw")).alias("dot"), F.sum("need").alias("need"), F.sum("bar").alias("bar"),
+    ).where("need = t_needs and bar = 0")
     cosine = F.round(F.col("dot") / (F.col("norm") * F.col("t_norm")), 9)
-    best = dots.join(norms, "header").withColumn("cosine", cosine).groupBy("header").agg(
+    best = dots.join(norms, "hid").withColumn("cosine", cosine).groupBy("hid").agg(
         F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b")
     )
-    return best.select("header", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
+    return best.select("hid", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text",
                   least: float = LEAST) -> DataFrame:
     """doc_id, path, license, cosine, found: `header`, `file` or `inherited`; and from_dir of an inherited one.
 
-    Null and empty texts have no header.  A null path has no directory: such a file inherits nothing
+    Null and empty texts have no header.  Texts of any length are read whole.  A null path has no directory: such a file inherits nothing
     and gives nothing.  Of several licences in a text or of several licence files of a directory the
     nearest to its template counts, ties by name.  Files without any licence keep nulls.  Repeated rows
     come out repeated; an empty table gives no rows.
@@ -98,10 +123,11 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", path_col: str = "path",
         is_file.alias("is_file"),
         F.array_union(_headers(text), F.when(is_file & (F.trim(text) != ""), F.array(text)).otherwise(F.array().cast("array<string>"))).alias("headers"),
     ).withColumn("row", F.expr("uuid()")))
-    exploded = rows.select("row", F.explode("headers").alias("header"))
-    scored = header_scores(exploded.groupBy("header").agg(F.count("*").alias("n"))).where(F.col("cosine") >= least)
+    exploded = rows.select("row", F.explode("headers").alias("header")).select(
+        "row", "header", F.unhex(F.sha2("header", 256)).alias("hid"))
+    scored = stored(header_scores(exploded.select("hid", "header")).where(F.col("cosine") >= least))
     own = (
-        exploded.join(scored, "header").groupBy("row")
+        exploded.select("row", "hid").join(scored, "hid").groupBy("row")
         .agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("own"))
     )
     known = stored(rows.drop("headers").join(own, "row", "left"))

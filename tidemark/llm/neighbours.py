@@ -30,6 +30,7 @@ DEPTH = 6
 SHARE = 1.3
 SAMPLE_ROWS = 16_384
 CELL = 4096
+LEAST = 1024
 _SPACE = 1 << 31
 
 
@@ -104,12 +105,12 @@ def usable(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding")
 
 def nearest(
     df: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, depth: int = DEPTH, share: float = SHARE,
-    sample_rows: int = SAMPLE_ROWS, id_col: str = "vec_id", vector_col: str = "embedding",
+    sample_rows: int = SAMPLE_ROWS, id_col: str = "vec_id", vector_col: str = "embedding", least: int = LEAST,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest by inner product of each row whose id divides by `every`.
 
-    Ties go to the smaller id.  A table with at most `trees` * 1024 listed rows is searched whole.  Of
-    rows that repeat an id the smallest vector counts.  An empty table gives no rows.
+    Ties go to the smaller id.  Leaves are visited until they list `share` times the table, and `least` rows per
+    tree at least.  Of rows that repeat an id the smallest vector counts.  An empty table gives no rows.
     """
     rows = stored(usable(df, id_col, vector_col).groupBy("vec_id").agg(F.min("v").alias("v")))
     first = Window.partitionBy("v").orderBy("vec_id")
@@ -140,7 +141,7 @@ def nearest(
     sizes = np.zeros((trees, 2 ** depth), np.int64)
     for r in listed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).collect():
         sizes[r["tree"], r["leaf"]] = r["n"]
-    budget = max(share * n, trees * 1024)
+    budget = max(share * n, trees * least)
 
     def plan_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -185,13 +186,18 @@ def nearest(
             return pd.DataFrame({"query": [], "rep": [], "score": []}).astype({"query": "int64", "rep": "int64"})
         x, q = np.stack(vectors["v"].to_numpy()), np.stack(asking["q"].to_numpy())
         rep, names = vectors["rep"].to_numpy(), asking["query"].to_numpy()
-        take = min(len(x), k + 9)
-        found = []
+        take, found = min(len(x), k + 1), []
         for lo in range(0, len(q), 512):
             s = q[lo:lo + 512] @ x.T
-            at = np.argpartition(-s, take - 1, axis=1)[:, :take]
-            exact = np.einsum("qtd,qd->qt", x[at], q[lo:lo + 512])
-            found.append((np.repeat(names[lo:lo + 512], take), rep[at].ravel(), exact.ravel()))
+            kth = -np.partition(-s, take - 1, axis=1)[:, take - 1]
+            # all that may tie with the last one, but for the rounding of the matrix product
+            at, which = np.nonzero(s >= (kth - 1e-9 * np.abs(s).max(axis=1))[:, None])
+            exact = np.einsum("nd,nd->n", x[which], q[lo + at])
+            order = np.lexsort((rep[which], -exact, at))
+            at, which, exact = at[order], which[order], exact[order]
+            first = np.searchsorted(at, np.arange(len(s)))
+            best = np.arange(len(at)) - first[at] < take
+            found.append((names[lo + at[best]], rep[which[best]], exact[best]))
         a, b, c = (np.concatenate(p) for p in zip(*found))
         return pd.DataFrame({"query": a, "rep": b, "score": c})
 
@@ -199,7 +205,9 @@ def nearest(
     right = right.select(*[F.col(c).alias(f"q_{c}") for c in keys], "query", "q")
     scored = left.groupBy(*keys).cogroup(right.groupBy(*[f"q_{c}" for c in keys])).applyInPandas(score, "query long, rep long, score double")
     best = scored.groupBy("query", "rep").agg(F.max("score").alias("score"))
-    top = best.withColumn("at", F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))).where(F.col("at") <= k + 1)
+    # `rep` is the smallest id of its vector, so of equal scores the k + 1 smallest are enough
+    first_reps = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
+    top = best.withColumn("at", F.row_number().over(first_reps)).where(F.col("at") <= k + 1)
     members = top.join(distinct.select("rep", "ids"), "rep").select("query", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     lists = (
