@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.linechunks import _let
 from tidemark.llm.tables import stored
 
 BUCKETS = 4096
@@ -85,12 +86,14 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 
 
 def _grams(text: Column, mark: str, n: int) -> Column:
-    """The `n`-grams of a text, in one pass over the array of its characters."""
-    padded = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
-    starts = F.sequence(F.lit(1), F.size(padded) - (n - 1))
-    pieces = lambda chars: F.transform(
-        starts, lambda i: F.concat(F.lit(mark), *[F.element_at(chars, i + k) for k in range(n)]))
-    return F.when(F.size(padded) >= n, pieces(padded)).otherwise(F.array().cast("array<string>"))
+    """The `n`-grams of a text between two marks, from one array of its characters, made once per row."""
+
+    def pieces(chars: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(chars) - (n - 1))
+        grams = F.transform(starts, lambda i: F.concat(F.lit(mark), *[F.element_at(chars, i + k) for k in range(n)]))
+        return F.when(F.size(chars) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    return _let(F.split(F.concat(F.lit("^"), text, F.lit("$")), ""), pieces)
 
 
 def features(host: Column, path: Column, buckets: int = BUCKETS) -> Column:
@@ -101,8 +104,8 @@ def features(host: Column, path: Column, buckets: int = BUCKETS) -> Column:
 
 def margin(buckets: Column, weights: Column, bias: float) -> Column:
     """Bias plus the summed weights, divided by the root of the number of n-grams."""
-    total = F.aggregate(buckets, F.lit(0.0), lambda acc, b: acc + F.element_at(weights, b))
-    return F.lit(bias) + total / F.sqrt(F.greatest(F.size(buckets), F.lit(1)))
+    total = lambda found: F.aggregate(found, F.lit(0.0), lambda acc, b: acc + F.element_at(weights, b))
+    return _let(buckets, lambda found: F.lit(bias) + total(found) / F.sqrt(F.greatest(F.size(found), F.lit(1))))
 
 
 def _sigmoid(x: Column) -> Column:
