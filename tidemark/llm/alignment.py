@@ -14,6 +14,7 @@ most FREQUENT rows of them, are broadcast; the rare rest meets its counts in a s
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import struct
@@ -103,6 +104,7 @@ def group_digest(a_ids: np.ndarray, b_ids: np.ndarray, left: np.ndarray, right:
     return hashlib.sha256(cells.tobytes().translate(None, b"\0")[:-1]).hexdigest()
 
 
+@functools.lru_cache(maxsize=1)
 def encoder(path_a: str, path_b: str) -> tuple[Callable[[list[str]], list], int, np.ndarray]:
     """Function from texts to pairs of int arrays (id, bytes) of A and B; number of A's ids; all ids as text.
 
@@ -110,7 +112,8 @@ def encoder(path_a: str, path_b: str) -> tuple[Callable[[list[str]], list], int,
 
     Segments (white space and the word after it) are encoded once and remembered.  A's pattern never
     joins a word with the white space after it, nor does any piece of B, which is looked up in its
-    vocabulary; with a vocabulary or a text that does not fit, texts are encoded whole.
+    vocabulary; with a vocabulary or a text that does not fit, texts are encoded whole.  A Python worker
+    keeps the function, and what it remembers, for its next tasks.
     """
     from sentencepiece import SentencePieceProcessor
     from tokenizers import Tokenizer
@@ -129,12 +132,14 @@ def encoder(path_a: str, path_b: str) -> tuple[Callable[[list[str]], list], int,
     b_bytes = [
         bytes([int(p[3:5], 16)]) if model.is_byte(k) else p.replace("\u2581", " ").encode() for k, p in enumerate(pieces)]
     blank_b = model.piece_to_id("\u2581")
+    # without a normalizer, byte-level tokens always give back their text
+    lossless = tok.normalizer is None
     separable = not any(re.search("[^\u2581]\u2581|\n", p) for k, p in enumerate(pieces) if not model.is_byte(k))
     a_cells, b_cells = ([struct.pack("<ii", k, len(x)) for k, x in enumerate(rows)] for rows in (a_bytes, b_bytes))
 
     def pair(spaced: str, ids_a: list[int], ids_b: list[int]):
         raw = spaced.encode()
-        if not ids_a or b"".join([a_bytes[k] for k in ids_a]) != raw or b"".join([b_bytes[k] for k in ids_b]) != raw:
+        if b"".join([b_bytes[k] for k in ids_b]) != raw or not (lossless or b"".join([a_bytes[k] for k in ids_a]) == raw):
             return None
         return b"".join([a_cells[k] for k in ids_a]), b"".join([b_cells[k] for k in ids_b])
 
