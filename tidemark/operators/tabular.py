@@ -168,7 +168,11 @@ def table_profile(
     ignore: Sequence[str] | None = None,
     sample_rows: int = 3,
 ) -> DataFrame:
-    """One row per table: its columns with types, and a few rows as JSON lines."""
+    """One row per table: its columns with types, and a few rows as JSON lines.
+
+    The rows are those whose JSON text has the smallest MD5, in that order, so they do not depend on how a table
+    is stored or dealt out; equal rows count each.  Every partition gives its `sample_rows` smallest only.
+    """
     if include and ignore:
         raise ValueError("give tables to include or to ignore, not both")
     out: DataFrame | None = None
@@ -176,8 +180,11 @@ def table_profile(
         if (include and name not in include) or (ignore and name in ignore):
             continue
         columns = ", ".join(f"{c} {t}" for c, t in df.dtypes)
+        lines = df.select(F.to_json(F.struct("*")).alias("line")).select(F.md5("line").alias("h"), "line")
+        smallest = F.sort_array(F.collect_list(F.struct("h", "line")))
         one = (
-            df.limit(sample_rows).agg(F.array_join(F.collect_list(F.to_json(F.struct("*"))), "\n").alias("sample"))
+            lines.orderBy("h", "line").limit(sample_rows)
+            .agg(F.array_join(F.transform(smallest, lambda r: r["line"]), "\n").alias("sample"))
             .select(F.lit(name).alias("table_name"), F.lit(columns).alias("columns"), "sample")
         )
         out = one if out is None else out.unionByName(one)

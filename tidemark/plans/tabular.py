@@ -94,3 +94,26 @@ def free_sql(spark, d):
 def table_profile(spark, d):
     names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
     return T.table_profile({n: table(spark, d, n) for n in names}, ignore=["region"])
+
+
+# the columns of whole numbers and texts, which both engines print alike
+_PRINTED = {
+    "nation": ("n_nationkey int", "n_name string", "n_regionkey int"),
+    "customer": ("c_custkey bigint", "c_name string", "c_nationkey int", "c_mktsegment string"),
+    "part": ("p_partkey bigint", "p_name string", "p_brand string", "p_type string", "p_size int"),
+    "lineitem": ("l_orderkey bigint", "l_partkey bigint", "l_linenumber int", "l_returnflag string"),
+    "events": ("event_id bigint", "user_id bigint", "event_type string"),
+}
+
+
+def _profile_sql(name: str, columns: tuple[str, ...]) -> str:
+    fields = ", ".join(f"{c.split()[0]} := {c.split()[0]}" for c in columns)
+    return f"""SELECT '{name}' AS table_name, '{", ".join(columns)}' AS columns, string_agg(line, chr(10) ORDER BY md5(line), line) AS sample
+FROM (SELECT line FROM (SELECT CAST(to_json(struct_pack({fields})) AS VARCHAR) AS line FROM {name}) ORDER BY md5(line), line LIMIT 3)"""
+
+
+@query("table_profile_printed", " UNION ALL ".join(_profile_sql(n, c) for n, c in _PRINTED.items()))
+def table_profile_printed(spark, d):
+    """The profile of the columns that SQL prints alike; the sample is the same however the rows are dealt out."""
+    return T.table_profile({
+        n: table(spark, d, n).select(*[c.split()[0] for c in columns]).repartition(5) for n, columns in _PRINTED.items()})
