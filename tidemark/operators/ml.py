@@ -64,8 +64,8 @@ def supply_features(df: DataFrame) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add `is_test` for exactly the rounded share of every class, chosen by a seeded hash of the key."""
-    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
+    """Add `is_test` for exactly the rounded share of every class, chosen by the MD5 of `seed:key`."""
+    hashed = df.withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))))
     numbered = number_rows(hashed, [label], ["_h", key], "_rn")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     return numbered.join(sizes, label).withColumn("is_test", F.col("_rn") <= F.round(F.col("_n") * test)).drop("_h", "_rn", "_n")

@@ -52,6 +52,15 @@ def stratified_split(spark, d):
     return out.groupBy("label").agg(F.count(F.lit(1)).alias("total"), F.count(F.when(F.col("is_test"), 1)).alias("test_rows"))
 
 
+@query("stratified_split_rows", """
+WITH r AS (SELECT doc_id, quality AS label, row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) AS n, count(*) OVER (PARTITION BY quality) AS c FROM labels)
+SELECT doc_id, label, n <= round(c * 0.2) AS is_test FROM r""")
+def stratified_split_rows(spark, d):
+    """Every row with the side it is on."""
+    return ml.stratified_split(table(spark, d, "labels").withColumn("label", F.col("quality")), "label", "doc_id").select(
+        "doc_id", "label", "is_test")
+
+
 #: folder of the fitted model and its test rows, by session and input
 _FITTED: dict[tuple[str, str], str] = {}
 

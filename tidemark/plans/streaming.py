@@ -139,13 +139,13 @@ def storage_usage(spark, d):
 
 
 @query("stream_index", """
-SELECT sha256(text) AS content, min(doc_id) > -1 AS known FROM documents GROUP BY 1""")
+SELECT sha256(text) AS content, arg_min(source, doc_id) AS group_id, CAST(min(doc_id) AS VARCHAR) AS doc_id FROM documents GROUP BY 1""")
 def stream_index(spark, d):
-    """Documents as a stream; the ledger ends with one key per distinct text."""
+    """Documents as a stream; the ledger ends with one key per distinct text, with its first document and that one's source."""
     folder = scratch_folder(spark)
     body = as_stream(spark, d, "documents").select(
-        F.col("text").alias("page_content"), F.lit("{}").alias("metadata"), "doc_id",
+        F.col("text").alias("page_content"), F.to_json(F.struct("source")).alias("metadata"), "doc_id",
         F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id")).alias("ts"), (F.col("doc_id") + 1).alias("pos"))
     hashed = X.hash_documents(body, NS, nested="flat").withColumn("uid", F.sha2("page_content", 256))
-    S.stream_index(hashed, f"{folder}/records", f"{folder}/checkpoint").awaitTermination()
-    return S.ledger_now(spark, f"{folder}/records").select(F.col("key").alias("content"), F.col("doc_id").isNotNull().alias("known"))
+    S.stream_index(hashed, f"{folder}/records", f"{folder}/checkpoint", source_id_key="source").awaitTermination()
+    return S.ledger_now(spark, f"{folder}/records").select(F.col("key").alias("content"), "group_id", "doc_id")
