@@ -156,6 +156,32 @@ def test_hybrid_blocks_equal_broadcast(spark):
     assert rows(small) == rows(large)
 
 
+def test_hybrid_index_counts_every_document(spark):
+    """Repeated words, a null and an empty text, a document without a vector, a query without words."""
+    docs = spark.createDataFrame(
+        [(1, "red ring red", [1.0, 0.0]), (2, None, [0.0, 1.0]), (3, "", [1.0, 1.0]), (4, "blue ring", [1.0, 0.5]), (5, "red", None)],
+        "doc_id long, page_content string, embedding array<double>")
+    index = R.posting_index(docs.where("embedding is not null"))
+    assert sorted((r.token, r.doc_id, r.tf, r.length) for r in index.collect()) == [
+        ("", 1, 1, 3), ("", 2, 1, 0), ("", 3, 1, 0), ("", 4, 1, 2), ("blue", 4, 1, 2), ("red", 1, 2, 3), ("ring", 1, 1, 3), ("ring", 4, 1, 2)]
+    asked = spark.createDataFrame(
+        [(7, "Red red ring", [1.0, 0.0]), (8, "!", [0.0, 1.0]), (9, None, [1.0, 0.0])], "query_id long, text string, embedding array<double>")
+    found = [R.hybrid_search(asked, docs, k=9, index=given) for given in (index, None)]
+    rows = [sorted((r.query_id, r["rank"], r.doc_id, r.score) for r in f.collect()) for f in found]
+    assert rows[0] == rows[1]
+    by_words = R.hybrid_search(asked, docs, k=9, ratio=0.0, index=index)
+    score = {(r.query_id, r.doc_id): r.score for r in by_words.collect()}
+    assert {d for _, d in score} == {1, 2, 3, 4}
+    assert score[7, 1] == 1.0 and 0.0 < score[7, 4] < 1.0 and score[7, 2] == score[7, 3] == 0.0
+    assert all(score[q, d] == 0.0 for q in (8, 9) for d in (1, 2, 3, 4))
+    idf = lambda df: np.log(1 + (4 - df + 0.5) / (df + 0.5))
+    gain = lambda tf, n: tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / 1.25))
+    top = idf(1) * gain(2, 3) + idf(2) * gain(1, 3)
+    assert score[7, 4] == pytest.approx(idf(2) * gain(1, 2) / top, abs=1e-8)
+    assert R.hybrid_search(asked, docs.limit(0)).count() == 0
+    assert R.hybrid_search(asked.limit(0), docs).count() == 0
+
+
 def test_failed_scorer_keeps_the_order(spark):
     c = spark.createDataFrame([(1, "q", "a", "x", 1), (1, "q", "b", "y", 2)], "query_id int, query_text string, vec_id string, page_content string, rank int")
     got = R.rerank(c, lambda q, d: 1 / 0, 1).collect()

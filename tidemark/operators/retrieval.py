@@ -7,7 +7,6 @@ Results: query_id, vec_id, distance, rank.  Ties go to the smaller id.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -19,7 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import jsons, text
 from tidemark.operators.blocks import MAX_QUERY_ROWS, block_join
 from tidemark.operators.ordering import PART_CHARS, join_in_parts
-from tidemark.session import settle
+from tidemark.session import spread
+from tidemark.sources.scratch import written_table
 
 METRICS = ("cosine", "ip", "l2")
 MAX_QUERY_BYTES = 256 << 20
@@ -289,70 +289,120 @@ def multi_query_union(ranked: DataFrame) -> DataFrame:
     return ranked.groupBy("group_id", "doc_id").agg(F.min("rank").alias("best_rank"))
 
 
-def _bm25(queries: pa.Table, docs: pa.RecordBatch) -> np.ndarray:
-    """BM25 of every query against every document of a batch, word by word; k1 1.2, b 0.75."""
-    askers: dict[str, list[tuple[int, float]]] = {}
-    for i, weights in enumerate(queries.column("_idf").to_pylist()):
-        for token, idf in dict(weights or []).items():
-            askers.setdefault(token, []).append((i, idf))
-    mean = queries.column("_avgdl")[0].as_py() or 1.0
-    holders: dict[str, list[tuple[int, float]]] = {}
-    for j, tokens in enumerate(docs.column("_tokens").to_pylist()):
-        counts = Counter(tokens)
-        norm = 1.2 * (0.25 + 0.75 * len(tokens) / mean)
-        for token in counts.keys() & askers.keys():
-            holders.setdefault(token, []).append((j, counts[token] * 2.2 / (counts[token] + norm)))
-    scores = np.zeros((queries.num_rows, docs.num_rows))
-    for token, found in holders.items():
-        at, idf = map(np.array, zip(*askers[token]))
-        js, gain = map(np.array, zip(*found))
-        scores[np.ix_(at, js)] += np.outer(idf, gain)
-    return scores
-
-
-def _hybrid_parts(queries: pa.Table, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    vector = 1.0 - _distances("cosine", _matrix(queries.column("embedding")), _matrix(batch.column("embedding")))
-    return _bm25(queries, batch), vector
+def posting_index(docs: DataFrame) -> DataFrame:
+    """Inverted index of documents (doc_id, page_content), written once: token, doc_id, tf, length.
+
+    `length` is the number of words of the document.  Every document also has one row with an empty token, so
+    that those without a word are counted; no word is empty.  A null text has no words.  Rows are sorted by token
+    inside a file, so a scan for few words skips row groups.  `doc_id` is the key of a document.
+    """
+    tokens = docs.select("doc_id", F.coalesce(text.words(F.col("page_content")), F.array().cast("array<string>")).alias("_t"))
+    postings = (
+        tokens.select("doc_id", F.size("_t").alias("length"), F.explode(F.concat(F.array(F.lit("")), "_t")).alias("token"))
+        .groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("tf"), F.max("length").alias("length"))
+    )
+    return written_table(postings.select("token", "doc_id", "tf", "length").sortWithinPartitions("token"))
+
+
+def _query_postings(queries: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Words of the queries with their weights, and what each document gains by those it holds (k1 1.2, b 0.75)."""
+    asked = queries.select("query_id", F.explode(F.array_distinct(text.words(F.col("text")))).alias("token"))
+    everything = index.where(F.col("token") == "")
+    stats = everything.agg(F.count(F.lit(1)).alias("_n"), F.avg("length").alias("_mean"))
+    held = index.where(F.col("token") != "").join(asked.select("token").distinct(), "token", "left_semi")
+    frequency = held.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    size, mean = stats.select("_n").scalar(), stats.select("_mean").scalar()
+    idf = F.log(1 + (size - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = asked.join(frequency, "token").groupBy("query_id").agg(
+        F.collect_list(F.struct("token", idf.alias("idf"))).alias("_asked"))
+    norm = 1.2 * (0.25 + 0.75 * F.col("length") / mean)
+    gains = held.groupBy("doc_id").agg(
+        F.collect_list(F.struct("token", (F.col("tf") * 2.2 / (F.col("tf") + norm)).alias("gain"))).alias("_held"))
+    return weights, gains
+
+
+class _Askers:
+    """Which query asks for which word, and scores of documents by the postings they hold of these words."""
+
+    def __init__(self, queries: pa.Table) -> None:
+        lists = queries.column("_asked").combine_chunks()
+        entries = lists.flatten()
+        self.owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+        self.idf = entries.field("idf").to_numpy()
+        self.codes, words = pd.factorize(entries.field("token").to_pandas())
+        self.words = pd.Index(words)
+
+    def hits(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word number, row and gain of every posting of a batch."""
+        lists = batch.column("_held")
+        entries = lists.flatten()
+        rows = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+        words = self.words.get_indexer(entries.field("token").to_pandas())
+        known = words >= 0
+        return words[known], rows[known], entries.field("gain").to_numpy()[known]
+
+    def scores(self, lo: int, hi: int, hits: tuple[np.ndarray, np.ndarray, np.ndarray], n_rows: int) -> np.ndarray:
+        """BM25 of the queries lo to hi against the rows: every posting meets the queries that ask for its word."""
+        words, rows, gains = hits
+        first, last = np.searchsorted(self.owner, (lo, hi))
+        order = np.argsort(self.codes[first:last], kind="stable") + first
+        starts = np.searchsorted(self.codes[order], np.arange(len(self.words) + 1))
+        number = np.diff(starts)[words]
+        which = np.repeat(np.arange(len(words)), number)
+        step = np.arange(len(which)) - np.repeat(np.cumsum(number) - number, number)
+        asker = order[starts[words[which]] + step]
+        cells = (self.owner[asker] - lo) * n_rows + rows[which]
+        return np.bincount(cells, self.idf[asker] * gains[which], (hi - lo) * n_rows).reshape(hi - lo, n_rows)
+
+
+_HYBRID_TILE = 1 << 19  # cells scored at once; a cell costs as many entries as query and row share words
+
+
+def _hybrid_parts(queries: pa.Table, batches: Iterator[pa.RecordBatch]):
+    """(first query, batch, keyword scores, vector scores) by tiles of queries."""
+    askers, asked = _Askers(queries), _matrix(queries.column("embedding"))
+    for batch in batches:
+        if not batch.num_rows or not len(asked):
+            continue
+        vectors, hits = _matrix(batch.column("embedding")), askers.hits(batch)
+        step = max(1, _HYBRID_TILE // batch.num_rows)
+        for lo in range(0, len(asked), step):
+            hi = min(len(asked), lo + step)
+            yield lo, batch, askers.scores(lo, hi, hits, batch.num_rows), 1.0 - _distances("cosine", asked[lo:hi], vectors)
 
 
 def _hybrid_ranges(queries: pa.Table, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Smallest and largest keyword and vector score per query over one partition."""
-    seen: np.ndarray | None = None
-    for batch in batches:
-        if batch.num_rows:
-            parts = _hybrid_parts(queries, batch)
-            ends = np.stack([f(p, axis=1) for p in parts for f in (np.min, np.max)])
-            if seen is None:
-                seen = ends
-            else:
-                seen[0::2] = np.minimum(seen[0::2], ends[0::2])
-                seen[1::2] = np.maximum(seen[1::2], ends[1::2])
-    if seen is not None:
+    low, high = np.full((2, queries.num_rows), np.inf), np.full((2, queries.num_rows), -np.inf)
+    for lo, _, *parts in _hybrid_parts(queries, batches):
+        for i, part in enumerate(parts):
+            at = slice(lo, lo + len(part))
+            low[i, at] = np.minimum(low[i, at], part.min(1))
+            high[i, at] = np.maximum(high[i, at], part.max(1))
+    if np.isfinite(low).all() and queries.num_rows:
         yield pa.RecordBatch.from_pydict(
-            {"query_id": queries.column("query_id").combine_chunks(), "kmin": seen[0], "kmax": seen[1],
-             "vmin": seen[2], "vmax": seen[3]})
+            {"query_id": queries.column("query_id").combine_chunks(), "kmin": low[0], "kmax": high[0],
+             "vmin": low[1], "vmax": high[1]})
 
 
 def _hybrid_scorer(k: int, ratio: float, id_type):
-    def scale(values: np.ndarray, low, high) -> np.ndarray:
-        low, high = (np.asarray(x.to_numpy())[:, None] for x in (low, high))
-        return np.where(high > low, (values - low) / np.where(high > low, high - low, 1.0), 0.0)
-
     def score(queries: pa.Table, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(k)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keyword, vector = _hybrid_parts(queries, batch)
-            keyword = scale(keyword, queries.column("kmin"), queries.column("kmax"))
-            vector = scale(vector, queries.column("vmin"), queries.column("vmax"))
-            value = np.round(ratio * vector + (1 - ratio) * keyword, DIGITS)
+        ends = {name: queries.column(name).to_numpy() for name in ("kmin", "kmax", "vmin", "vmax")}
+
+        def scale(values: np.ndarray, kind: str, at: slice) -> np.ndarray:
+            low, high = ends[f"{kind}min"][at, None], ends[f"{kind}max"][at, None]
+            return np.where(high > low, (values - low) / np.where(high > low, high - low, 1.0), 0.0)
+
+        for lo, batch, keyword, vector in _hybrid_parts(queries, batches):
+            at = slice(lo, lo + len(vector))
+            value = np.round(ratio * scale(vector, "v", at) + (1 - ratio) * scale(keyword, "k", at), DIGITS)
             if value.shape[1] > k:
                 qi, vi = np.nonzero(-value <= np.partition(-value, k - 1, axis=1)[:, k - 1: k])
             else:
                 qi, vi = np.nonzero(np.ones_like(value, dtype=bool))
             ids = batch.column("doc_id").to_pandas().to_numpy()
-            best.add(pd.DataFrame({"q": qi, "g": "", "d": -value[qi, vi], "id": ids[vi]}))
+            best.add(pd.DataFrame({"q": qi + lo, "g": "", "d": -value[qi, vi], "id": ids[vi]}))
         if best.rows:
             found = best.cut()
             yield pa.RecordBatch.from_pydict({
@@ -365,42 +415,35 @@ def _hybrid_scorer(k: int, ratio: float, id_type):
 
 
 def hybrid_search(
-    queries: DataFrame, docs: DataFrame, k: int = 4, ratio: float = 0.75, max_query_rows: int = 4096
+    queries: DataFrame, docs: DataFrame, k: int = 4, ratio: float = 0.75, max_query_rows: int = 4096,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Weighted sum of BM25 and cosine, each scaled to 0..1 per query over all documents.
 
     `ratio` is the vector share, kept within 0..1.  Queries: query_id, text, embedding;
-    documents: doc_id, page_content, embedding.
+    documents: doc_id (their key), page_content, embedding; those without a vector take no part.
+    Texts are tokenised once, by `posting_index`; pass the `index` of the same documents to search it again.
+    Only postings of query words are shuffled, to their document, so their number does not grow with the queries
+    that share a word.
     """
     ratio = min(max(ratio, 0.0), 1.0)
-    tokens = docs.select("doc_id", "embedding", text.words(F.col("page_content")).alias("_tokens"))
-    vocabulary = queries.select("query_id", F.explode(F.array_distinct(text.words(F.col("text")))).alias("token"))
-    # document frequencies of the query words only; partial counts before the shuffle
-    frequency = (
-        tokens.select(F.explode(F.array_distinct("_tokens")).alias("token"))
-        .groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-        .join(vocabulary.select("token").distinct(), "token", "left_semi")
-    )
-    size = tokens.agg(F.count(F.lit(1))).scalar()
-    idf = F.log(1 + (F.col("_n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = (
-        vocabulary.join(frequency, "token").withColumn("_n", size)
-        .groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("token", idf))).alias("_idf"))
-    )
-    # read twice below, and as small as the queries
-    prepared = settle(
-        queries.select("query_id", "embedding").join(weights, "query_id", "left")
-        .withColumn("_avgdl", tokens.agg(F.avg(F.size("_tokens"))).scalar())
-    )
+    usable = docs.where(F.col("embedding").isNotNull())
+    if index is None:
+        index = posting_index(usable)
+    weights, gains = _query_postings(queries, index)
+    # both are read twice below; the first is as small as the queries
+    asked = queries.where(F.col("embedding").isNotNull()).select("query_id", "embedding")
+    prepared = written_table(asked.join(weights, "query_id", "left"))
+    rows = spread(written_table(usable.select("doc_id", "embedding").join(gains, "doc_id", "left")))
     key_type = _type_of(queries, "query_id")
     ranges = block_join(
-        prepared, tokens, "query_id", "doc_id", _hybrid_ranges,
+        prepared, rows, "query_id", "doc_id", _hybrid_ranges,
         f"query_id {key_type}, kmin double, kmax double, vmin double, vmax double", max_query_rows,
     ).groupBy("query_id").agg(
         F.min("kmin").alias("kmin"), F.max("kmax").alias("kmax"), F.min("vmin").alias("vmin"), F.max("vmax").alias("vmax")
     )
     partial = block_join(
-        prepared.join(ranges, "query_id"), tokens, "query_id", "doc_id",
+        prepared.join(ranges, "query_id"), rows, "query_id", "doc_id",
         _hybrid_scorer(k, ratio, _arrow_type(docs, "doc_id")),
         f"query_id {key_type}, doc_id {_type_of(docs, 'doc_id')}, score double", max_query_rows,
     )
