@@ -529,11 +529,51 @@ def test_one_page_under_several_addresses(spark):
     assert sorted((r.url, r.level) for r in got.collect()) == [("http://a.com/x", 0), ("http://a.com/y/", 1), ("https://a.com/z", 2)]
 
 
+def supply_rows(spark, rows):
+    """Items (id, name, supplier, consumption) at cost 1."""
+    columns = "id_insumo string, insumo string, fornecedor string, consumo_medio_12m double"
+    rest = {c: F.lit(1.0) for c in ("lote_minimo_compra", "consumo_medio_6m", "custo_aquisicao_unitario", "prazo_entrega_dias", "indice_reajuste_12m")}
+    return spark.createDataFrame(rows, columns).withColumns(rest | {"categoria": F.lit("c"), "criticidade_insumo": F.lit("alta")})
+
+
 def test_wildcards_stay_in_a_field(spark):
-    from tidemark.operators.tabular import _like_test
+    from tidemark.operators import tabular as T
+
+    asked = spark.createDataFrame(
+        [(i, None, name, None) for i, name in enumerate(("red%ring", "r%g co", "red_bolt"))],
+        "request_id long, id_insumo string, insumo string, fornecedor string")
+    got = {r.request_id: r.found for r in T.item_resolve(supply_rows(spark, [("7", "red bolt", "ring co", 1.0)]), asked).collect()}
+    assert got == {0: False, 1: True, 2: True}
+
+
+def test_item_names_equal_plain_matching(spark):
+    """Names of every length with wildcards, back slashes and line feeds, against a pattern over all items."""
+    import random
+    import re
+
+    from tidemark.operators import tabular as T
 
-    searched = "\u0001".join(("red bolt", "ring co", "7"))
-    assert not _like_test("red%ring")(searched) and _like_test("r%g co")(searched) and _like_test("red_bolt")(searched)
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("ab\\ \n.é") for _ in range(n))
+    items = [(f"i{n:03}", rng.choice([word(6), None, ""]), rng.choice([word(4), "Sup A", None]), float(n % 5)) for n in range(150)]
+    items.append(("i999", "ab" * 3_000 + "x", "long", 0.0))
+    names = sorted({"".join(rng.choice("aB\\%_ \né") for _ in range(n % 6)) for n in range(60)} | {"", "%", "_", "bx", "a%bx", "SUP"})
+    asked = [(i, None, name, rng.choice([None, None, "sup", "a"])) for i, name in enumerate(names)]
+    asked += [(900, "i003", None, None), (901, " i003 ", "zz", None), (902, "none", None, None), (903, None, None, "sup")]
+    df = supply_rows(spark, items)
+    got = {r.request_id: r.id_insumo for r in T.item_resolve(
+        df, spark.createDataFrame(asked, "request_id long, id_insumo string, insumo string, fornecedor string")).collect()}
+
+    def plain(name, supplier):
+        text = re.escape(name.strip(" ").lower()).replace("%", ".*").replace("_", ".")
+        hits = [r for r in items if any(f is not None and re.search(text, f.lower(), re.S) for f in (r[1], r[2], r[0]))]
+        hits = sorted(hits, key=lambda r: (-r[3], r[0]))[:20]
+        return next((r[0] for r in hits if supplier is None or supplier in (r[2] or "\0").lower()), None)
+
+    expected = {i: plain(name, supplier) for i, _, name, supplier in asked[:len(names)]}
+    expected |= {900: "i003", 901: "i003", 902: None, 903: None}
+    assert got == expected
+    assert T.item_resolve(df.limit(0), spark.createDataFrame(asked[:3], "request_id long, id_insumo string, insumo string, fornecedor string")).count() == 3
 
 
 def test_json_pointers(spark):

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import block_join
+from tidemark.sources.scratch import written_table
 
 _ITEM = ("id_insumo", "insumo", "categoria", "fornecedor", "lote_minimo_compra", "consumo_medio_6m",
          "consumo_medio_12m", "custo_aquisicao_unitario", "prazo_entrega_dias", "indice_reajuste_12m",
@@ -87,39 +83,59 @@ def browse_items(df: DataFrame, limit: int = 500) -> DataFrame:
 _NAME_CANDIDATES = 20
 
 
-def _like_test(text: str):
-    """Test for LIKE '%text%'; `%` and `_` in the text stay wildcards."""
-    if "%" not in text and "_" not in text:
-        return lambda s: text in s
-    inside = "[^\u0001]"  # a match stays in one field
-    pattern = re.compile(re.escape(text).replace("%", f"{inside}*").replace("_", inside))
-    return lambda s: pattern.search(s) is not None
-
-
-def _name_scorer(queries: pa.Table, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per request the items of this partition that match by name, largest impact first, at most 20."""
-    asked = queries.to_pandas()
-    wanted = [t.strip().lower() for t in asked["insumo"]]
-    tests = [_like_test(t) for t in wanted]
-    best: list[pd.DataFrame | None] = [None] * len(asked)
-    for batch in batches:
-        items = batch.to_pandas()
-        impact = items["_impact"].to_numpy()
-        for i, test in enumerate(tests):
-            full = best[i] is not None and len(best[i]) == _NAME_CANDIDATES
-            pool = items[impact >= best[i]["_impact"].iloc[-1]] if full else items
-            hit = pool[[test(s) for s in pool["_search"]]]
-            if len(hit):
-                both = hit if best[i] is None else pd.concat([best[i], hit])
-                best[i] = both.sort_values(["_impact", "id_insumo"], ascending=[False, True]).head(_NAME_CANDIDATES)
-    for i, found in enumerate(best):
-        if found is not None:
-            yield pa.RecordBatch.from_pydict({
-                "request_id": pa.array(np.repeat(asked["request_id"].iloc[i], len(found))),
-                "id_insumo": pa.array(found["id_insumo"]),
-                "fornecedor": pa.array(found["fornecedor"]),
-                "_impact": pa.array(found["_impact"].astype("float64")),
-            })
+_NAME_FIELDS = ("insumo", "fornecedor", "id_insumo")
+_GRAM = 3
+
+
+def _grams(value: Column, size: int) -> Column:
+    """All runs of `size` letters of a text, each once; none where it is shorter.  Linear in the text."""
+    letters = F.regexp_extract_all(value, F.lit("(?s)."), F.lit(0))
+    runs = letters
+    for step in range(1, size):  # beyond the end the shifted letters are null, and so is the run
+        runs = F.zip_with(runs, F.slice(letters, step + 1, F.size(letters)), lambda x, y: F.concat(x, y))
+    return F.array_distinct(F.array_compact(runs))
+
+
+def _name_candidates(df: DataFrame, names: DataFrame) -> DataFrame:
+    """Items that match a name (distinct `name`) by LIKE '%name%' in any field, the 20 of largest impact per name.
+
+    A posting table of letter runs finds candidates, LIKE per field decides.  Every name is looked up by one run
+    only, the rarest of those in its longest part without wildcards: of three letters, or as long as that part
+    where it is shorter.  A name of wildcards only has the empty run, which every item holds.
+    """
+    parts = F.split("name", "[%_]")
+    longest = F.array_sort(parts, lambda a, b: F.length(b) - F.length(a))[0]
+    asked = names.withColumn("_part", longest).withColumn("_size", F.least(F.length("_part"), F.lit(_GRAM)))
+    own = F.when(F.col("_size") == 0, F.array(F.lit("")))
+    for size in range(1, _GRAM + 1):
+        own = own.when(F.col("_size") == size, _grams(F.col("_part"), size))
+    runs = written_table(asked.select("name", F.explode(own).alias("run")))
+    sizes = [r[0] for r in runs.select(F.length("run")).distinct().collect()]  # 0 to 3
+    if not sizes:
+        sizes = [0]
+
+    fields = [F.coalesce(F.lower(name), F.lit("")) for name in _NAME_FIELDS]
+    held = F.array_distinct(F.flatten(F.array(*[
+        _grams(f, size) if size else F.array(F.lit("")) for size in sizes for f in fields])))
+    rows = df.select(*_NAME_FIELDS, F.expr(_IMPACT).cast("double").alias("_impact"), F.explode(held).alias("run"))
+    wanted = runs.select("run").distinct()
+    frequency = rows.select("run").join(wanted, "run").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    # a run no item holds is the rarest of all: its name matches nothing
+    rarest = (
+        runs.join(frequency, "run", "left").groupBy("name")
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run")).alias("_r")).select("name", "_r.run")
+    )
+    pattern = F.concat(F.lit("%"), F.replace("name", F.lit("\\"), F.lit("\\\\")), F.lit("%"))
+    plain = ~F.col("name").rlike("[%_]")
+    hit = F.lit(False)
+    for name in _NAME_FIELDS:
+        lower = F.lower(name)
+        hit = hit | F.coalesce(F.when(plain, lower.contains(F.col("name"))).otherwise(F.like(lower, pattern)), F.lit(False))
+    order = Window.partitionBy("name").orderBy(F.col("_impact").desc_nulls_last(), "id_insumo")
+    return (
+        rows.join(rarest, "run").where(hit).select("name", "id_insumo", "fornecedor", "_impact")
+        .withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= _NAME_CANDIDATES)
+    )
 
 
 def item_resolve(df: DataFrame, requests: DataFrame) -> DataFrame:
@@ -129,23 +145,13 @@ def item_resolve(df: DataFrame, requests: DataFrame) -> DataFrame:
     """
     by_id = requests.where(F.col("id_insumo").isNotNull()).select(
         "request_id", F.trim("id_insumo").alias("id_insumo"))
-    by_name = requests.where(F.col("id_insumo").isNull() & F.col("insumo").isNotNull())
-    unsplit = "\u0001"  # keeps a match from running over two fields
-    searchable = df.select(
-        "id_insumo", "fornecedor",
-        F.lower(F.concat_ws(unsplit, "insumo", "fornecedor", "id_insumo")).alias("_search"),
-        F.expr(_IMPACT).cast("double").alias("_impact"),
-    )
-    partial = block_join(
-        by_name.select("request_id", "insumo"), searchable, "request_id", "id_insumo", _name_scorer,
-        "request_id bigint, id_insumo string, fornecedor string, _impact double", max_query_rows=1000,
-    )
-    order = Window.partitionBy("request_id").orderBy(F.col("_impact").desc(), "id_insumo")
+    by_name = requests.where(F.col("id_insumo").isNull() & F.col("insumo").isNotNull()).select(
+        "request_id", F.lower(F.trim("insumo")).alias("name"), F.lower(F.trim("fornecedor")).alias("_f"))
+    order = Window.partitionBy("request_id").orderBy("_rn")
     first = (
-        partial.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= _NAME_CANDIDATES)
-        .join(by_name.select("request_id", F.lower(F.trim("fornecedor")).alias("_f")), "request_id")
+        _name_candidates(df, by_name.select("name").distinct()).join(by_name, "name")
         .where(F.col("_f").isNull() | F.lower("fornecedor").contains(F.col("_f")))
-        .withColumn("_rn", F.row_number().over(order)).where("_rn = 1").select("request_id", "id_insumo")
+        .withColumn("_first", F.row_number().over(order)).where("_first = 1").select("request_id", "id_insumo")
     )
     chosen = by_id.unionByName(first)
     wanted = chosen.select("id_insumo").distinct()

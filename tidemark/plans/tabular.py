@@ -58,9 +58,11 @@ def item_search(spark, d):
         "id_insumo", "insumo", "fornecedor", "impacto_financeiro_anual", "cobertura_lote_meses")
 
 
-@query("item_resolve", f"""WITH {SUPPLY}, req AS (
+def _resolve_sql(names: tuple[str, ...]) -> str:
+    asked = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(names))
+    return f"""WITH {SUPPLY}, req AS (
   SELECT CAST(n_nationkey AS BIGINT) AS request_id, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey || '-' || n_nationkey END AS rid,
-    CASE n_regionkey WHEN 0 THEN 'ring' WHEN 1 THEN 'red' WHEN 2 THEN 'widget' WHEN 3 THEN 'no such' ELSE 'small' END AS name,
+    CASE n_regionkey {asked} END AS name,
     CASE WHEN n_regionkey < 2 THEN 'SUPPLIER ' || n_regionkey END AS sup FROM nation),
 named AS (SELECT request_id, sup, s.*, row_number() OVER (PARTITION BY request_id ORDER BY consumo_medio_12m * custo_aquisicao_unitario DESC, id_insumo) AS rn
   FROM req JOIN supply s ON rid IS NULL AND (lower(insumo) LIKE '%' || name || '%' OR lower(fornecedor) LIKE '%' || name || '%' OR lower(id_insumo) LIKE '%' || name || '%')
@@ -68,19 +70,34 @@ named AS (SELECT request_id, sup, s.*, row_number() OVER (PARTITION BY request_i
 pick AS (SELECT request_id, id_insumo FROM named WHERE sup IS NULL OR lower(fornecedor) LIKE '%' || lower(sup) || '%'
   QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY rn) = 1
   UNION ALL SELECT request_id, rid FROM req JOIN supply ON rid = id_insumo)
-SELECT req.request_id, pick.id_insumo, pick.id_insumo IS NOT NULL AS found FROM req LEFT JOIN pick USING (request_id)""")
-def item_resolve(spark, d):
-    nation = table(spark, d, "nation")
+SELECT req.request_id, pick.id_insumo, pick.id_insumo IS NOT NULL AS found FROM req LEFT JOIN pick USING (request_id)"""
+
+
+def _resolved(spark, d, names: tuple[str, ...]):
+    """Requests by nation: every second one by id, the others by the name of their region."""
     key, region = F.col("n_nationkey"), F.col("n_regionkey")
-    requests = nation.select(
+    requests = table(spark, d, "nation").select(
         key.cast("bigint").alias("request_id"),
         F.when(key % 2 == 0, F.concat_ws("-", key, key)).alias("id_insumo"),
-        F.when(region == 0, "ring").when(region == 1, "red").when(region == 2, "widget").when(region == 3, "no such")
-        .otherwise("small").alias("insumo"),
+        F.get(F.array(*map(F.lit, names)), region).alias("insumo"),
         F.when(region < 2, F.concat(F.lit("SUPPLIER "), region)).alias("fornecedor"))
     return T.item_resolve(supply(spark, d), requests).select("request_id", "id_insumo", "found")
 
 
+_NAMES = ("ring", "red", "widget", "no such", "small")
+_WILD_NAMES = ("r_d%ng", "w", "%t_", "9%red", "_")
+
+
+@query("item_resolve", _resolve_sql(_NAMES))
+def item_resolve(spark, d):
+    return _resolved(spark, d, _NAMES)
+
+
+@query("item_resolve_wildcards", _resolve_sql(_WILD_NAMES))
+def item_resolve_wildcards(spark, d):
+    return _resolved(spark, d, _WILD_NAMES)
+
+
 _FREE = """SELECT categoria, criticidade_insumo, count(*) AS items, max(prazo_entrega_dias) AS longest
 FROM vw_produtos WHERE indice_reajuste_12m > 0 GROUP BY categoria, criticidade_insumo HAVING count(*) > 5"""
 
