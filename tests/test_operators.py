@@ -182,6 +182,27 @@ def test_hybrid_index_counts_every_document(spark):
     assert R.hybrid_search(asked.limit(0), docs).count() == 0
 
 
+def test_filter_masks_equal_plain_dicts(spark):
+    """Null, empty and absent values; more filters than one round takes; queries held and in blocks."""
+    tags = [None, "{}", '{"a":"1"}', '{"a":"1","b":"x"}', '{"a":1,"b":"y","c":null}', '{"b":"x"}', '{"a":"2"}', "no json"]
+    vectors = spark.createDataFrame(
+        [(i, [1.0, float(i)], t) for i, t in enumerate(tags * 3)], "vec_id long, embedding array<double>, metadata string")
+    filters = [None, {}, {"a": "1"}, {"a": "1", "b": "x"}, {"b": "x"}, {"a": "9"}, {"z": "1"}, {"a": None}, {"b": "y", "a": "1"}]
+    asked = spark.createDataFrame(
+        [(i, [1.0, 0.0], f) for i, f in enumerate(filters * 2)], "query_id long, embedding array<double>, filter map<string,string>")
+    parsed = [{}, {}, {"a": "1"}, {"a": "1", "b": "x"}, {"a": "1", "b": "y"}, {"b": "x"}, {"a": "2"}, {}] * 3
+    for base, options in (({"b": "x"}, {}), (None, {"max_filters": 2}), ({"b": "x"}, {"max_filters": 3, "max_query_rows": 2})):
+        expected = set()
+        for i, f in enumerate(filters * 2):
+            rule = {**(base or {}), **(f or {})}
+            fits = [v for v, t in enumerate(parsed) if all(t.get(a) == b for a, b in rule.items())]
+            expected |= {(i, v, n) for n, v in enumerate(fits[:4], start=1)}
+        got = R.extracted_filter_search(asked, vectors, base, **options)
+        assert {(r.query_id, r.vec_id, r["rank"]) for r in got.collect()} == expected
+    assert R.extracted_filter_search(asked, vectors.limit(0), {"b": "x"}).count() == 0
+    assert R.extracted_filter_search(asked.limit(0), vectors).count() == 0
+
+
 def test_failed_scorer_keeps_the_order(spark):
     c = spark.createDataFrame([(1, "q", "a", "x", 1), (1, "q", "b", "y", 2)], "query_id int, query_text string, vec_id string, page_content string, rank int")
     got = R.rerank(c, lambda q, d: 1 / 0, 1).collect()

@@ -36,6 +36,11 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.concatenate(blocks) if blocks else np.zeros((0, 0))
 
 
+def _mask(column: pa.Array) -> np.ndarray:
+    """Rows of a list column of booleans."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(bool).reshape(len(column), -1)
+
+
 def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
@@ -76,7 +81,7 @@ def _scorer(k: int, metric: str, id_type, group_type, filters: bool):
     def score(queries: pa.Table, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = queries.column("query_id")
         q_all = _matrix(queries.column("embedding"))
-        wanted = queries.column("_filter").to_pylist() if filters else None
+        wanted = queries.column("_wanted").to_numpy() if filters else None
         best = _Best(k)
         for batch in batches:
             if not batch.num_rows or not len(q_all):
@@ -84,7 +89,7 @@ def _scorer(k: int, metric: str, id_type, group_type, filters: bool):
             v_all = _matrix(batch.column("embedding"))
             v_ids = batch.column("vec_id").to_pandas().to_numpy()
             groups = batch.column("_group").to_pandas() if "_group" in batch.schema.names else None
-            tags = batch.column("_tags").to_pylist() if filters else None
+            mask = _mask(batch.column("_mask")) if filters else None
             members = [(None, np.arange(len(v_all)))] if groups is None else list(groups.groupby(groups).indices.items())
             for group, at in members:
                 for lo in range(0, len(q_all), max(1, _TILE // max(1, len(at)))):
@@ -92,7 +97,7 @@ def _scorer(k: int, metric: str, id_type, group_type, filters: bool):
                     v = v_all[at]
                     dist = np.round(_distances(metric, q, v), DIGITS)
                     if filters:
-                        dist[~_allowed(wanted[lo: lo + len(q)], [tags[i] for i in at])] = np.inf
+                        dist[~mask[at][:, wanted[lo: lo + len(q)]].T] = np.inf
                     if dist.shape[1] > k:
                         slack = 1e-6 if metric == "l2" else 0.0
                         cut = np.partition(dist, k - 1, axis=1)[:, k - 1: k] + slack
@@ -117,18 +122,6 @@ def _scorer(k: int, metric: str, id_type, group_type, filters: bool):
     return score
 
 
-def _allowed(wanted: list, tags: list) -> np.ndarray:
-    """Which rows satisfy the filter of which query; equal filters are tested once."""
-    out = np.ones((len(wanted), len(tags)), dtype=bool)
-    known: dict[tuple, np.ndarray] = {}
-    for i, flt in enumerate(wanted):
-        key = tuple(sorted(dict(flt or []).items()))
-        if key not in known:
-            known[key] = np.array([all(dict(t or []).get(a) == b for a, b in key) for t in tags], dtype=bool)
-        out[i] = known[key]
-    return out
-
-
 def _type_of(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
@@ -484,19 +477,39 @@ def rerank(
     return scored.withColumn("new_rank", F.row_number().over(order)).where(F.col("new_rank") <= k)
 
 
+MAX_FILTERS = 2048
+_PAIRS = "array<struct<key:string,value:string>>"
+
+
 def extracted_filter_search(
     queries: DataFrame, vectors: DataFrame, base_filter: dict[str, str] | None = None, k: int = 4,
-    metric: str = "cosine", max_query_rows: int = MAX_QUERY_ROWS,
+    metric: str = "cosine", max_query_rows: int = MAX_QUERY_ROWS, max_filters: int = MAX_FILTERS,
 ) -> DataFrame:
     """Search with one filter per query: `filter` map over the base filter, the map wins.
 
-    Vectors carry `metadata` JSON; all keys of a filter must be equal as text.
+    Vectors carry `metadata` JSON; all keys of a filter must be equal as text.  Every distinct filter is one bit
+    of a mask, which a column expression gives each vector before anything is scored.  Above `max_filters`
+    distinct ones, queries are dealt by the hash of their filter into rounds of about that many.
     """
     base = F.from_json(F.lit(_json_text(base_filter)), "map<string,string>")
     merged = F.when(F.col("filter").isNull(), base).otherwise(jsons.override(base, F.col("filter")))
-    ready = queries.select("query_id", "embedding", merged.alias("_filter"))
-    tagged = vectors.select("vec_id", "embedding", F.from_json("metadata", "map<string,string>").alias("_tags"))
-    return _search(ready, tagged, k, metric, filters=True, max_query_rows=max_query_rows)
+    pairs = F.array_sort(F.map_entries(merged)).cast(_PAIRS)
+    ready = queries.select("query_id", "embedding", pairs.alias("_pairs"))
+    tags = F.from_json("metadata", "map<string,string>")
+    distinct = ready.select("_pairs").distinct()
+    rounds = max(1, -(-distinct.count() // max_filters))
+    found: DataFrame | None = None
+    for number in range(rounds):
+        here = F.pmod(F.xxhash64("_pairs"), F.lit(rounds)) == number
+        rules = [[p.asDict() for p in r["_pairs"]] for r in distinct.where(here).collect()]
+        known = F.from_json(F.lit(jsons.dump(rules)), f"array<{_PAIRS}>")
+        mask = F.transform(known, lambda rule: F.forall(
+            rule, lambda pair: F.try_element_at(F.col("_tags"), pair["key"]).eqNullSafe(pair["value"])))
+        asked = ready.where(here).select("query_id", "embedding", (F.array_position(known, F.col("_pairs")) - 1).alias("_wanted"))
+        masked = vectors.select("vec_id", "embedding", tags.alias("_tags")).select("vec_id", "embedding", mask.alias("_mask"))
+        part = _search(asked, masked, k, metric, filters=True, max_query_rows=max_query_rows)
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def _json_text(value: dict | None) -> str:
