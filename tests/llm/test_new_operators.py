@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from test_llm_operators import CLASH, LONG, ODD
-from tidemark.llm import alignment, hardnegatives, licenses, neighbours, packing, queries, urlfilter
+from tidemark.llm import alignment, hardnegatives, licenses, neighbours, packing, pii, queries, urlfilter
 from tidemark.llm.tables import table
 
 A, B = packing.tokenizer_path(), packing.tokenizer_path("piece_bpe_32k.model")
@@ -258,3 +258,30 @@ def test_a_license_file_of_a_megabyte(spark):
     data = [(1, "a/LICENSE", text), (2, "a/b.py", "x = 1"), (3, "a/LICENSE.txt", "Released under the MIT License.")]
     got = {r["doc_id"]: r["license"] for r in licenses.scan_licenses(spark.createDataFrame(data, "doc_id long, path string, text string"), least=0.01).collect()}
     assert len(text) > 1_000_000 and got == {1: "Apache-2.0", 2: "Apache-2.0", 3: "MIT"}
+
+
+def test_spans_outside_others():
+    """The sweep against every pair; taken spans overlap, repeat and touch, or there are none."""
+    rng = random.Random(5)
+    for n in (0, 1, 3, 30):
+        for _ in range(200):
+            taken = [(a, a + rng.randint(1, 12)) for a in (rng.randint(0, 80) for _ in range(n))]
+            free = pii.outside(taken)
+            for a in range(0, 90, 3):
+                b = a + rng.randint(1, 9)
+                assert free(a, b) == (not any(a < y and x < b for x, y in taken))
+
+
+def test_personal_data_of_a_long_text_takes_linear_time():
+    """Twice the text at most some thrice the time; each text holds as many base as loose candidates."""
+    import time
+
+    spans, line = pii.finder(), "write to a.b@example.com or Anna Smith, (212) 555-0147, at noon. "
+
+    def seconds(n):
+        start = time.perf_counter()
+        assert len(spans(line * n)) >= 2 * n
+        return time.perf_counter() - start
+
+    seconds(200)
+    assert seconds(4_000) < 6 * seconds(2_000)

@@ -13,7 +13,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -61,6 +63,19 @@ def _mod97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def outside(taken: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Test whether a span (end exclusive) meets none of the taken ones, which may overlap each other."""
+    ordered = sorted(taken)
+    starts = [start for start, _ in ordered]
+    reach = list(accumulate((end for _, end in ordered), max))
+
+    def free(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return before == 0 or reach[before - 1] <= start
+
+    return free
+
+
 def finder():
     """Function from a text to sorted (start, kind number, end, votes, shape); compiled in the task."""
     import re
@@ -156,10 +171,8 @@ def finder():
         loose += [(m.start(), 6, m.end()) for m in identity.finditer(text)]
         loose += [(m.start(), 7, m.end()) for m in account.finditer(text)]
         loose += [(m.start(), 8, m.end()) for m in person.finditer(text)]
-        taken = sorted((a, b) for a, _, b in found)
-        for a, kind, b in loose:
-            if not any(a < y and x < b for x, y in taken):
-                found.append((a, kind, b))
+        free = outside([(a, b) for a, _, b in found])
+        found += [span for span in loose if free(span[0], span[2])]
         out = []
         for a, kind, b in sorted(found):
             votes = votes_on(text, kind, a, b)
