@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import plain_splitters
 from tidemark.functions import jsons, safety, templates, text
 from tidemark.functions import html as markup
 from tidemark.functions.urls import normalize_url
@@ -51,15 +52,53 @@ def test_chunk_fixed_matches_windows(spark, size, overlap):
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="ab \n.", max_size=200), st.integers(5, 40), st.integers(0, 5))
 def test_recursive_split_keeps_every_letter(body, size, overlap):
-    chunks = text.split_recursive(body, text.PLAIN, size, overlap)
+    chunks = plain_splitters.split_recursive(body, text.PLAIN, size, overlap)
     assert all(len(c) <= size for c in chunks)
     if overlap == 0:
         assert re.sub(r"\s", "", "".join(chunks)) == re.sub(r"\s", "", body)
 
 
+BODIES = [
+    None, "", " ", "\n\n\n\n", "one", "a b " * 40, "x" * 95, "one two\n\nthree four five six\nseven\n\n\n" * 9, "é😀 \n" * 30 + "y" * 41,
+    "def f(x):\n\treturn x\n\tdef g(y):\n" * 6 + "class A:\n\tdef m(self):\n\n\t\tpass" * 5, "\n\n".join("w" * n for n in range(45)),
+]
+
+
+@pytest.mark.parametrize("size,overlap", [(40, 10), (7, 7), (1, 0), (1000, 200)])
+def test_splitters_equal_plain_versions(spark, size, overlap):
+    df, plain = docs(spark, *BODIES), []
+    for seps in (text.PLAIN, text.SEPARATORS["python"], ["\n", " "], [""], ["\n\n"]):
+        df = text.with_recursive_chunks(df, f"c{len(plain)}", F.col("page_content"), seps, size, overlap)
+        plain.append(lambda body, seps=seps: plain_splitters.split_recursive(body, seps, size, overlap))
+    for sep in ("\n\n", "\n", " ", ""):
+        df = df.withColumn(f"c{len(plain)}", text.separator_chunks(F.col("page_content"), sep, size, overlap))
+        plain.append(lambda body, sep=sep: plain_splitters.merge_pieces(
+            [p for p in (body.split(sep) if sep else list(body)) if p], sep, size, overlap))
+    for row in df.collect():
+        body = BODIES[row.doc_id]
+        for i, rule in enumerate(plain):
+            assert row[f"c{i}"] == (None if body is None else rule(body)), (i, body)
+
+
+def test_splitters_of_every_language_stay_columns(spark):
+    df = docs(spark, *BODIES)
+    for language in ("python", "html"):
+        cut = chunking.chunk_code(df, language, 30, 5)
+        plan = cut._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+        want = [c for body in BODIES if body is not None for c in plain_splitters.split_recursive(body, text.SEPARATORS[language], 30, 5)]
+        assert [r.page_content for r in cut.orderBy("doc_id", "chunk_no").collect()] == want, language
+
+
+def test_splitters_walk_long_texts_once(spark):
+    body = "some words of a line\n" * 20_000 + "z" * 100_000
+    got = text.with_recursive_chunks(docs(spark, body), "c", F.col("page_content"), text.PLAIN, 1000, 200).first()["c"]
+    assert got == plain_splitters.split_recursive(body, text.PLAIN, 1000, 200)
+
+
 def test_separator_merge_carries_overlap():
-    assert text.merge_pieces(["aaa", "bbb", "ccc", "ddd"], " ", 7, 3) == ["aaa bbb", "bbb ccc", "ccc ddd"]
-    assert text.merge_pieces(["x" * 20, "b"], " ", 7, 3) == ["x" * 20, "b"]
+    assert plain_splitters.merge_pieces(["aaa", "bbb", "ccc", "ddd"], " ", 7, 3) == ["aaa bbb", "bbb ccc", "ccc ddd"]
+    assert plain_splitters.merge_pieces(["x" * 20, "b"], " ", 7, 3) == ["x" * 20, "b"]
     with pytest.raises(ValueError):
         text.separator_chunks(F.lit(""), ",", 5, 6)
 

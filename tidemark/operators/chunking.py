@@ -48,7 +48,8 @@ def chunk_by_separator(df: DataFrame, separator: str = "\n\n", size: int = 1000,
 def chunk_recursive(
     df: DataFrame, separators: Sequence[str] | None = None, size: int = 1000, overlap: int = 200
 ) -> DataFrame:
-    return _emit(df, text.recursive_chunks(F.col("page_content"), separators or text.PLAIN, size, overlap))
+    cut = text.with_recursive_chunks(df, "_chunks", F.col("page_content"), separators or text.PLAIN, size, overlap)
+    return _emit(cut, F.col("_chunks"))
 
 
 def chunk_code(df: DataFrame, language: str, size: int = 1000, overlap: int = 200) -> DataFrame:

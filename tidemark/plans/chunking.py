@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import text
 from tidemark.operators import chunking as C
 from tidemark.plans.inputs import DOCS, docs, table
 from tidemark.plans.registry import query
@@ -26,17 +27,79 @@ def chunk_fixed(spark, d):
     return fixed(spark, d)
 
 
-@query("chunk_by_separator")
+_STRIP = f"trim({{}}, '{text.WHITE_SPACE}')"
+
+
+def _packed_sql(name: str, groups: str, joiner: str, size: int, overlap: int) -> str:
+    """CTE `name` (doc_id, path, chunk): the pieces of `groups` (doc_id, path, pieces) packed, one chunk a round."""
+    gap = len(joiner)
+    # s[j + 1] is where piece j starts; a range lo <= j < hi is s[hi + 1] - s[lo + 1] - gap long
+    full = f"list_filter(range({{lo}} + 1, n), lambda i: s[i + 2] - s[{{lo}} + 1] - {gap} > {size})[1]"
+    kept = f"list_filter(range(lo, hi), lambda j: s[hi + 1] - s[j + 1] - {gap} <= {overlap} AND s[hi + 2] - s[j + 1] - {gap} <= {size})[1]"
+    chunk = _STRIP.format(f"array_to_string(pieces[lo + 1 : hi], '{joiner}')")
+    return f"""{name}_g AS MATERIALIZED (SELECT *, len(pieces) AS n, list_transform(range(0, len(pieces) + 1),
+  lambda j: coalesce(list_sum(list_transform(pieces[1 : j], lambda p: length(p) + {gap})), 0)) AS s FROM ({groups})),
+{name}_r AS (
+  SELECT doc_id, path, 0::BIGINT AS round, 0::BIGINT AS lo, coalesce({full.format(lo=0)}, n) AS hi FROM {name}_g WHERE n > 0
+  UNION ALL
+  SELECT doc_id, path, round, lo, coalesce({full.format(lo='lo')}, n) AS hi FROM (
+    SELECT r.doc_id, r.path, r.round + 1 AS round, coalesce({kept}, hi) AS lo, g.s, g.n
+    FROM {name}_r r JOIN {name}_g g ON g.doc_id = r.doc_id AND g.path = r.path WHERE r.hi < g.n)),
+{name} AS MATERIALIZED (SELECT doc_id, list_append(path, round) AS path, {chunk} AS chunk FROM {name}_r JOIN {name}_g USING (doc_id, path))"""
+
+
+def _numbered_sql(ctes: list[str], chunks: str) -> str:
+    return f"""WITH RECURSIVE {", ".join(ctes)}
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY path) AS INTEGER) AS chunk_no, chunk AS page_content, metadata
+FROM ({chunks}) JOIN docs USING (doc_id) WHERE chunk <> ''"""
+
+
+def separator_sql(docs_sql: str, separator: str, size: int, overlap: int) -> str:
+    pieces = f"list_filter(string_split(page_content, '{separator}'), lambda p: p <> '')"
+    groups = f"SELECT doc_id, [0::BIGINT] AS path, {pieces} AS pieces FROM docs"
+    return _numbered_sql([docs_sql, _packed_sql("packed", groups, separator, size, overlap)], "FROM packed")
+
+
+def recursive_sql(docs_sql: str, separators: list[str], size: int, overlap: int) -> str:
+    """A level per separator; pieces between two large ones are packed, large ones go on.  The last separator is empty."""
+    ctes = [docs_sql, "t0 AS (SELECT doc_id, []::BIGINT[] AS path, page_content AS t FROM docs)"]
+    done = []
+    for k, separator in enumerate(separators[:-1]):
+        ctes += [
+            f"""p{k} AS MATERIALIZED (SELECT *, length(piece) > {size} AS big FROM (
+  SELECT doc_id, path, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS i FROM (
+    SELECT doc_id, path, list_transform(string_split(t, '{separator}'), lambda p, i: CASE WHEN i = 1 THEN p ELSE '{separator}' || p END) AS pieces
+    FROM t{k})) WHERE piece <> '')""",
+            f"""m{k} AS MATERIALIZED (SELECT *, count(*) FILTER (WHERE big) OVER (
+  PARTITION BY doc_id, path ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM p{k})""",
+            _packed_sql(f"c{k}", "SELECT doc_id, list_append(path, 2 * before) AS path, list(piece ORDER BY i) AS pieces"
+                        f" FROM m{k} WHERE NOT big GROUP BY m{k}.doc_id, m{k}.path, before", "", size, overlap),
+            f"t{k + 1} AS MATERIALIZED (SELECT doc_id, list_append(path, 2 * before + 1) AS path, piece AS t FROM m{k} WHERE big)",
+        ]
+        done.append(f"FROM c{k}")
+    step = max(1, size - overlap)
+    window = _STRIP.format(f"substr(t, j * {step} + 1, {size})")
+    done.append(f"""SELECT doc_id, list_append(path, j) AS path, {window} AS chunk FROM (
+  SELECT *, unnest(range(CAST(greatest(0, ceil((length(t) - {size}) / {step})) AS BIGINT) + 1)) AS j FROM t{len(separators) - 1})""")
+    return _numbered_sql(ctes, " UNION ALL ".join(done))
+
+
+@query("chunk_by_separator", separator_sql(DOCS, "\n", 1000, 200))
 def chunk_by_separator(spark, d):
     return C.chunk_by_separator(docs(spark, d), "\n")
 
 
-@query("chunk_recursive")
+@query("chunk_recursive", recursive_sql(DOCS, text.PLAIN, 1000, 200))
 def chunk_recursive(spark, d):
     return C.chunk_recursive(docs(spark, d))
 
 
-@query("chunk_code")
+_CODE = DOCS.replace("docs AS (", "plain AS (", 1) + """, docs AS (SELECT * REPLACE (
+  'class Doc' || doc_id || ':\n\tdef first(self):\n\t\treturn ''' || replace(page_content, '. ', '''\n\n\tdef more(self):\n\t\treturn ''') || '''' AS page_content)
+  FROM plain)"""
+
+
+@query("chunk_code", recursive_sql(_CODE, text.SEPARATORS["python"], 1000, 200))
 def chunk_code(spark, d):
     """Each document framed as a class with one method per sentence."""
     code = F.concat(
@@ -55,8 +118,8 @@ parts AS (SELECT doc_id, metadata, string_split(t, chr(1)) AS p FROM marked)
 SELECT doc_id, CAST(i AS INTEGER) AS chunk_no, regexp_replace(p[i], '^\\s+|\\s+$', '', 'g') AS page_content, metadata
 FROM (SELECT doc_id, metadata, p, unnest(range(1, len(p) + 1)) AS i FROM parts)""")
 def chunk_markdown_headers(spark, d):
-    text = F.replace(F.replace("page_content", F.lit(". "), F.lit("\n## ")), F.lit(", "), F.lit("\n### "))
-    return C.chunk_markdown_headers(docs(spark, d).withColumn("page_content", text), "h2")
+    body = F.replace(F.replace("page_content", F.lit(". "), F.lit("\n## ")), F.lit(", "), F.lit("\n### "))
+    return C.chunk_markdown_headers(docs(spark, d).withColumn("page_content", body), "h2")
 
 
 @query("chunk_html_as_markdown")
