@@ -74,9 +74,10 @@ def held(doc_id, folds):
 def chunks(text, divisor=4):
     lines = text.split("\n")
     h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+    ends = [False] + [(a * 1_000_003 + b) % divisor == 0 for a, b in zip(h, h[1:])]
     out, at = [], 0
     for i in range(len(lines)):
-        if i == len(lines) - 1 or (h[max(i - 1, 0)] * 1_000_003 + h[i]) % divisor == 0:
+        if i == len(lines) - 1 or ends[i] and not ends[i - 1] and i < len(lines) - 2:
             out.append((at, i - at + 1, "\n".join(lines[at:i + 1])))
             at = i + 1
     return out

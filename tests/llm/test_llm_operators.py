@@ -121,6 +121,15 @@ def test_line_dedup_equals_plain_version(spark, rows):
     assert got == want and any(w[2] for w in want.values())
 
 
+def test_line_chunks_take_exact_copies_whole(spark):
+    texts = ["\n".join(f"text {d} line {i}" for i in range(n)) for d, n in enumerate([1, 2, 3, 4, 5, 6, 9, 40])]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "doc_id long, text string")
+    for r in linechunks.dedup_lines(df).collect():
+        doc, n = r["row"]["doc_id"], r["n_lines"]
+        assert r["n_removed"] == (n if doc >= len(texts) and n > 1 else 0)
+    assert all(n >= 2 for t in texts[1:] for _, n, _ in brute.chunks(t))
+
+
 def test_line_dedup_odd_rows(spark, odd):
     found = linechunks.dedup_lines(odd)
     got = found.select("row.doc_id", "row.text", "kept_text", "n_lines", "n_removed").collect()

@@ -1,7 +1,9 @@
 """Line dedup by content-defined chunks of lines, in DataFrame expressions only.
 
-Every line has a hash; a rolling hash over the hashes of a line and the one before it decides
-whether a chunk ends there.  The cuts depend on the lines around them only, so a passage of
+Every line has a hash; a rolling hash over the hashes of a line and the one before it chooses the
+lines a chunk may end with.  Of neighbouring choices the first one counts, and neither the first line
+nor the last is cut off alone, so every chunk of a text of two and more lines has at least two, and an
+exact copy of such a text goes whole.  The cuts depend on the lines around them only, so a passage of
 several lines is cut alike wherever it stands.  Chunks of two and more lines that occur more
 than once are compared byte by byte (their text is a grouping key); the first occurrence by
 (doc_id, position) stays, the others are removed.
@@ -14,7 +16,7 @@ very many repeats the folded table lets everything pass; the rows found are the
 
 The cuts leave the ends of a repeated passage, and short passages without two cuts, where they are.
 `dedup_runs` is exact instead: every two neighbouring lines are a key, so all lines of a repeated
-run of two and more lines go, and an exact copy of two and more lines goes whole.
+run of two and more lines go.
 """
 
 from __future__ import annotations
@@ -49,8 +51,9 @@ def chunk_column(text: Column, divisor: int = DIVISOR) -> Column:
 
     def ends_of(hashes: Column) -> Column:
         last = F.size(hashes) - 1
-        rolling = lambda i: hashes[F.greatest(i - 1, F.lit(0))] * _BASE + hashes[i]
-        return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (rolling(i) % divisor == 0))
+        at = lambda i: hashes[F.greatest(i, F.lit(0))]
+        chosen = lambda i: (i > 0) & ((at(i - 1) * _BASE + at(i)) % divisor == 0)
+        return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (chosen(i) & ~chosen(i - 1) & (i < last - 1)))
 
     def chunks(lines: Column, ends: Column) -> Column:
         def one(end: Column, k: Column) -> Column:

@@ -171,9 +171,12 @@ WITH lines AS (
   SELECT doc_id, i, line, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM (
     SELECT doc_id, unnest(range(len(l))) AS i, unnest(l) AS line
     FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
-cuts AS (
-  SELECT *, CASE WHEN (coalesce(lag(h) OVER w, h) * 1000003 + h) % 4 = 0 THEN 1 ELSE 0 END AS cut
+chosen AS (
+  SELECT *, coalesce((lag(h) OVER w * 1000003 + h) % 4 = 0, false) AS ends, count(*) OVER (PARTITION BY doc_id) AS n
   FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+cuts AS (
+  SELECT * EXCLUDE (n), CASE WHEN ends AND NOT coalesce(lag(ends) OVER w, false) AND i < n - 2 THEN 1 ELSE 0 END AS cut
+  FROM chosen WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 numbered AS (
   SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
   FROM cuts),
