@@ -597,6 +597,23 @@ def test_item_names_equal_plain_matching(spark):
     assert T.item_resolve(df.limit(0), spark.createDataFrame(asked[:3], "request_id long, id_insumo string, insumo string, fornecedor string")).count() == 3
 
 
+def test_item_runs_are_looked_up_without_a_shuffle(spark, monkeypatch):
+    """Few names travel to the items; items tested for few runs and items cut into all their runs give the same rows."""
+    from tidemark.operators import tabular as T
+
+    items = supply_rows(spark, [("7", "Red bolt", "ring co", 1.0), ("8", None, "", 2.0), ("é9", "bé", "\U0001f600éa", 3.0)])
+    names = spark.createDataFrame([("red",), ("",), ("b",), ("bé",), ("%éa",), ("zz",), ("r_d%b",), ("\U0001f600",)], "name string")
+    found = {}
+    for few in (64, 0):
+        monkeypatch.setattr(T, "_FEW_RUNS", few)
+        hits = T._name_candidates(items, names)
+        assert "SortMergeJoin" not in hits._jdf.queryExecution().executedPlan().toString()
+        found[few] = sorted((r.name, r.id_insumo, r._rn) for r in hits.collect())
+    assert found[64] == found[0] == sorted([
+        ("red", "7", 1), ("", "é9", 1), ("", "8", 2), ("", "7", 3), ("b", "é9", 1), ("b", "7", 2), ("bé", "é9", 1), ("%éa", "é9", 1),
+        ("r_d%b", "7", 1), ("\U0001f600", "é9", 1)])
+
+
 def test_json_pointers(spark):
     js = '{"a":[{"t":"x","u":{"t":"deep"}},{"t":["y","z"]}],"t":"","o":{"t":"no"}}'
     df = spark.createDataFrame([(1, js)], "doc_id int, js string")
