@@ -614,6 +614,18 @@ def test_item_runs_are_looked_up_without_a_shuffle(spark, monkeypatch):
         ("r_d%b", "7", 1), ("\U0001f600", "é9", 1)])
 
 
+def test_markdown_of_a_page_is_made_once(spark):
+    """The chain of replacements stands in the column once, however often its result is used."""
+    from tidemark.functions import html
+
+    page = "&#x41;&#66;&amp;lt; <h1>a &amp; b</h1>&#70000;&nbsp;&copy;<ul><li>x</li></ul>"
+    df = spark.createDataFrame([(page,), (None,), ("plain",)], "html string")
+    column = html.to_markdown(F.col("html"))
+    assert df.select(column)._jdf.queryExecution().analyzed().toString().count("(?:ul|ol)") <= 2  # the column and its name
+    assert [r[0] for r in df.select(column).collect()] == ["AB&lt;\n\n# a & b\n\n\ufffd\u00a0©\n\n*   x", "", "plain"]
+    assert df.select(html.unescape(F.col("html"))).collect()[1][0] is None
+
+
 def test_json_pointers(spark):
     js = '{"a":[{"t":"x","u":{"t":"deep"}},{"t":["y","z"]}],"t":"","o":{"t":"no"}}'
     df = spark.createDataFrame([(1, js)], "doc_id int, js string")

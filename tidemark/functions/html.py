@@ -29,7 +29,7 @@ def _numbered(text: Column, pattern: str, base: int) -> Column:
     def joined(found: Column) -> Column:
         between = F.split(text, f"(?i){pattern}", -1)
         pieces = F.transform(between, lambda piece, i: F.concat(piece, F.coalesce(
-            _character(F.conv(F.get(found, i), base, 10).cast("bigint")), F.lit(""))))
+            let(F.conv(F.get(found, i), base, 10).cast("bigint"), _character), F.lit(""))))
         return F.array_join(pieces, "")
 
     return F.when(F.contains(text, F.lit("&#")), let(codes, joined)).otherwise(text)
@@ -37,10 +37,13 @@ def _numbered(text: Column, pattern: str, base: int) -> Column:
 
 def unescape(text: Column) -> Column:
     """Numbered and the common named entities as characters."""
-    out = _numbered(_numbered(text, r"&#(\d{1,7});", 10), r"&#x([0-9a-f]{1,6});", 16)
-    for name, char in _ENTITIES:
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+    def plain(escaped: Column) -> Column:
+        out = let(_numbered(escaped, r"&#(\d{1,7});", 10), lambda tens: _numbered(tens, r"&#x([0-9a-f]{1,6});", 16))
+        for name, char in _ENTITIES:
+            out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+        return F.when(F.contains(escaped, F.lit("&")), out).otherwise(escaped)
+
+    return let(text, plain)  # the text may be a long chain of its own
 
 
 def without_code(html: Column) -> Column:

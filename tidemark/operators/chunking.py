@@ -12,6 +12,8 @@ from tidemark.functions import html as markup, text
 
 
 def _emit(df: DataFrame, pieces: Column) -> DataFrame:
+    # a bare column would be tested for being empty in a filter of its own, which cuts every text a second time
+    pieces = F.coalesce(pieces, F.array().cast("array<string>"))
     return df.select(
         "doc_id", F.posexplode(pieces).alias("_at", "page_content"), "metadata"
     ).select("doc_id", (F.col("_at") + 1).alias("chunk_no"), "page_content", "metadata")

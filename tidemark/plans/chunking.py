@@ -8,6 +8,7 @@ from tidemark.functions import text
 from tidemark.operators import chunking as C
 from tidemark.plans.inputs import DOCS, docs, table
 from tidemark.plans.registry import query
+from tidemark.session import spread
 
 FIXED = DOCS + """, body AS (
   SELECT doc_id, metadata, regexp_replace(page_content, '^\\s+|\\s+$', '', 'g') AS t FROM docs),
@@ -124,7 +125,7 @@ def chunk_markdown_headers(spark, d):
 
 @query("chunk_html_as_markdown")
 def chunk_html_as_markdown(spark, d):
-    pages = table(spark, d, "pages").select(
+    pages = spread(table(spark, d, "pages")).select(
         F.col("page_id").alias("doc_id"), "html", F.to_json(F.struct("url")).alias("metadata"))
     return C.chunk_html_as_markdown(pages)
 
