@@ -157,6 +157,19 @@ def test_exact_copies_of_lines_go_whole(spark):
     assert sorted(r["doc_id"] for r in left.where("doc_id is not null").collect()) == [*range(n), 2 * n + 1, 2 * n + 2, 2 * n + 3]
 
 
+def test_runs_are_settled_by_chunks_first(spark):
+    """Pairs inside a repeated chunk are found by the rolling hash; the check of pairs only adds what it leaves."""
+    passage = [f"line {i} of a passage" for i in range(40)]
+    df = spark.createDataFrame(
+        [(1, "\n".join(["a", *passage, "b"])), (2, "\n".join(["c", *passage, "d"]))], "doc_id long, text string")
+    settled = linechunks.pairs_of_chunks(df).collect()
+    assert settled and {r["doc_id"] for r in settled} == {2}
+    got = {r["row"]["doc_id"]: r["kept_text"] for r in linechunks.dedup_runs(df).collect()}
+    assert got == {1: "\n".join(["a", *passage, "b"]), 2: "c\nd"}
+    lines = {n for r in settled for n in range(r["pos"], r["end"] + 1)}
+    assert lines <= set(range(1, 41))
+
+
 def test_repeated_runs_equal_plain_version(spark, docs, rows):
     first, want, short = {}, {}, 0
     for d in sorted(rows):

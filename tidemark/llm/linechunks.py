@@ -15,8 +15,8 @@ of at most that many rows that may be broadcast whatever the corpus.  The exact
 very many repeats the folded table lets everything pass; the rows found are the same.
 
 The cuts leave the ends of a repeated passage, and short passages without two cuts, where they are.
-`dedup_runs` is exact instead: every two neighbouring lines are a key, so all lines of a repeated
-run of two and more lines go.
+`dedup_runs` adds an exact check: after the chunks, every two neighbouring lines that no chunk has
+settled are a key, so all lines of a repeated run of two and more lines go.
 """
 
 from __future__ import annotations
@@ -78,21 +78,29 @@ def _buckets(df: DataFrame, key: str) -> DataFrame:
     return F.broadcast(df.select(_bucket(F.col(key)).alias("bucket")).distinct())
 
 
-def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR, least_lines: int = LEAST_LINES) -> DataFrame:
-    """doc_id, gone: for every document with chunks to remove, the positions and hashes of them."""
+def _texts_of_repeats(docs: DataFrame, divisor: int, least_lines: int, more: list[str]) -> DataFrame:
+    """doc_id, pos, n, h, text and the columns `more`: the chunks whose hash occurs more than once."""
     chunked = (
-        docs.where("doc_id is not null").select("doc_id", F.explode(chunk_column(F.col("text"), divisor)).alias("c"))
-        .where(F.col("c.n") >= least_lines).select("doc_id", "c.pos", "c.text", F.xxhash64("c.text").alias("h"))
+        docs.where("doc_id is not null").select("doc_id", *more, F.explode(chunk_column(F.col("text"), divisor)).alias("c"))
+        .where(F.col("c.n") >= least_lines).select("doc_id", *more, "c.pos", "c.n", "c.text", F.xxhash64("c.text").alias("h"))
     )
     repeated = stored(chunked.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"))
-    texts = stored(
+    return stored(
         chunked.withColumn("bucket", _bucket(F.col("h"))).join(_buckets(repeated, "h"), "bucket", "left_semi")
-        .join(repeated, "h", "left_semi").select("doc_id", "pos", "h", "text")
+        .join(repeated, "h", "left_semi").select("doc_id", *more, "pos", "n", "h", "text")
     )
-    first = texts.groupBy("h", "text").agg(
-        F.count("*").alias("times"), F.min(F.struct("doc_id", "pos")).alias("first")
+
+
+def _first_chunks(texts: DataFrame) -> DataFrame:
+    return texts.groupBy("h", "text").agg(
+        F.count("*").alias("times"), F.min(F.struct("doc_id", "pos", "n")).alias("first")
     ).where("times > 1").select("h", "text", "first")
-    later = texts.join(first, ["h", "text"]).where("first <> struct(doc_id, pos)")
+
+
+def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR, least_lines: int = LEAST_LINES) -> DataFrame:
+    """doc_id, gone: for every document with chunks to remove, the positions and hashes of them."""
+    texts = _texts_of_repeats(docs, divisor, least_lines, [])
+    later = texts.join(_first_chunks(texts), ["h", "text"]).where("struct(first.doc_id, first.pos) <> struct(doc_id, pos)")
     return later.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("gone"))
 
 
@@ -151,26 +159,43 @@ def pair_column(text: Column) -> Column:
         F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: lines[i].rlike("\\S")), lambda full: pairs(lines, full)))
 
 
+def pairs_of_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """doc_id, mark, pos, end: the pairs of lines inside chunks that stand before, byte by byte, without overlapping."""
+    marked = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    texts = _texts_of_repeats(marked, divisor, LEAST_LINES, ["mark"])
+    first = _first_chunks(texts)
+    later = texts.join(first, ["h", "text"]).where("doc_id <> first.doc_id or pos > first.pos + first.n - 1")
+    return later.select("doc_id", "mark", "pos", F.explode(pair_column(F.col("text"))).alias("c")).select(
+        "doc_id", "mark", (F.col("pos") + F.col("c.pos")).alias("pos"), (F.col("pos") + F.col("c.end")).alias("end")).distinct()
+
+
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """gone_id, gone_mark (hash of the text), gone: the numbers of the lines to remove of every such text.
 
     A pair of lines goes if the same two lines stand before it by (doc_id, position) without
     overlapping it.  The first occurrence of a line is in no such pair, so every line stays once.
+
+    Chunks go first: the pairs inside a chunk that stands before are settled by it.  The pairs left are those at the
+    ends of repeated passages and of passages without two cuts; they are compared one by one, which makes the result
+    exact.  The first occurrence of a pair is in no chunk that goes, so it is there to be compared with.
     """
     paired = (
         docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("mark"), F.explode(pair_column(F.col("text"))).alias("c"))
         .select("doc_id", "mark", "c.*", F.xxhash64("c.text").alias("h"))
     )
     repeated = stored(paired.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"))
-    texts = stored(
+    texts = (
         paired.withColumn("bucket", _bucket(F.col("h"))).join(_buckets(repeated, "h"), "bucket", "left_semi")
         .join(repeated, "h", "left_semi").select("doc_id", "mark", "pos", "end", "h", "text")
     )
+    settled = stored(pairs_of_chunks(docs))
+    texts = stored(texts.join(settled.select("doc_id", "mark", "pos"), ["doc_id", "mark", "pos"], "left_anti"))
     first = texts.groupBy("h", "text").agg(
         F.count("*").alias("times"), F.min(F.struct("doc_id", "pos", "end")).alias("first")
     ).where("times > 1").select("h", "text", "first")
-    later = texts.join(first, ["h", "text"]).where("doc_id <> first.doc_id or pos > first.end")
-    lines = later.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"), F.explode(F.sequence("pos", "end")).alias("line"))
+    later = texts.join(first, ["h", "text"]).where("doc_id <> first.doc_id or pos > first.end").select("doc_id", "mark", "pos", "end")
+    lines = later.unionByName(settled).select(
+        F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"), F.explode(F.sequence("pos", "end")).alias("line"))
     return lines.groupBy("gone_id", "gone_mark").agg(F.collect_set("line").alias("gone"))
 
 
