@@ -295,3 +295,21 @@ def test_filter_chain_rejects_unknown_operators(spark):
     words = spark.createDataFrame([("the quick brown fox",), ("quick the fox",)], "t string")
     count = lambda op, v: metadata.filter_chain(words, [("t", op, v)]).count()
     assert count("phfts", "quick brown") == 1 and count("plfts", "fox quick") == 2 and count("wfts", 'fox -"quick brown"') == 1
+
+
+def test_best_rows_stay_few():
+    """What a search keeps follows queries x k, and of equal distances the smaller ids stay, also among texts."""
+    import numpy as np
+
+    from tidemark.operators.retrieval import _Best
+
+    for ids in (np.arange(100_000), np.array([f"v{i:06}" for i in range(100_000)], dtype=object)):
+        best = _Best(3)
+        for part in range(6):
+            best.add(np.arange(100_000) % 5, np.full(100_000, float(part % 2)), ids[::-1], "ab"[part // 3])
+            assert sum(len(p[0]) for p in best.parts) <= 200_000
+        found = best.cut()
+        assert len(found["q"]) == 2 * 5 * 3 and sorted(set(found["g"])) == ["a", "b"]
+        assert all(d == (0.0 if g == "a" else 0.0) for d, g in zip(found["d"], found["g"]))
+        mine = [(g, i) for q, g, i in zip(found["q"], found["g"], found["id"]) if q == 4]
+        assert mine[:1] == [("a", ids[0])]

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,8 @@ from tidemark.sources.scratch import written_table
 METRICS = ("cosine", "ip", "l2")
 MAX_QUERY_BYTES = 256 << 20
 DIGITS = 9  # distances are rounded to this before they are ranked
-_TILE = 4_000_000  # cells of one distance matrix
+_TILE = 1_000_000  # cells of one distance matrix
+_KEPT_ROWS = 200_000  # rows gathered at least before they are cut to the best
 
 
 # ---- scoring inside a task -------------------------------------------------------------------
@@ -33,9 +35,18 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Rows of a list column as float64."""
     parts = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
     blocks = [p.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(p), -1) for p in parts if len(p)]
+    if len(blocks) == 1:
+        return blocks[0]
     return np.concatenate(blocks) if blocks else np.zeros((0, 0))
 
 
+def _thin(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `rows`, where a row is a long list."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def _mask(column: pa.Array) -> np.ndarray:
     """Rows of a list column of booleans."""
     return column.flatten().to_numpy(zero_copy_only=False).astype(bool).reshape(len(column), -1)
@@ -55,24 +66,43 @@ def _distances(metric: str, q: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 class _Best:
-    """The k smallest (distance, id) per query and group seen so far."""
+    """The k smallest (distance, id) per query and group seen so far.
+
+    Rows are plain arrays; they are cut as soon as they are twice as many as the last cut left, so memory follows
+    queries x k, not the rows that are scored.
+    """
 
     def __init__(self, k: int) -> None:
         self.k = k
-        self.parts: list[pd.DataFrame] = []
+        self.groups: dict = {}
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.rows = 0
-
-    def add(self, part: pd.DataFrame) -> None:
-        self.parts.append(part)
-        self.rows += len(part)
-        if self.rows > 2_000_000:
-            self.parts = [self.cut()]
-            self.rows = len(self.parts[0])
-
-    def cut(self) -> pd.DataFrame:
-        every = pd.concat(self.parts, ignore_index=True)
-        every = every.sort_values(["q", "g", "d", "id"], kind="stable")
-        return every[every.groupby(["q", "g"], sort=False).cumcount() < self.k]
+        self.limit = _KEPT_ROWS
+
+    def add(self, q: np.ndarray, d: np.ndarray, ids: np.ndarray, group: str = "") -> None:
+        g = np.full(len(q), self.groups.setdefault(group, len(self.groups)), dtype=np.int32)
+        self.parts.append((q.astype(np.int32), g, d, ids))
+        self.rows += len(q)
+        if self.rows > self.limit:
+            self.parts = [self._cut()]
+            self.rows = len(self.parts[0][0])
+            self.limit = max(_KEPT_ROWS, 2 * self.rows)
+
+    def _cut(self) -> tuple[np.ndarray, ...]:
+        q, g, d, ids = (np.concatenate(column) for column in zip(*self.parts))
+        order = np.lexsort((pd.factorize(ids, sort=True)[0] if ids.dtype == object else ids, d, g, q))
+        q, g = q[order], g[order]
+        first = np.ones(len(q), dtype=bool)
+        first[1:] = (q[1:] != q[:-1]) | (g[1:] != g[:-1])
+        starts = np.flatnonzero(first)
+        place = np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
+        kept = place < self.k
+        order = order[kept]
+        return q[kept], g[kept], d[order], ids[order]
+
+    def cut(self) -> dict[str, np.ndarray]:
+        q, g, d, ids = self._cut()
+        return {"q": q, "g": np.array(list(self.groups), dtype=object)[g], "d": d, "id": ids}
 
 
 def _scorer(k: int, metric: str, id_type, group_type, filters: bool):
@@ -107,16 +137,16 @@ def _scorer(k: int, metric: str, id_type, group_type, filters: bool):
                     d = dist[qi, vi]
                     if metric == "l2":  # the matrix form loses digits near zero
                         d = np.round(np.linalg.norm(q[qi] - v[vi], axis=1), DIGITS)
-                    best.add(pd.DataFrame({"q": qi + lo, "g": group or "", "d": d + 0.0, "id": v_ids[at][vi]}))
+                    best.add(qi + lo, d + 0.0, v_ids[at][vi], group or "")
         if best.rows:
             found = best.cut()
             columns = {
-                "query_id": ids.take(pa.array(found["q"].to_numpy())).combine_chunks(),
-                "vec_id": pa.array(found["id"].to_numpy(), type=id_type),
-                "distance": pa.array(found["d"].to_numpy()),
+                "query_id": ids.take(pa.array(found["q"])).combine_chunks(),
+                "vec_id": pa.array(found["id"], type=id_type),
+                "distance": pa.array(found["d"]),
             }
             if group_type is not None:
-                columns["_group"] = pa.array(found["g"].to_numpy(), type=group_type)
+                columns["_group"] = pa.array(found["g"], type=group_type)
             yield pa.RecordBatch.from_pydict(columns)
 
     return score
@@ -248,7 +278,7 @@ def mmr(queries: DataFrame, vectors: DataFrame, k: int = 4, fetch_k: int = 20, l
         F.sort_array(F.collect_list(F.struct("rank", "vec_id", "distance", "embedding"))).alias("c"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _thin(batches):
             lists = batch.column("c")
             rows = lists.flatten()
             ids, distances = rows.field("vec_id"), rows.field("distance").to_numpy()
@@ -322,15 +352,16 @@ class _Askers:
         entries = lists.flatten()
         self.owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
         self.idf = entries.field("idf").to_numpy()
-        self.codes, words = pd.factorize(entries.field("token").to_pandas())
-        self.words = pd.Index(words)
+        self.words = entries.field("token").unique()
+        self.codes = pc.index_in(entries.field("token"), value_set=self.words).to_numpy(zero_copy_only=False).astype(np.int64)
 
     def hits(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word number, row and gain of every posting of a batch."""
         lists = batch.column("_held")
         entries = lists.flatten()
         rows = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
-        words = self.words.get_indexer(entries.field("token").to_pandas())
+        # looked up in Arrow: no text becomes an object of Python
+        words = pc.index_in(entries.field("token"), value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         known = words >= 0
         return words[known], rows[known], entries.field("gain").to_numpy()[known]
 
@@ -348,14 +379,14 @@ class _Askers:
         return np.bincount(cells, self.idf[asker] * gains[which], (hi - lo) * n_rows).reshape(hi - lo, n_rows)
 
 
-_HYBRID_TILE = 1 << 19  # cells scored at once; a cell costs as many entries as query and row share words
+_HYBRID_TILE = 1 << 17  # cells scored at once; a cell costs as many entries as query and row share words
 
 
 def _hybrid_parts(queries: pa.Table, batches: Iterator[pa.RecordBatch]):
     """(first query, batch, keyword scores, vector scores) by tiles of queries."""
     askers, asked = _Askers(queries), _matrix(queries.column("embedding"))
-    for batch in batches:
-        if not batch.num_rows or not len(asked):
+    for batch in _thin(batches):
+        if not len(asked):
             continue
         vectors, hits = _matrix(batch.column("embedding")), askers.hits(batch)
         step = max(1, _HYBRID_TILE // batch.num_rows)
@@ -395,13 +426,13 @@ def _hybrid_scorer(k: int, ratio: float, id_type):
             else:
                 qi, vi = np.nonzero(np.ones_like(value, dtype=bool))
             ids = batch.column("doc_id").to_pandas().to_numpy()
-            best.add(pd.DataFrame({"q": qi + lo, "g": "", "d": -value[qi, vi], "id": ids[vi]}))
+            best.add(qi + lo, -value[qi, vi], ids[vi])
         if best.rows:
             found = best.cut()
             yield pa.RecordBatch.from_pydict({
-                "query_id": queries.column("query_id").take(pa.array(found["q"].to_numpy())).combine_chunks(),
-                "doc_id": pa.array(found["id"].to_numpy(), type=id_type),
-                "score": pa.array(-found["d"].to_numpy() + 0.0),
+                "query_id": queries.column("query_id").take(pa.array(found["q"])).combine_chunks(),
+                "doc_id": pa.array(found["id"], type=id_type),
+                "score": pa.array(-found["d"] + 0.0),
             })
 
     return score
