@@ -23,6 +23,8 @@ FEATURES = (
 # fixed values: share of the stock value and of the monthly payment behind each bill and payment column
 _BILL_SHARE = (1.0, 0.95, 0.9, 0.88, 0.85, 0.82)
 _PAY_SHARE = (1.0, 0.9, 1.05, 0.95, 1.0, 0.85)
+#: rows of a training task; below the first, the sums of a task's tree nodes outweigh its rows
+LEAST_ROWS, MOST_ROWS = 2_000, 100_000
 
 
 def _number(name: str, default: Column) -> Column:
@@ -77,15 +79,27 @@ def balanced_weight(df: DataFrame, label: str) -> DataFrame:
     weights = sizes.withColumns({
         "_all": sizes.agg(F.sum("_n")).scalar(), "_classes": sizes.agg(F.count(F.lit(1))).scalar(),
     }).select(label, (F.col("_all") / (F.col("_classes") * F.col("_n"))).alias("weight"))
-    return df.join(weights, label)
+    # a row per class; a shuffle by class would leave as many tasks as classes
+    return df.join(F.broadcast(weights), label)
+
+
+def deal_out(df: DataFrame, least: int = LEAST_ROWS, most: int = MOST_ROWS) -> DataFrame:
+    """The rows in equal parts for all cores, of `least` rows or more and of `most` at most; few rows stay as they are."""
+    rows = df.count()
+    parts = min(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // most)), rows // least)
+    return df.repartition(parts) if parts > 1 else df
 
 
 def train_risk_forest(
     df: DataFrame, label: str, features: Sequence[str] = FEATURES, trees: int = 200, depth: int = 12,
     min_rows: int = 10, seed: int = 42,
 ) -> PipelineModel:
-    """Random forest with balanced classes."""
-    weighted = balanced_weight(df, label)
+    """Random forest with balanced classes.
+
+    A task of the training walks its rows once for every tree, and keeps 4 bytes per row and tree; rows read from small
+    files would all lie in one task, so they are dealt out.
+    """
+    weighted = balanced_weight(deal_out(df), label)
     forest = RandomForestClassifier(
         labelCol=label, featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=depth,
         minInstancesPerNode=min_rows, seed=seed)

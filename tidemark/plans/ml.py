@@ -9,7 +9,7 @@ from tidemark.functions import text
 from tidemark.operators import ml
 from tidemark.plans.inputs import SUPPLY, supply, table
 from tidemark.plans.registry import query
-from tidemark.sources.scratch import scratch_folder
+from tidemark.sources.scratch import scratch_folder, written_table
 
 _SHARES = ", ".join(
     [f"round(stock * {s}, 6) AS \"BILL_AMT{i}\"" for i, s in enumerate((1.0, 0.95, 0.9, 0.88, 0.85, 0.82), 1)]
@@ -70,7 +70,8 @@ def trained(spark, d):
     key = (spark.sparkContext.applicationId, d)
     if key not in _FITTED:
         folder = scratch_folder(spark)
-        rows = ml.stratified_split(labelled(spark, d), "label", "doc_id")
+        # features are counted once; the split samples its input before it deals the rows out
+        rows = ml.stratified_split(written_table(labelled(spark, d)), "label", "doc_id")
         rows.write.parquet(f"{folder}/rows")
         rows = spark.read.parquet(f"{folder}/rows")
         ml.train_risk_forest(rows.where("not is_test"), "label", DOC_FEATURES).write().save(f"{folder}/model")
