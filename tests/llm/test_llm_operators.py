@@ -511,6 +511,38 @@ def test_lcs_by_bits(a, b):
     assert decontaminate.lcs_length(a, decontaminate.word_masks(b), len(b)) == brute.lcs(a, b)
 
 
+def test_latin_1_is_cut_as_by_the_tokenizer(monkeypatch):
+    rng, letters = np.random.default_rng(5), [*map(chr, range(256))]
+    texts = ["".join(letters), "It's \xc9T\xc9_2\xb2\xa0\xdf\xb5m\xaa", "", None, *("".join(rng.choice(letters, 400)) for _ in range(50))]
+    wide = [t + "\u0130\u2014x" for t in texts if t]
+    tokens = decontaminate._tokenizer()
+    words = [tokens(t) if t else [] for t in (*texts, *wide)]
+    vocabulary = {w: k for k, w in enumerate(sorted({w for own in words for w in own if len(w) < 3}))}
+    number = decontaminate._numberer(vocabulary)
+    for text, own in zip((*texts, *wide), words):
+        blocks, at, found = number(text)
+        known = [(k // decontaminate.HALF, vocabulary[w]) for k, w in enumerate(own) if w in vocabulary]
+        assert blocks == max(1, -(-len(own) // decontaminate.BLOCK)) and list(zip(at.tolist(), found.tolist())) == known
+
+    def slow():
+        def cut(text):
+            raise AssertionError("Latin-1 needs no pattern")
+        return cut
+
+    monkeypatch.setattr(decontaminate, "_tokenizer", slow)
+    assert decontaminate._numberer({"\xe9t\xe9": 0})("Un \xc9t\xe9.")[2].tolist() == [0]
+
+
+def test_stretch_sums_are_those_of_reduceat():
+    rng = np.random.default_rng(6)
+    source = rng.standard_normal((500, 7)).astype(np.float32)
+    for counts in (np.r_[np.arange(1, 40), rng.integers(1, 20, 300)], np.array([1]), np.array([50]), np.zeros(0, np.int64)):
+        index = rng.integers(0, 500, counts.sum())
+        got = decontaminate._stretch_sums(source, index, counts)
+        want = np.add.reduceat(source[index], np.cumsum(counts) - counts, axis=0) if len(counts) else source[:0]
+        assert got.dtype == np.float32 and np.allclose(got, want, rtol=1e-5, atol=1e-5)
+
+
 def test_latent_directions_are_those_of_the_passages(spark, docs):
     items = decontaminate.read_items(table(spark, SF, "benchmark"))
     model = decontaminate.learned(decontaminate.numbered(docs, items), items, rank=8)

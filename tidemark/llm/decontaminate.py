@@ -43,6 +43,8 @@ LCS_SHARE = 0.6
 ANSWER_SHARE = 0.5
 MAX_BENCHMARK_CHARS = 64_000_000
 _CHUNK = 256
+_SHORT = 16
+_CELLS = 1 << 20
 _SALTS = 64
 
 
@@ -76,12 +78,26 @@ def _vocabulary(items: list) -> dict[str, int]:
 
 
 def _numberer(vocabulary: dict[str, int]):
-    """Function from a text to the number of its blocks, the half block of each known term, and the terms, in order."""
+    """Function from a text to the number of its blocks, the half block of each known term, and the terms, in order.
+
+    A text in Latin-1 is cut by a table of its bytes, which gives the words of the tokenizer.
+    """
     tokens, get = _tokenizer(), vocabulary.get
+    table = bytes(k if chr(k).isalnum() else 32 for k in range(256))
+    narrow = {}
+    for word, k in vocabulary.items():
+        try:
+            narrow[word.encode("latin-1")] = k
+        except UnicodeEncodeError:
+            pass
+    get_narrow = narrow.get
 
     def number(text):
-        words = tokens(text) if text else []
-        ids = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
+        try:
+            words, known = text.lower().encode("latin-1").translate(table).split() if text else [], get_narrow
+        except UnicodeEncodeError:
+            words, known = tokens(text), get
+        ids = np.fromiter(map(known, words, repeat(-1)), np.int32, len(words))
         at = np.flatnonzero(ids >= 0)
         return max(1, -(-len(ids) // BLOCK)), (at // HALF).astype(np.int32), ids[at]
 
@@ -119,11 +135,42 @@ def _pieces(batches: Iterator[pd.DataFrame], rows: int = 256):
             yield batch.iloc[lo:lo + rows]
 
 
-def _block_sums(values: np.ndarray, block: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros((n, values.shape[1]), values.dtype)
-    if len(block):
-        starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-        out[block[starts]] = np.add.reduceat(values, starts, axis=0)
+def _stretch_sums(source: np.ndarray, index: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of source[index] over neighbouring stretches of `counts` rows, all above zero.
+
+    The same numbers as those of add.reduceat, which is slow on short stretches: these are added all at once, their
+    n-th rows in step.  The longest come first, so that those with a row left are neighbours.
+    """
+    out = np.empty((len(counts), source.shape[1]), source.dtype)
+    long = np.flatnonzero(counts > _SHORT)
+    if len(long):
+        inside = np.repeat(counts > _SHORT, counts)
+        out[long] = np.add.reduceat(source[index[inside]], np.cumsum(counts[long]) - counts[long], axis=0)
+    order = np.argsort(-counts, kind="stable")[len(long):]
+    heads, left = (np.cumsum(counts) - counts)[order], -counts[order]
+    rest = np.zeros((len(order), source.shape[1]), source.dtype)
+
+    def row(n: int, lo: int, hi: int) -> np.ndarray:
+        return source[index[heads[lo:hi] + n]]
+
+    # nine rows and more: the first, then eight in pairs, then one by one
+    tall = int(np.searchsorted(left, -8))
+    if tall:
+        a, b, c, d = (row(n, 0, tall) + row(n + 1, 0, tall) for n in (1, 3, 5, 7))
+        rest[:tall] = (a + b) + (c + d)
+    for n in range(1, -int(left[0]) if len(order) else 0):
+        lo, hi = tall if n < 9 else 0, int(np.searchsorted(left, -n))
+        rest[lo:hi] += row(n, lo, hi)
+    out[order] = source[index[heads]] + rest
+    return out
+
+
+def _block_sums(source: np.ndarray, terms: np.ndarray, block: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the rows of `source` that a block's terms name, for each of n blocks."""
+    counts = np.bincount(block, minlength=n)
+    filled = np.flatnonzero(counts)
+    out = np.zeros((n, source.shape[1]), source.dtype)
+    out[filled] = _stretch_sums(source, terms, counts[filled])
     return out
 
 
@@ -152,16 +199,16 @@ def _gram_share(idf: np.ndarray, q: np.ndarray):
             terms, block = terms[used], block[used]
             if not len(terms):
                 continue
-            y = _block_sums(weighted[terms], block, len(ends))
+            y = _block_sums(weighted, terms, block, len(ends))
             pair = y.copy()
             inner = np.flatnonzero(~ends)
             pair[inner] += y[inner + 1]
             back = pair.copy()
             back[inner + 1] += pair[inner]
             order = np.argsort(terms, kind="stable")
-            sorted_terms = terms[order]
-            starts = np.flatnonzero(np.r_[True, sorted_terms[1:] != sorted_terms[:-1]])
-            total[sorted_terms[starts]] += np.add.reduceat(back[block[order]], starts, axis=0)
+            counts = np.bincount(terms)
+            held = np.flatnonzero(counts)
+            total[held] += _stretch_sums(back, block[order], counts[held])
         total *= idf[:, None]
         for k in range(0, len(total), _CHUNK):
             yield pd.DataFrame({"chunk": [k // _CHUNK], "values": [total[k:k + _CHUNK].tobytes()]})
@@ -264,15 +311,36 @@ def _searcher(model: dict, cosine: float, lcs: float, answer: float):
     norms = np.linalg.norm(aims, axis=1, keepdims=True)
     aims = np.where(norms > 0, aims / np.maximum(norms, 1e-12), 0).astype(np.float32).T
 
+    reaches = np.array([reach for *_, reach in asked], np.int64)
+    sizes_of = np.array([length for _, _, _, length, *_ in asked], np.int64)
+    starts_of = np.cumsum(sizes_of) - sizes_of
+    words_of = np.array([w for _, own, *_ in asked for w in own], np.int64)
+    # a row per pair: the words its span holds; cells are taken back after use
+    width = len(vocabulary)
+    most = max(1, _CELLS // max(1, width))
+    held = np.zeros(most * width, np.uint8)
+
+    def enough_common(terms, begins, ends, of):
+        """Whether an item and the terms begins..ends have so many words in common; no subsequence is longer."""
+        out = np.zeros(len(of), bool)
+        for lo in range(0, len(of), most):
+            k, begin, n = of[lo:lo + most], begins[lo:lo + most], (ends - begins)[lo:lo + most]
+            row = np.arange(len(k)) * width
+            cells = terms[np.arange(n.sum()) + np.repeat(begin - (n.cumsum() - n), n)] + np.repeat(row, n)
+            held[cells] = 1
+            n = sizes_of[k]
+            last = n.cumsum()
+            own = words_of[np.arange(last[-1]) + np.repeat(starts_of[k] - (last - n), n)] + np.repeat(row, n)
+            upto = np.append(0, held[own].cumsum(dtype=np.int32))
+            out[lo:lo + most] = upto[last] - upto[last - n] >= lcs * n
+            held[cells] = 0
+        return out
+
     def check(terms, edges, lo, hi, k, best, cos, spans):
         item, own, masks, length, last_masks, last, reach = asked[k]
         if reach not in spans:
-            span = terms[edges[max(0, lo - reach)]:edges[min(len(edges) - 1, hi + reach)]]
-            spans[reach] = span, set(span)
-        span, present = spans[reach]
-        # no subsequence is longer than the words the two have in common
-        if sum(map(present.__contains__, own)) < lcs * length:
-            return
+            spans[reach] = terms[edges[max(0, lo - reach)]:edges[min(len(edges) - 1, hi + reach)]]
+        span = spans[reach]
         share = lcs_length(span, masks, length) / length
         if share < lcs:
             return
@@ -288,11 +356,12 @@ def _searcher(model: dict, cosine: float, lcs: float, answer: float):
         terms = np.concatenate([*(t for _, _, t in texts), np.zeros(0, np.int32)]).astype(np.int64)
         block = np.concatenate([*(at for _, at, _ in texts), np.zeros(0, np.int32)]) + np.repeat(base, lengths)
         heavy = used[terms]
-        z = _block_sums(weighted[terms[heavy]], block[heavy].astype(np.int64), int(sizes.sum()))
+        z = _block_sums(weighted, terms[heavy], block[heavy], int(sizes.sum()))
         owner = np.repeat(np.arange(len(texts)), sizes)
         after = (base + sizes)[owner]
         spot = np.arange(len(z))
         blocks = z[:-1] + z[1:]
+        edges = np.searchsorted(block, np.arange(len(z) + 1))
         ordered: dict[int, tuple] = {}
         for wide, places in ((2, spot[spot + 2 <= after]), (4, spot[(spot + 4 <= after) & (spot % 2 == 0)])):
             for lo in range(0, len(places), 8192):
@@ -304,8 +373,13 @@ def _searcher(model: dict, cosine: float, lcs: float, answer: float):
                     near = np.maximum.reduceat(near, firsts, axis=1)
                 close = near >= (cosine * size)[:, None]
                 close[size == 0] = False
+                rows, of = np.nonzero(close)
+                own_at = where[rows]
+                lows = np.maximum(own_at - reaches[of], base[owner[own_at]])
+                highs = np.minimum(own_at + wide + reaches[of], after[own_at])
+                likely = enough_common(terms, edges[lows], edges[highs], of)
                 last = -1
-                for p, k in zip(*map(np.ndarray.tolist, np.nonzero(close))):
+                for p, k in zip(rows[likely].tolist(), of[likely].tolist()):
                     if p != last:
                         last, spans = p, {}
                         doc = int(owner[where[p]])
