@@ -102,6 +102,22 @@ def test_long_one_to_one_runs_are_jumped():
         assert first.sum() == len(np.intersect1d(a, b))
 
 
+def test_diagonal_links_keep_one_mark_per_link():
+    """What is kept on the way is a byte per link, not four Python objects."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    a, b = (np.append(np.unique(rng.integers(1, 400_000, 100_000)), 400_000) for _ in range(2))
+    tracemalloc.start()
+    left, right, first = alignment.diagonal_links(a, b)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ends = np.union1d(a, b)
+    assert (left == np.searchsorted(a, ends)).all() and (right == np.searchsorted(b, ends)).all()
+    assert (first == np.r_[True, np.isin(ends, np.intersect1d(a, b))[:-1]]).all()
+    assert most < 18_000_000
+
+
 def test_alignment_odd_rows(odd):
     got = alignment.align_tokenizers(odd, A, B).select("doc_id", *COLUMNS).collect()
     # corpus-wide counts are those of all rows, so only what a row has of its own is compared

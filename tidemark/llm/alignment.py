@@ -30,6 +30,7 @@ from tidemark.llm.tables import documents_of, stored
 #: rows of the broadcast table of frequent pairs, some 20 bytes each
 FREQUENT = 1 << 18
 _ROWS = 256
+_BOTH = b"\3"
 _MEMO = 300_000
 _MEMO_CHARS = 64
 _SEGMENTS = re.compile(r"[ \n]+[^ \n]*").findall
@@ -47,45 +48,46 @@ def diagonal_links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray,
     n = len(a_ends)
     a, b = a_ends.astype("<i8").tobytes(), b_ends.astype("<i8").tobytes()
     a_at, b_at = a_ends.tolist(), b_ends.tolist()
-    # steps along the diagonal: first indices, length, and whether they begin groups
-    lefts, rights, lengths, opens = [], [], [], []
+    # the way from link to link: a step in A, a step in B, or past a common border
+    moves = bytearray()
+    step = moves.append
     i = shift = 0
     while i < n:
-        start, width, skew = i, 1, 8 * shift
-        while i < n and a[8 * i:8 * (i + width)] == b[8 * i + skew:8 * (i + width) + skew]:
-            i += width
-            width *= 2
-        i = min(i, n)
-        while i < n and width > 1:  # the first difference lies within `width` tokens
-            width //= 2
-            if a[8 * i:8 * (i + width)] == b[8 * i + skew:8 * (i + width) + skew]:
+        start, skew = i, 8 * shift
+        if a_at[i] == b_at[i + shift]:
+            i, width = i + 1, 2
+            while i < n and a[8 * i:8 * (i + width)] == b[8 * i + skew:8 * (i + width) + skew]:
                 i += width
-        if i > start:
-            lefts.append(start)
-            rights.append(start + shift)
-            lengths.append(i - start)
-            opens.append(True)
+                width *= 2
+            if i > n:
+                i = n
+            while i < n and width > 2:  # the first difference lies within `width` tokens
+                width //= 2
+                if a[8 * i:8 * (i + width)] == b[8 * i + skew:8 * (i + width) + skew]:
+                    i += width
+            if i < n and a_at[i] == b_at[i + shift]:
+                i += 1
+            moves += _BOTH * (i - start)
         if i < n:
-            j, first = i + shift, True
-            while True:
-                lefts.append(i)
-                rights.append(j)
-                lengths.append(1)
-                opens.append(first)
-                x, y = a_at[i], b_at[j]
-                if x == y:
-                    break
+            j = i + shift
+            x, y = a_at[i], b_at[j]
+            while x != y:
                 if x < y:
+                    step(1)
                     i += 1
+                    x = a_at[i]
                 else:
+                    step(2)
                     j += 1
-                first = False
+                    y = b_at[j]
+            step(3)
             i, j = i + 1, j + 1
             shift = j - i
-    size = np.array(lengths, np.int64)
-    inside = np.arange(size.sum()) - np.repeat(size.cumsum() - size, size)
-    left, right = np.repeat(np.array(lefts, np.int64), size) + inside, np.repeat(np.array(rights, np.int64), size) + inside
-    return left, right, np.repeat(np.array(opens, bool), size)
+    way = np.frombuffer(moves, np.uint8)
+    left, right = ((way & bit).astype(bool) for bit in (1, 2))
+    first = np.ones(len(way), bool)
+    first[1:] = way[:-1] == 3
+    return left.cumsum() - left, right.cumsum() - right, first
 
 
 def group_digest(a_ids: np.ndarray, b_ids: np.ndarray, left: np.ndarray, right: np.ndarray, first: np.ndarray, texts: np.ndarray) -> str:
