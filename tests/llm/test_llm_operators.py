@@ -543,6 +543,55 @@ def test_stretch_sums_are_those_of_reduceat():
         assert got.dtype == np.float32 and np.allclose(got, want, rtol=1e-5, atol=1e-5)
 
 
+def test_numbered_batches_stay_arrow():
+    import pyarrow as pa
+
+    texts = ["a b x " * 40, None, "", "x y z", "b " * 70, "a"]
+    vocabulary = {"a": 0, "b": 1}
+    batch = pa.RecordBatch.from_pydict({"doc_id": [3, None, 3, 4, 5, 6], "text": texts})
+    got, = decontaminate._numbered_batches(vocabulary)(iter([batch]))
+    rows = [decontaminate._numberer(vocabulary)(t) for t in texts]
+    assert got.to_pylist() == [
+        {"doc_id": i, "blocks": n, "at": at.tolist(), "terms": own.tolist()} for i, (n, at, own) in zip([3, None, 3, 4, 5, 6], rows)]
+    for lo, hi in ((0, 6), (1, 5), (1, 4)):
+        terms, block, ends = decontaminate._flat(got.slice(lo, hi - lo))
+        own, base = rows[lo:hi], np.cumsum([0, *(n for n, _, _ in rows[lo:hi])])
+        assert terms.tolist() == [k for _, _, found in own for k in found]
+        assert block.tolist() == [x // 2 + b for (_, at, _), b in zip(own, base.tolist()) for x in at.tolist()]
+        assert np.flatnonzero(ends).tolist() == (base[1:] - 1).tolist() and len(ends) == base[-1]
+    none, = decontaminate._numbered_batches(vocabulary)(iter([batch.slice(0, 0)]))
+    assert none.num_rows == 0
+
+
+def test_words_without_weight_count_as_before():
+    rng = np.random.default_rng(11)
+    weighted = rng.standard_normal((12, 3)).astype(np.float32)
+    weighted[:5] = 0
+    vocabulary = {f"w{k}": k for k in range(12)}
+    items = [(k, [f"w{x}" for x in own], [f"w{own[-1]}"]) for k, own in enumerate(
+        rng.integers(0, 12, rng.integers(2, 60)).tolist() for _ in range(25))] + [(99, ["w0", "w1"], ["w1"])]
+    texts = []
+    for n in (1, 1, 3, 4, 6) * 6:
+        at = np.sort(rng.integers(0, 2 * n, 30)).astype(np.int32)
+        texts.append((n, at, rng.integers(0, 12, 30).astype(np.int32)))
+    got = decontaminate._searcher({"items": items, "vocabulary": vocabulary, "weighted": weighted}, 0.3, 0.5, 0.5)(texts)
+    for (n, at, own), leaks in zip(texts, got):
+        want = set()
+        for item, words, last in items:
+            asked, end = [vocabulary[w] for w in words], [vocabulary[w] for w in last]
+            aim, reach = weighted[asked].sum(axis=0), 2 * -(-len(asked) // decontaminate.BLOCK)
+            for wide, step in ((2, 1), (4, 2)):
+                for s in range(0, 2 * n - wide + 1, step):
+                    part = weighted[own[(at >= s) & (at < s + wide)]].sum(axis=0)
+                    size = np.linalg.norm(part) * np.linalg.norm(aim)
+                    span = own[(at >= s - reach) & (at < s + wide + reach)].tolist()
+                    if size and part @ aim >= 0.3 * size and brute.lcs(span, asked) >= 0.5 * len(asked) and (
+                            brute.lcs(span, end) >= 0.5 * len(end)):
+                        want.add(item)
+        assert {x["item_id"] for x in leaks} == want
+    assert any(got) and not all(len(x) == len(items) for x in got)
+
+
 def test_latent_directions_are_those_of_the_passages(spark, docs):
     items = decontaminate.read_items(table(spark, SF, "benchmark"))
     model = decontaminate.learned(decontaminate.numbered(docs, items), items, rank=8)

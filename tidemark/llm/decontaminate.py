@@ -26,6 +26,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,35 +105,36 @@ def _numberer(vocabulary: dict[str, int]):
     return number
 
 
-def term_column(vocabulary: dict[str, int], text: Column) -> Column:
-    """Struct (blocks, at, terms) of a whole text; a null text is one empty block."""
+def _numbered_batches(vocabulary: dict[str, int]):
+    """Function from batches of (doc_id, text) to batches of (doc_id, blocks, at, terms); a null text is one empty block."""
 
-    @F.pandas_udf("blocks int, at array<int>, terms array<int>")
-    def terms(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        number = _numberer(vocabulary)
-        for batch in texts:
-            blocks, at, found = zip(*map(number, batch)) if len(batch) else ((), (), ())
-            yield pd.DataFrame({"blocks": np.array(blocks, np.int32), "at": at, "terms": found})
+    def number_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, none = _numberer(vocabulary), np.zeros(0, np.int32)
+        for batch in batches:
+            blocks, at, terms = zip(*map(number, batch.column("text").to_pylist())) if batch.num_rows else ((), (), ())
+            offsets = pa.array(np.cumsum([0, *map(len, terms)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([none, *x]))) for x in (at, terms)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(blocks, pa.int32()), *lists], names=["doc_id", "blocks", "at", "terms"])
 
-    return terms(text)
+    return number_texts
 
 
-def _flat(batch: pd.DataFrame):
+def _flat(batch: pa.RecordBatch):
     """Blocks of a batch in one row: terms, block of each term, and whether a block ends its document."""
-    sizes = batch["blocks"].to_numpy()
+    sizes = batch.column("blocks").to_numpy().astype(np.int64)
     base = np.cumsum(sizes) - sizes
-    lengths = np.fromiter(map(len, batch["terms"]), np.int64, len(batch))
-    terms = np.concatenate([*batch["terms"], np.zeros(0, np.int32)])
-    block = np.concatenate([*batch["at"], np.zeros(0, np.int32)]) // 2 + np.repeat(base, lengths)
+    lengths = np.diff(batch.column("terms").offsets.to_numpy())
+    at, terms = (batch.column(c).flatten().to_numpy() for c in ("at", "terms"))
     ends = np.zeros(int(sizes.sum()), bool)
     ends[base + sizes - 1] = True
-    return terms.astype(np.int64), block.astype(np.int64), ends
+    return terms.astype(np.int64), at // 2 + np.repeat(base, lengths), ends
 
 
-def _pieces(batches: Iterator[pd.DataFrame], rows: int = 256):
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 256):
     for batch in batches:
-        for lo in range(0, len(batch), rows):
-            yield batch.iloc[lo:lo + rows]
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
 
 
 def _stretch_sums(source: np.ndarray, index: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -175,14 +177,14 @@ def _block_sums(source: np.ndarray, terms: np.ndarray, block: np.ndarray, n: int
 
 
 def _frequencies(size: int):
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, passages = np.zeros(size, np.int64), 0
         for batch in _pieces(batches):
             terms, block, ends = _flat(batch)
             seen = np.unique(block * size + terms)
             df += np.bincount(seen % size, minlength=size)
             passages += len(ends)
-        yield pd.DataFrame({"term": np.arange(size + 1), "n": np.r_[df, passages]})
+        yield pa.RecordBatch.from_pydict({"term": np.arange(size + 1), "n": np.r_[df, passages]})
 
     return count
 
@@ -190,7 +192,7 @@ def _frequencies(size: int):
 def _gram_share(idf: np.ndarray, q: np.ndarray):
     """Task's share of A'A q over its passages (two neighbouring blocks), cut into chunks of terms."""
 
-    def share(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(q.shape, np.float64)
         weighted = (q * idf[:, None]).astype(np.float32)
         for batch in _pieces(batches):
@@ -211,7 +213,7 @@ def _gram_share(idf: np.ndarray, q: np.ndarray):
             total[held] += _stretch_sums(back, block[order], counts[held])
         total *= idf[:, None]
         for k in range(0, len(total), _CHUNK):
-            yield pd.DataFrame({"chunk": [k // _CHUNK], "values": [total[k:k + _CHUNK].tobytes()]})
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([k // _CHUNK], pa.int32()), "values": [total[k:k + _CHUNK].tobytes()]})
 
     return share
 
@@ -233,7 +235,9 @@ def _summed(shares: DataFrame, rank: int) -> np.ndarray:
 def numbered(df: DataFrame, items: list, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, blocks, at, terms of every row, stored."""
     docs = documents_of(df, id_col, text_col)
-    return stored(docs.select("doc_id", term_column(_vocabulary(items), F.col("text")).alias("t")).select("doc_id", "t.*"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return stored(docs.mapInArrow(
+        _numbered_batches(_vocabulary(items)), f"doc_id {kind}, blocks int, at array<int>, terms array<int>"))
 
 
 def learned(rows: DataFrame, items: list, rank: int = RANK) -> dict:
@@ -242,7 +246,7 @@ def learned(rows: DataFrame, items: list, rank: int = RANK) -> dict:
     size = len(vocabulary)
     if not size:
         return {"items": [], "vocabulary": {}, "weighted": np.zeros((0, 1), np.float32)}
-    counted = rows.mapInPandas(_frequencies(size), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    counted = rows.mapInArrow(_frequencies(size), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     n = np.zeros(size + 1)
     for r in counted:
         n[r["term"]] = r["n"]
@@ -256,9 +260,9 @@ def learned(rows: DataFrame, items: list, rank: int = RANK) -> dict:
     width = min(size, rank + OVERSAMPLE)
     q = np.linalg.qr(np.random.default_rng(42).standard_normal((size, width)))[0]
     kind = "chunk int, values binary"
-    first = _summed(rows.mapInPandas(_gram_share(idf, q), kind), width) if n[size] else q
+    first = _summed(rows.mapInArrow(_gram_share(idf, q), kind), width) if n[size] else q
     q = np.linalg.qr(first)[0]
-    second = _summed(rows.mapInPandas(_gram_share(idf, q), kind), width) if n[size] else q
+    second = _summed(rows.mapInArrow(_gram_share(idf, q), kind), width) if n[size] else q
     small = q.T @ second
     power, turns = np.linalg.eigh((small + small.T) / 2)
     directions, power = q @ turns[:, ::-1][:, :rank], power[::-1][:rank]
@@ -315,27 +319,44 @@ def _searcher(model: dict, cosine: float, lcs: float, answer: float):
     sizes_of = np.array([length for _, _, _, length, *_ in asked], np.int64)
     starts_of = np.cumsum(sizes_of) - sizes_of
     words_of = np.array([w for _, own, *_ in asked for w in own], np.int64)
+    heavy_of = used[words_of]
+    heavy_sizes = np.add.reduceat(heavy_of, starts_of, dtype=np.int64) if asked else sizes_of
+    heavy_starts = np.cumsum(heavy_sizes) - heavy_sizes
+    all_words, heavy_words = (words_of, starts_of, sizes_of), (words_of[heavy_of], heavy_starts, heavy_sizes)
     # a row per pair: the words its span holds; cells are taken back after use
     width = len(vocabulary)
     most = max(1, _CELLS // max(1, width))
     held = np.zeros(most * width, np.uint8)
 
-    def enough_common(terms, begins, ends, of):
-        """Whether an item and the terms begins..ends have so many words in common; no subsequence is longer."""
-        out = np.zeros(len(of), bool)
+    def held_words(terms, begins, ends, of, listed):
+        """How many of an item's words the terms begins..ends hold."""
+        words, starts, sizes = listed
+        out = np.zeros(len(of), np.int64)
         for lo in range(0, len(of), most):
             k, begin, n = of[lo:lo + most], begins[lo:lo + most], (ends - begins)[lo:lo + most]
             row = np.arange(len(k)) * width
             cells = terms[np.arange(n.sum()) + np.repeat(begin - (n.cumsum() - n), n)] + np.repeat(row, n)
             held[cells] = 1
-            n = sizes_of[k]
+            n = sizes[k]
             last = n.cumsum()
-            own = words_of[np.arange(last[-1]) + np.repeat(starts_of[k] - (last - n), n)] + np.repeat(row, n)
+            own = words[np.arange(last[-1]) + np.repeat(starts[k] - (last - n), n)] + np.repeat(row, n)
             upto = np.append(0, held[own].cumsum(dtype=np.int32))
-            out[lo:lo + most] = upto[last] - upto[last - n] >= lcs * n
+            out[lo:lo + most] = upto[last] - upto[last - n]
             held[cells] = 0
         return out
 
+    def enough_common(terms, edges, weighty, weighty_edges, lows, highs, of):
+        """Whether an item and the terms from lows to highs have so many words in common; no subsequence is longer.
+
+        Few do, and the frequent words without weight are most of the words, so those of weight are counted first, the
+        others taken for held.
+        """
+        counts = held_words(weighty, weighty_edges[lows], weighty_edges[highs], of, heavy_words)
+        out = counts + (sizes_of - heavy_sizes)[of] >= lcs * sizes_of[of]
+        lows, highs, of = lows[out], highs[out], of[out]
+        out[out] = held_words(terms, edges[lows], edges[highs], of, all_words) >= lcs * sizes_of[of]
+        return out
+
     def check(terms, edges, lo, hi, k, best, cos, spans):
         item, own, masks, length, last_masks, last, reach = asked[k]
         if reach not in spans:
@@ -356,12 +377,13 @@ def _searcher(model: dict, cosine: float, lcs: float, answer: float):
         terms = np.concatenate([*(t for _, _, t in texts), np.zeros(0, np.int32)]).astype(np.int64)
         block = np.concatenate([*(at for _, at, _ in texts), np.zeros(0, np.int32)]) + np.repeat(base, lengths)
         heavy = used[terms]
-        z = _block_sums(weighted, terms[heavy], block[heavy], int(sizes.sum()))
+        weighty = terms[heavy]
+        z = _block_sums(weighted, weighty, block[heavy], int(sizes.sum()))
         owner = np.repeat(np.arange(len(texts)), sizes)
         after = (base + sizes)[owner]
         spot = np.arange(len(z))
         blocks = z[:-1] + z[1:]
-        edges = np.searchsorted(block, np.arange(len(z) + 1))
+        edges, weighty_edges = (np.searchsorted(x, np.arange(len(z) + 1)) for x in (block, block[heavy]))
         ordered: dict[int, tuple] = {}
         for wide, places in ((2, spot[spot + 2 <= after]), (4, spot[(spot + 4 <= after) & (spot % 2 == 0)])):
             for lo in range(0, len(places), 8192):
@@ -377,7 +399,7 @@ def _searcher(model: dict, cosine: float, lcs: float, answer: float):
                 own_at = where[rows]
                 lows = np.maximum(own_at - reaches[of], base[owner[own_at]])
                 highs = np.minimum(own_at + wide + reaches[of], after[own_at])
-                likely = enough_common(terms, edges[lows], edges[highs], of)
+                likely = enough_common(terms, edges, weighty, weighty_edges, lows, highs, of)
                 last = -1
                 for p, k in zip(rows[likely].tolist(), of[likely].tolist()):
                     if p != last:
