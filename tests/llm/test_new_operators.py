@@ -118,6 +118,40 @@ def test_diagonal_links_keep_one_mark_per_link():
     assert most < 18_000_000
 
 
+def test_words_are_aligned_once(monkeypatch):
+    """A word met before, alone or with other marks after it, is neither encoded nor aligned again."""
+    calls, real = [], alignment.diagonal_links
+    monkeypatch.setattr(alignment, "diagonal_links", lambda a, b: calls.append(len(a)) or real(a, b))
+    alignment.aligner.cache_clear()
+    align = alignment.aligner(A, B)
+    words = [f"{x}{y}ning" for x in ("qua", "bre", "\xe9to", "Zu") for y in ("ker", "lo", "\xdfe", "pim")]
+    first = align([" ".join(words), " ".join(w + "," for w in words[:8]) + "\n" + words[0] + "."])
+    assert len(calls) <= 3
+    calls.clear()
+    texts = [" ".join(words[k:] + words[:k]) for k in range(8)]
+    texts += [" ".join(w + "," for w in words), " ".join(w + "." for w in words) + "\n" + words[0] + "."]
+    again = align(texts)
+    # only the words that come with a line feed or marks not met before are new
+    assert sum(calls) < 30
+    whole = alignment.aligner.__wrapped__(A, B)
+    monkeypatch.setattr(alignment, "_OTHER_SPACE", lambda text: True)
+    assert again == whole(texts) and first[:1] == whole([" ".join(words)])
+    alignment.aligner.cache_clear()
+
+
+def test_segments_that_b_changes_do_not_spoil_their_run():
+    texts = ["don't stop,, it's  (so)... ", "a \u2581b c", "x\ty z", "  lead\n\n \ntail  ", "", "a\x00b c!! \U0001f600\u200d\U0001f600.", "<s> <unk> [x]"]
+    got = alignment.aligner(A, B)(texts)
+    for text, found in zip(texts, got):
+        tokens = plain_tokens(text)
+        assert (found is None) == (tokens is None)
+        if found:
+            n_a, groups, links = found
+            assert n_a == len(tokens[0]) and len(links) // 8 + groups.count(b";") - n_a == len(tokens[1])
+            assert [int(x) for x in groups.replace(b"|", b",").replace(b";", b",").split(b",")[:-1]] and (
+                [int(x) for g in groups.split(b";")[:-1] for x in g.split(b"|")[0].split(b",")] == [k for k, _ in tokens[0]])
+
+
 def test_alignment_odd_rows(odd):
     got = alignment.align_tokenizers(odd, A, B).select("doc_id", *COLUMNS).collect()
     # corpus-wide counts are those of all rows, so only what a row has of its own is compared

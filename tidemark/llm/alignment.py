@@ -4,7 +4,7 @@ A text is encoded by a byte-level BPE (A) and by a piece model (B).  Both give a
 offsets at which their tokens end.  Where both arrays agree at the current shift of their indices,
 tokens stand one to one; such a stretch is jumped by comparing slices of doubling length, and by
 halving them where they differ.  At the first difference the group is resolved step by step, which
-gives the next shift.
+gives the next shift.  Segments that both encode apart are aligned once, many in a row.
 
 A group of m and n tokens without a common border inside has m + n - 1 overlapping pairs, its links.
 Every document carries its distinct pairs with their counts.  The corpus-wide counts are a grouped
@@ -17,7 +17,6 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,9 +30,14 @@ from tidemark.llm.tables import documents_of, stored
 FREQUENT = 1 << 18
 _ROWS = 256
 _BOTH = b"\3"
-_MEMO = 300_000
+#: segments remembered, and as many of those before them; segments encoded at once
+_MEMO = 200_000
 _MEMO_CHARS = 64
+_RUN = 1024
 _SEGMENTS = re.compile(r"[ \n]+[^ \n]*").findall
+_LETTERS, _MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-/:-@\[-`{-~"
+#: a word of letters, and the marks right after it
+_MARKED = re.compile(rf"([ \n]+[{_LETTERS}]+)([{_MARKS}]+)").fullmatch
 #: white space besides blanks and line feeds; a text that holds any is not cut into segments
 _OTHER_SPACE = re.compile("[%s]" % "".join(map(chr, (
     9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
@@ -90,8 +94,10 @@ def diagonal_links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray,
     return left.cumsum() - left, right.cumsum() - right, first
 
 
-def group_digest(a_ids: np.ndarray, b_ids: np.ndarray, left: np.ndarray, right: np.ndarray, first: np.ndarray, texts: np.ndarray) -> str:
-    """SHA-256 of `a1,a2|b1;a3|b2,b3`; `texts` holds the ids as fixed-width bytes with room for a mark."""
+def group_text(
+    a_ids: np.ndarray, b_ids: np.ndarray, left: np.ndarray, right: np.ndarray, first: np.ndarray, texts: np.ndarray,
+) -> tuple[bytes, np.ndarray]:
+    """`a1,a2|b1;a3|b2,b3;` and where each token of B ends in it; `texts` holds the ids as fixed-width bytes."""
     a_start, b_start = np.zeros(len(a_ids) + 1, bool), np.zeros(len(b_ids) + 1, bool)
     a_start[left[first]] = b_start[right[first]] = a_start[-1] = b_start[-1] = True
     a_group, b_group = a_start[:-1].cumsum(), b_start[:-1].cumsum()
@@ -103,19 +109,20 @@ def group_digest(a_ids: np.ndarray, b_ids: np.ndarray, left: np.ndarray, right:
     cells = np.zeros((len(at), width + 1), np.uint8)
     cells[at, :width] = texts[np.concatenate([a_ids, b_ids])].view(np.uint8).reshape(-1, width)
     cells[at, width] = marks.view(np.uint8)
-    return hashlib.sha256(cells.tobytes().translate(None, b"\0")[:-1]).hexdigest()
+    return cells.tobytes().translate(None, b"\0"), (cells != 0).sum(axis=1).cumsum()[at[len(a_ids):]]
 
 
 @functools.lru_cache(maxsize=1)
-def encoder(path_a: str, path_b: str) -> tuple[Callable[[list[str]], list], int, np.ndarray]:
-    """Function from texts to pairs of int arrays (id, bytes) of A and B; number of A's ids; all ids as text.
+def aligner(path_a: str, path_b: str) -> Callable[[list[str]], list[tuple[int, bytes, bytes] | None]]:
+    """Function from texts to their number of A's tokens, groups as text, and linked id pairs as 8-byte integers.
 
     None stands for a text without tokens: empty, or whose joined bytes differ from blank + text.
 
-    Segments (white space and the word after it) are encoded once and remembered.  A's pattern never
-    joins a word with the white space after it, nor does any piece of B, which is looked up in its
-    vocabulary; with a vocabulary or a text that does not fit, texts are encoded whole.  A Python worker
-    keeps the function, and what it remembers, for its next tasks.
+    Segments (white space and the word after it) are encoded and aligned once and remembered.  A's pattern
+    never joins a word with the white space after it, nor does any piece of B, which is looked up in its
+    vocabulary; so a segment's end is a border of both, and many segments in a row are a text of their own.
+    With a vocabulary or a text that does not fit, texts are encoded whole.  A Python worker keeps the
+    function, and what it remembers, for its next tasks.
     """
     from sentencepiece import SentencePieceProcessor
     from tokenizers import Tokenizer
@@ -137,58 +144,109 @@ def encoder(path_a: str, path_b: str) -> tuple[Callable[[list[str]], list], int,
     # without a normalizer, byte-level tokens always give back their text
     lossless = tok.normalizer is None
     separable = not any(re.search("[^\u2581]\u2581|\n", p) for k, p in enumerate(pieces) if not model.is_byte(k))
-    a_cells, b_cells = ([struct.pack("<ii", k, len(x)) for k, x in enumerate(rows)] for rows in (a_bytes, b_bytes))
-
-    def pair(spaced: str, ids_a: list[int], ids_b: list[int]):
-        raw = spaced.encode()
+    # where neither joins a letter and a mark after it, the marks are learned once, after an "a", for all words
+    apart = all(len(tok.pre_tokenizer.pre_tokenize_str(f" a{c}")) == 2 for c in map(chr, range(33, 127)) if not c.isalnum()) and not any(
+        re.search(f"[{_LETTERS}][{_MARKS}]", p)
+        for k, p in enumerate(pieces) if not (model.is_byte(k) or model.is_control(k) or model.is_unknown(k)))
+    a_sizes, b_sizes = (np.fromiter(map(len, rows), np.int64, len(rows)) for rows in (a_bytes, b_bytes))
+    texts_of = np.array([b"%d" % k for k in range(max(size_a, len(pieces)))])
+
+    def align(spaced: str, ids_b: list[int], sizes: list[int]) -> list[tuple[int, bytes, bytes]] | None:
+        """The stretches of `sizes` bytes of a text; None unless A and B give its bytes back and end at all of them."""
+        raw, ids_a = spaced.encode(), tok.encode_batch_fast([spaced], add_special_tokens=False)[0].ids
         if b"".join([b_bytes[k] for k in ids_b]) != raw or not (lossless or b"".join([a_bytes[k] for k in ids_a]) == raw):
             return None
-        return b"".join([a_cells[k] for k in ids_a]), b"".join([b_cells[k] for k in ids_b])
+        a, b, borders = np.array(ids_a, np.int64), np.array(ids_b, np.int64), np.cumsum(sizes)
+        a_ends, b_ends = a_sizes[a].cumsum(), b_sizes[b].cumsum()
+        last_a, last_b = a_ends.searchsorted(borders), b_ends.searchsorted(borders)
+        if (a_ends[last_a] != borders).any() or (b_ends[last_b] != borders).any():
+            return None
+        left, right, first = diagonal_links(a_ends, b_ends)
+        groups, ends = group_text(a, b, left, right, first, texts_of)
+        pairs = (b[right] * size_a + a[left]).tobytes()
+        out, n, at, link = [], 0, 0, 0
+        for n_to, to, link_to in zip((last_a + 1).tolist(), ends[last_b].tolist(), right.searchsorted(last_b, "right").tolist()):
+            out.append((n_to - n, groups[at:to], pairs[8 * link:8 * link_to]))
+            n, at, link = n_to, to, link_to
+        return out
 
-    def whole(text: str):
+    def run(segments: list[str]) -> list[tuple[int, bytes, bytes]] | None:
+        spaced = "".join(segments)
+        # B puts a blank before what it gets: the text's own, or one that is taken off again
+        ids_b = model.encode(spaced[1:] if spaced[0] == " " else spaced)
+        if spaced[0] != " ":
+            if ids_b[:1] != [blank_b]:
+                return None
+            ids_b = ids_b[1:]
+        return align(spaced, ids_b, [len(s) if s.isascii() else len(s.encode()) for s in segments])
+
+    def whole(text: str) -> tuple[int, bytes, bytes] | None:
         spaced = " " + text
-        return pair(spaced, tok.encode(spaced, add_special_tokens=False).ids, model.encode(text))
+        got = align(spaced, model.encode(text), [len(spaced.encode())])
+        return got and got[0]
 
     def segments_of(text: str) -> list[str] | None:
         if not separable or "\u2581" in text or _OTHER_SPACE(text):
             return None
         return _SEGMENTS(" " + text)
 
-    memo: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def learn(segments: list[str]) -> dict:
-        found = {}
-        for lo in range(0, len(segments), 1024):
-            part = segments[lo:lo + 1024]
-            ids_a = [e.ids for e in tok.encode_batch_fast(part, add_special_tokens=False)]
-            # B puts a blank before what it gets: the segment's own, or one that is taken off again
-            ids_b = model.encode([s[1:] if s[0] == " " else s for s in part], num_threads=1)
-            for s, a, b in zip(part, ids_a, ids_b):
-                found[s] = None if s[0] != " " and b[:1] != [blank_b] else pair(s, a, b if s[0] == " " else b[1:])
+    def in_runs(segments: list[str]) -> dict:
+        # white space without a word, at the end of a text, would join the next segment
+        found, words = {}, [s for s in segments if s[-1] not in " \n"]
+        runs = [words[lo:lo + _RUN] for lo in range(0, len(words), _RUN)] + [[s] for s in segments if s[-1] in " \n"]
+        while runs:
+            part = runs.pop()
+            got = run(part)
+            if got is None and len(part) > 1:
+                size = -(-len(part) // 16)
+                runs += [part[lo:lo + size] for lo in range(0, len(part), size)]
+            else:
+                found.update(zip(part, got or [None]))
         return found
 
-    def encode(texts: list[str]) -> list:
+    memo: dict[str, tuple[int, bytes, bytes] | None] = {}
+    before: dict[str, tuple[int, bytes, bytes] | None] = {}
+
+    def recall(segments: set[str]) -> set[str]:
+        """Take back what was remembered before; gives the others."""
+        known = {s: before[s] for s in segments if s in before}
+        memo.update(known)
+        return segments.difference(known)
+
+    def learn(segments: set[str]) -> set[str]:
+        """Put segments, and what they are made of, into the memory; gives what was put there."""
+        new = recall(segments)
+        marked = {s: (m[1], " a" + m[2]) for s in new if (m := _MARKED(s))} if apart else {}
+        bases = {" a", *(x for both in marked.values() for x in both)}.difference(memo)
+        memo.update(in_runs([*recall(bases), *new.difference(marked, bases)]))
+        one = memo[" a"]
+        for s, (word, marks) in marked.items():
+            x, y = memo[word], memo[marks]
+            memo[s] = x and y and one and (x[0] + y[0] - one[0], x[1] + y[1][len(one[1]):], x[2] + y[2][len(one[2]):])
+        return segments | bases
+
+    def aligned(texts: list[str]) -> list[tuple[int, bytes, bytes] | None]:
+        nonlocal memo, before
         if len(memo) > _MEMO:
-            memo.clear()
+            memo, before = {}, memo
         cut = [segments_of(t) if t else None for t in texts]
-        new = learn(list(set().union(*(c for c in cut if c)).difference(memo)))
-        memo.update(new)
+        new = learn(set().union(*(c for c in cut if c)).difference(memo))
         out = []
         for text, segments in zip(texts, cut):
-            parts = [memo[s] for s in segments or ()]
+            parts = list(map(memo.__getitem__, segments or ()))
             if not text:
-                got = None
-            elif segments is None or None in parts:
-                got = whole(text)
+                out.append(None)
+            elif segments is None or not all(parts):
+                out.append(whole(text))
             else:
-                got = b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
-            out.append(got and tuple(np.frombuffer(x, "<i4").reshape(-1, 2) for x in got))
+                n, groups, pairs = zip(*parts)
+                out.append((sum(n), b"".join(groups), b"".join(pairs)))
         for s in new:
             if len(s) > _MEMO_CHARS:
                 del memo[s]
         return out
 
-    return encode, size_a, np.array([b"%d" % k for k in range(max(size_a, len(pieces)))])
+    return aligned
 
 
 def aligned_documents(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,24 +260,25 @@ def aligned_documents(df: DataFrame, path_a: str, path_b: str, id_col: str = "do
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, size_a, texts = encoder(path_a, path_b)
+        align = aligner(path_a, path_b)
         for batch in batches:
             for lo in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(lo, _ROWS)
                 numbers, digests, pairs, times, offsets = [], [], [], [], [0]
-                for tokens in encode(part.column("text").to_pylist()):
-                    if tokens is None:
+                for got in align(part.column("text").to_pylist()):
+                    if got is None:
                         numbers.append((0, 0, 0, 0))
                         digests.append("")
                     else:
-                        a, b = tokens
-                        left, right, first = diagonal_links(*(x[:, 1].cumsum(dtype=np.int64) for x in tokens))
-                        numbers.append((len(a), len(b), int(first.sum()), len(left)))
-                        digests.append(group_digest(a[:, 0], b[:, 0], left, right, first, texts))
-                        pair, count = np.unique(b[right, 0].astype(np.int64) * size_a + a[left, 0], return_counts=True)
+                        n_a, groups, links = got
+                        # a group of m and n tokens has m + n - 1 links
+                        n_groups, n_links = groups.count(b";"), len(links) // 8
+                        numbers.append((n_a, n_links + n_groups - n_a, n_groups, n_links))
+                        digests.append(hashlib.sha256(groups[:-1]).hexdigest())
+                        pair, count = np.unique(np.frombuffer(links, np.int64), return_counts=True)
                         pairs.append(pair)
                         times.append(count)
-                    offsets.append(offsets[-1] + (len(pairs[-1]) if tokens is not None else 0))
+                    offsets.append(offsets[-1] + (len(pairs[-1]) if got is not None else 0))
                 none = np.zeros(0, np.int64)
                 lists = [
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([none, *x]).astype(kind)))
